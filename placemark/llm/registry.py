@@ -27,3 +27,12 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from placemark.llm.mixing import mixed
 
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from placemark.llm.quality import judged
+
+    return judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log10_ppl"
+    )
