@@ -36,3 +36,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log10_ppl"
     )
+
+
+@query
+def op3_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from placemark.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from placemark.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
