@@ -69,20 +69,16 @@ def encode_unit(sp, unit: str) -> list[int]:
     return sp.encode(unit, num_threads=1) if unit else sp.encode(" ", num_threads=1)[:0] + [sp.piece_to_id(MARK)]
 
 
-def frequent_units(docs: DataFrame, text: str, sample_rows: int, entries: int) -> list[str]:
-    """The most frequent pre-tokens of at most sample_rows rows, found in one bounded pass."""
+def frequent_units(docs: DataFrame, text: str, sample_rows: int, entries: int, sample_chars: int = 16_384) -> list[str]:
+    """The most frequent pre-tokens in the heads of at most sample_rows rows.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                seen.update(u for u in (t and pre_tokens(t)) or () if len(u) <= 64)
-        top = seen.most_common(entries)
-        yield pa.RecordBatch.from_pydict({"unit": pa.array([u for u, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())})
-
-    rows = docs.select(F.col(text).alias("text")).where("text is not null").limit(sample_rows)
-    top = rows.mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-    return [r.unit for r in top.orderBy(F.desc("n"), "unit").limit(entries).collect()]
+    The sample is read from the first partitions alone and is bounded by both numbers.
+    """
+    seen: Counter = Counter()
+    head = F.substring(F.col(text).cast("string"), 1, sample_chars).alias("text")
+    for (t,) in docs.select(head).where("text is not null").limit(sample_rows).collect():
+        seen.update(u for u in pre_tokens(t) or () if len(u) <= 64)
+    return [u for u, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:entries]]
 
 
 def count_tokens(
@@ -91,7 +87,7 @@ def count_tokens(
     text: str = "text",
     id_col: str = "doc_id",
     limit: int = 4096,
-    sample_rows: int = 2000,
+    sample_rows: int = 1000,
     entries: int = 30_000,
     cache: int = 200_000,
 ) -> DataFrame:
