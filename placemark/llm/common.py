@@ -25,7 +25,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of df with a Parquet table in the shared folder."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # The table replaces the shuffle files behind it: let Spark drop them.
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

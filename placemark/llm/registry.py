@@ -50,3 +50,10 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from placemark.llm.html_text import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from placemark.llm.ngram_join import linked_components
+
+    return linked_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
