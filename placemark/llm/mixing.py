@@ -86,7 +86,7 @@ def schedule(
     block = max(1, -(-total // slots))
     # A source's order is (bucket, key); running sums go bucket by bucket, so
     # that no source, however large, is ordered in one task.
-    buckets = max(16, -(-rows // docs_a_bucket))
+    buckets = max(256, -(-rows // docs_a_bucket))
     sized = sized.withColumn("bucket", (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)).cast("int"))
     by_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     goal = targets(by_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_repeats)
