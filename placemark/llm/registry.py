@@ -57,3 +57,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from placemark.llm.ngram_join import linked_components
 
     return linked_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from placemark.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
