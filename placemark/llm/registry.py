@@ -64,3 +64,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from placemark.llm.substring_dedup import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from placemark.llm.class_lm import scored
+
+    return scored(table(spark, sf_dir, "documents"))
