@@ -71,3 +71,10 @@ def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from placemark.llm.class_lm import scored
 
     return scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from placemark.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
