@@ -78,3 +78,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from placemark.llm.decontaminate import contaminated
 
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from placemark.llm.line_dedup import remove_repeated_chunks
+
+    return remove_repeated_chunks(table(spark, sf_dir, "documents"))
