@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from placemark.functions.text import collapsed
 
@@ -30,7 +31,7 @@ def decode(text: str) -> str:
     return _ENTITY.sub(char, text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decode_entities(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else decode(t) if "&" in t else t)
 
