@@ -44,6 +44,7 @@ def has_offset(local: Column) -> Column:
 def absolute(local: Column) -> Column:
     """The instant of a string with an offset of its own."""
     tidy = F.regexp_replace(F.upper(F.trim(local)), "([+-]\\d{2})(\\d{2})$", "$1:$2")
+    tidy = F.regexp_replace(tidy, "^([^T ]+[T ]\\d{1,2}:\\d{2})(Z|[+-])", "$1:00$2")
     return F.when(has_offset(local), tidy.try_cast("timestamp"))
 
 
