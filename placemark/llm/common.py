@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a maximal run of bytes outside these; str.split() on *bytes* cuts at just these.
@@ -45,6 +45,12 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def row_key() -> Column:
+    """A long that tells rows apart by doc_id and text; it packs well in a shuffle, as ids come first."""
+    tag = F.xxhash64(F.col("doc_id").cast("long"), "text").bitwiseAND(F.lit(0xFFFF))
+    return F.shiftleft(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), 16).bitwiseOR(tag)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(a, b) links -> (node, component), component being the smallest node reachable.
 

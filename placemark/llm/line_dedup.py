@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemark.llm.common import stored
+from placemark.llm.common import row_key, stored
 
 WINDOW, EVERY, LONGEST = 2, 4, 64
 _MASK = (1 << 64) - 1
@@ -99,7 +99,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_chunks, n_removed_chunks, n_removed_lines and the text that is left, of every row."""
-    own = docs.select(F.xxhash64("doc_id", "text").alias("rid"), F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    own = docs.select(row_key().alias("rid"), F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     once = own.where("text is not null")
     found = stored(once.select("rid", "text").mapInArrow(_hashes, "rid long, hashes array<long>").select("rid", F.explode("hashes").alias("hash")), "lines-hashes")
     again = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemark.llm.common import stored
+from placemark.llm.common import row_key, stored
 from placemark.llm.hashing import in_runs, mix
 
 LENGTH, GRAM = 400, 16
@@ -104,13 +104,19 @@ def cells(h: Hashes, anchor: np.ndarray, first: np.ndarray, last: np.ndarray, wi
     return which, key, context, xs, xe, a
 
 
-_ROW = "rid long, key long, kind long, first int, last int, high int"
-_NAMES = ["rid", "key", "kind", "first", "last", "high"]
+_ROW = "rid long, key long, kind long, first int, last int, high int, n int"
+_NAMES = ["rid", "key", "kind", "first", "last", "high", "n"]
 
 
 def _rows(rid, key, kind, first, last, high) -> pa.RecordBatch:
+    """Rows of one run of texts. Contexts that repeat inside the run are told at once
+    (n 0); one of them goes on for all (n 2), so a text that repeats itself stays small."""
+    _, one, which, count = np.unique(key ^ mix(kind), return_index=True, return_inverse=True, return_counts=True)
+    told = np.flatnonzero(count[which] > 1)
+    at = np.concatenate([one, told])
+    n = np.concatenate([np.minimum(count, 2), np.zeros(len(told), np.int64)])
     return pa.RecordBatch.from_arrays(
-        [pa.array(rid, pa.int64()), pa.array(key.view(np.int64)), pa.array(kind.view(np.int64)), *(pa.array(v.astype(np.int32)) for v in (first, last, high))], names=_NAMES
+        [pa.array(rid[at], pa.int64()), pa.array(key[at].view(np.int64)), pa.array(kind[at].view(np.int64)), *(pa.array(v.astype(np.int32)) for v in (first[at], last[at], high[at], n))], names=_NAMES
     )
 
 
@@ -357,11 +363,12 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, .
     rows = stored(docs.mapInArrow(_all_windows(length, widths[0]), _ROW), "windows")
     spans = None
     for k, width in enumerate(widths):
-        keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("kind").alias("least"), F.max("kind").alias("most")).where("n > 1")
-        met = stored(rows.join(keys.select("key", (F.col("least") < F.col("most")).alias("mixed")), "key"), "windows-met")
-        kinds = stored(met.where("mixed").groupBy("key", "kind").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "last", "high")).alias("one")), "windows-kinds")
+        told, rows = rows.where("n = 0").select("rid", "first", "last"), rows.where("n > 0")
+        keys = rows.groupBy("key").agg(F.sum("n").alias("n"), F.min("kind").alias("least"), F.max("kind").alias("most")).where("n > 1")
+        met = stored(rows.join(keys.select("key", (F.col("least") < F.col("most")).alias("mixed")).hint("merge"), "key"), "windows-met")
+        kinds = stored(met.where("mixed").groupBy("key", "kind").agg(F.sum("n").alias("n"), F.min(F.struct("rid", "first", "last", "high")).alias("one")), "windows-kinds")
         again = met.where("mixed").join(kinds.where("n > 1").select("key", "kind"), ["key", "kind"])
-        found = met.where("not mixed").select("rid", "first", "last").union(again.select("rid", "first", "last"))
+        found = met.where("not mixed").select("rid", "first", "last").union(again.select("rid", "first", "last")).union(told)
         sizes = kinds.groupBy("key").agg(F.count("*").alias("kinds"))
         kinds = stored(kinds.join(sizes, "key").select("key", "kind", "kinds", "one.*"), "windows-sized")
         wanted = F.collect_list(F.struct("key", "kind", "first", "last", "high")).alias("wanted")
@@ -380,7 +387,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, .
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **parameters) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes) and kept_sha256 of every row."""
-    own = docs.select(F.xxhash64("doc_id", "text").alias("rid"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    own = docs.select(row_key().alias("rid"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
     spans = repeated_windows(own.select("rid", "text"), length, **parameters)
     spans = spans.groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     schema = docs.select("doc_id").schema
