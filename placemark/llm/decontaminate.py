@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placemark.llm.common import stored
+
 RANK, OVERSAMPLE, BLOCK, SPAN = 256, 16, 32, 3
 COMMON, LEAST_FEATURES, ITEM_SHARE = 0.1, 8, 0.5
 COSINE, COVERED, LOOSE, ANSWER = 0.4, 0.7, 0.62, 0.8
@@ -46,9 +48,9 @@ def plain_words(text: str | None) -> list[bytes]:
     return [w for w in (x.strip(_ENDS) for x in text.lower().encode("utf-8", "surrogatepass").split()) if w] if text else []
 
 
-def lcs(a: list[bytes], b: list[bytes]) -> int:
+def lcs(a: list, b: list) -> int:
     """The length of the longest common subsequence, a bit for each word of a."""
-    masks: dict[bytes, int] = {}
+    masks: dict = {}
     for i, w in enumerate(a):
         masks[w] = masks.get(w, 0) | 1 << i
     row = full = (1 << len(a)) - 1
@@ -68,42 +70,127 @@ def answer_of(text: str) -> list[bytes]:
     return own if len(own) >= max(3, len(words) // 4) and len(own) < len(words) else words[-max(3, len(words) // 4) :]
 
 
-def _passages(ids: np.ndarray) -> np.ndarray:
-    """Sorted distinct (passage, feature) codes of a text's feature ids by word (-1: none)."""
-    at = np.flatnonzero(ids >= 0)
-    return np.unique((at // (BLOCK * SPAN)) << 32 | ids[at])
+class Vocabulary:
+    """Numbers of the benchmark's words for raw tokens; what a worker has looked up it remembers up to a bound."""
+
+    def __init__(self, words: list[bytes], cache: int = 200_000):
+        self.number = {w: i for i, w in enumerate(words)}
+        self.cache, self.known = cache, {}
+
+    def __getstate__(self) -> dict:
+        return {"number": self.number, "cache": self.cache, "known": {}}
+
+    def ids(self, text: str) -> np.ndarray:
+        """The number of each token, -1 for words of no item."""
+        tokens = text.lower().encode("utf-8", "surrogatepass").split()
+        got = [self.known.get(t) for t in tokens]
+        for i, k in enumerate(got):
+            if k is None:
+                t = tokens[i]
+                got[i] = k = self.known.get(t)
+                if k is None:
+                    got[i] = k = self.number.get(t.strip(_ENDS), -1)
+                    if len(t) <= 40:
+                        if len(self.known) >= self.cache:
+                            self.known.clear()
+                        self.known[t] = k
+        return np.array(got, np.int32)
+
+
+class Lists:
+    """A batch's columns of positions and word numbers, row by row without Python lists."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        place, word = batch.column(1), batch.column(2)
+        self.doc_ids = batch.column(0).to_pylist()
+        self.cuts = place.offsets.to_numpy()
+        self.place, self.word = place.values.to_numpy(), word.values.to_numpy()
+
+    def runs(self, tokens: int = 100_000) -> Iterator[tuple[int, int]]:
+        """Row ranges of about so many tokens."""
+        at = 0
+        while at < len(self.doc_ids):
+            end = max(at + 1, int(np.searchsorted(self.cuts, self.cuts[at] + tokens, side="right")) - 1)
+            yield at, min(end, len(self.doc_ids))
+            at = min(end, len(self.doc_ids))
+
+    def rows(self, at: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of rows at:end the row, position and word of each token."""
+        cut = slice(self.cuts[at], self.cuts[end])
+        return np.repeat(np.arange(end - at), np.diff(self.cuts[at : end + 1])), self.place[cut], self.word[cut]
+
+
+def benchmark_tokens(docs: DataFrame, words: list[bytes]) -> DataFrame:
+    """(doc_id, place, word): the positions and numbers of the benchmark's words in each text; other words cannot take part in a match."""
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        for batch in batches:
+            place, word = [], []
+            for t in batch.column(1).to_pylist():
+                ids = vocabulary.ids(t)
+                at = np.flatnonzero(ids >= 0).astype(np.int32)
+                place.append(at)
+                word.append(ids[at])
+            kind = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place, kind), pa.array(word, kind)], names=["doc_id", "place", "word"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text <> ''")
+    return rows.mapInArrow(run, "doc_id long, place array<int>, word array<int>")
+
+
+def document_frequencies(tokens: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """In how many texts each word is, and the number of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(size + 1, np.int64)
+        for batch in batches:
+            lists = Lists(batch)
+            held[size] += len(lists.doc_ids)
+            for at, end in lists.runs():
+                row, _, word = lists.rows(at, end)
+                held[:size] += np.bincount(np.unique(row.astype(np.int64) << 32 | word) & 0xFFFFFFFF, minlength=size)
+        yield pa.RecordBatch.from_pydict({"word": pa.array(range(size + 1), pa.int32()), "n": pa.array(held)})
+
+    df = np.zeros(size + 1, np.int64)
+    for r in tokens.mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+        df[r.word] = r.n
+    return df[:size], int(df[size])
 
 
 class Space:
-    """Feature numbers and weights of a block of items, then the latent vectors."""
-
-    def __init__(self, items: list[tuple], df: dict[bytes, int], n_docs: int):
-        self.items = [(i, plain_words(t), answer_of(t)) for i, t in items]
-        idf = {w: float(np.log((n_docs + 1) / (df.get(w, 0) + 1))) + 0.1 for _, words, _ in self.items for w in words}
-        chosen: set[bytes] = set()
-        for _, words, _ in self.items:
-            own = sorted(set(words), key=lambda w: (-idf[w], w))
-            rare = [w for w in own if df.get(w, 0) <= COMMON * n_docs]
+    """Features (the items' rarer words) with their weights, then the latent vectors of words and items."""
+
+    def __init__(self, items: list[tuple[int | None, np.ndarray, np.ndarray]], df: np.ndarray, n_docs: int):
+        self.items = items
+        idf = (np.log((n_docs + 1) / (df + 1)) + 0.1).astype(np.float32)
+        chosen: set[int] = set()
+        for _, words, _ in items:
+            own = sorted(set(words.tolist()), key=lambda w: (-idf[w], w))
+            rare = [w for w in own if df[w] <= COMMON * n_docs]
             chosen.update(rare if len(rare) >= LEAST_FEATURES else own[:LEAST_FEATURES])
-        self.number = {w: k for k, w in enumerate(sorted(chosen))}
-        self.idf = np.array([idf[w] for w in sorted(chosen)], np.float32)
+        kept = np.array(sorted(chosen), np.int64)
+        self.feature = np.full(len(df), -1, np.int64)
+        self.feature[kept] = np.arange(len(kept))
+        self.idf = idf[kept]
         self.latent = self.queries = None
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        get = self.number.get
-        return np.array([get(w, -1) for w in words], np.int64)
-
-    def rows(self, ids: list[np.ndarray], scale: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The unit TF-IDF rows of passages: starts of the rows, features, values."""
-        codes = [_passages(x) for x in ids]
-        feature = np.concatenate([c & 0xFFFFFFFF for c in codes]) if codes else np.empty(0, np.int64)
-        if not len(feature):
-            return np.empty(0, np.int64), feature, np.empty(0, np.float32)
-        row = np.concatenate([(c >> 32) + (k << 30) for k, c in enumerate(codes)])
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1])
-        value = self.idf[feature]
+    def rows(self, row: np.ndarray, place: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """The unit TF-IDF rows of separate passages: starts of the rows, features, values."""
+        f = self.feature[word]
+        has = f >= 0
+        if not has.any():
+            return None
+        passage = row[has].astype(np.int64) * (1 << 24) + place[has] // (BLOCK * SPAN)
+        order = np.lexsort((f[has], passage))
+        passage, f = passage[order], f[has][order]
+        once = np.concatenate([[True], (np.diff(passage) != 0) | (np.diff(f) != 0)])
+        passage, f = passage[once], f[once]
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(passage)) + 1])
+        value = self.idf[f]
         norm = np.sqrt(np.add.reduceat(value * value, starts))
-        return starts, feature, value * scale / np.repeat(norm, np.diff(np.append(starts, len(feature))))
+        return starts, f, value / np.repeat(norm, np.diff(np.append(starts, len(f))))
 
     def times(self, rows: tuple, matrix: np.ndarray) -> np.ndarray:
         starts, feature, value = rows
@@ -119,68 +206,46 @@ class Space:
         out[f[first]] += np.add.reduceat(y[order], first, axis=0)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text <> ''")
-
-
-def document_frequencies(docs: DataFrame, words: set[bytes]) -> tuple[dict[bytes, int], int]:
-    """In how many texts each of the words is, and the number of texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, held, n = shared.value, {}, 0
-        for batch in batches:
-            for t in batch.column(1).to_pylist():
-                n += 1
-                for w in wanted.intersection(plain_words(t)):
-                    held[w] = held.get(w, 0) + 1
-        yield pa.RecordBatch.from_pydict({"word": pa.array([*held, b""], pa.binary()), "n": pa.array([*held.values(), n], pa.int64())})
-
-    summed = {bytes(r.word): r.n for r in _texts(docs).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    n = summed.pop(b"", 0)
-    return summed, n
-
+def _summed(tokens: DataFrame, space: Space, shape: tuple[int, int], add) -> np.ndarray:
+    """The sum over all passages of a matrix that add(space, rows, out) adds to; a few tasks merge what the tasks have summed."""
+    shared = tokens.sparkSession.sparkContext.broadcast(space)
+    kind = "part int, sum binary"
 
-def _summed(docs: DataFrame, space: Space, shape: tuple[int, int], add) -> np.ndarray:
-    """The sum over all passages of a matrix that add(rows, out) adds to; rows of the sum meet by number."""
-    shared = docs.sparkSession.sparkContext.broadcast(space)
+    def one(out: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "sum": pa.array([out.tobytes()], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, out = shared.value, np.zeros(shape, np.float32)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 100):
-                rows = s.rows([s.ids(plain_words(t)) for t in texts[at : at + 100]])
-                if len(rows[0]):
+            lists = Lists(batch)
+            for at, end in lists.runs():
+                rows = s.rows(*lists.rows(at, end))
+                if rows:
                     add(s, rows, out)
-        yield pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "sum": pa.array([out.tobytes()], pa.binary())})
+        yield one(out)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(shape, np.float32)
         for batch in batches:
             for raw in batch.column(1).to_pylist():
                 out += np.frombuffer(raw, np.float32).reshape(shape)
-        yield pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "sum": pa.array([out.tobytes()], pa.binary())})
+        yield one(out)
 
-    kind = "part int, sum binary"
-    parts = _texts(docs).mapInArrow(run, kind).repartition(8).mapInArrow(merge, kind)
     total = np.zeros(shape, np.float64)
-    for r in parts.collect():
+    for r in tokens.mapInArrow(run, kind).repartition(4).mapInArrow(merge, kind).toLocalIterator():
         total += np.frombuffer(r.sum, np.float32).reshape(shape)
     return total
 
 
-def fit(docs: DataFrame, items: list[tuple], rank: int = RANK) -> Space | None:
-    """The latent space of all passages and of the items, None where the items have no words."""
-    words = {w for _, t in items for w in plain_words(t)}
-    if not words:
-        return None
-    space = Space(items, *document_frequencies(docs, words))
+def fit(tokens: DataFrame, items: list[tuple[int | None, np.ndarray, np.ndarray]], size: int, rank: int = RANK) -> Space:
+    """The latent space of all passages and of the items."""
+    space = Space(items, *document_frequencies(tokens, size))
     features = len(space.idf)
     width = min(features, rank + OVERSAMPLE)
     draw = np.random.Generator(np.random.PCG64(5)).standard_normal((features, width)).astype(np.float32)
-    own = space.rows([space.ids(words) for _, words, _ in space.items])
-    probe = _summed(docs, space, (features, width), lambda s, rows, out: s.back(rows, s.times(rows, draw), out))
+    lengths = [len(words) for _, words, _ in items]
+    own = space.rows(np.repeat(np.arange(len(items)), lengths), np.concatenate([np.arange(n) for n in lengths]), np.concatenate([words for _, words, _ in items]))
+    probe = _summed(tokens, space, (features, width), lambda s, rows, out: s.back(rows, s.times(rows, draw), out))
     mine = np.zeros((features, width), np.float32)
     space.back(own, space.times(own, draw), mine)
     # The items weigh ITEM_SHARE of the whole.
@@ -191,40 +256,45 @@ def fit(docs: DataFrame, items: list[tuple], rank: int = RANK) -> Space | None:
         y = s.times(rows, basis)
         out += y.T @ y
 
-    small = _summed(docs, space, (basis.shape[1], basis.shape[1]), gram)
+    small = _summed(tokens, space, (basis.shape[1], basis.shape[1]), gram)
     y = space.times(own, basis)
     values, vectors = np.linalg.eigh(small + weight * (y.T @ y))
     space.latent = (basis @ vectors[:, np.argsort(-values)[:rank]]).astype(np.float32) * space.idf[:, None]
-    q = np.zeros((len(space.items), space.latent.shape[1]), np.float32)
-    for k, (_, words, _) in enumerate(space.items):
-        ids = space.ids(words)
-        q[k] = space.latent[ids[ids >= 0]].sum(0)
-    space.queries = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-9)
+    q = np.zeros((len(items), space.latent.shape[1]), np.float32)
+    for k, (_, words, _) in enumerate(items):
+        f = space.feature[words]
+        q[k] = space.latent[f[f >= 0]].sum(0)
+    space.queries = (q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-9)).T.copy()
     return space
 
 
-def candidates(space: Space, ids: np.ndarray, cosine: float) -> list[tuple[int, int, float]]:
-    """(passage's first word, item number, cosine) of a text's passages: SPAN blocks of words each, a block apart."""
-    at = np.flatnonzero(ids >= 0)
-    if not len(at):
-        return []
-    block = at // BLOCK
-    first = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
-    n = int(block[-1]) + 1
-    sums = np.zeros((n + SPAN - 1, space.latent.shape[1]), np.float32)
-    sums[block[first]] = np.add.reduceat(space.latent[ids[at]], first, axis=0)
-    passages = sum(sums[k : k + n] for k in range(SPAN))
-    if n > SPAN:
-        passages = passages[: n - SPAN + 1]
-    else:
-        passages = passages[:1]
+def candidates(space: Space, row: np.ndarray, place: np.ndarray, word: np.ndarray, cosine: float) -> tuple[np.ndarray, ...]:
+    """(row, first word, item number, cosine) of the passages of SPAN blocks of words, a block apart, that are near an item."""
+    f = space.feature[word]
+    has = f >= 0
+    if not has.any():
+        return tuple(np.empty(0, np.int64) for _ in range(4))
+    row, block, f = row[has], place[has] // BLOCK, f[has]
+    # Blocks of a row lie side by side with SPAN - 1 empty ones after the last.
+    last = np.zeros(int(row[-1]) + 1, np.int64)
+    np.maximum.at(last, row, block)
+    width = last + SPAN
+    base = np.cumsum(width) - width
+    at = base[row] + block
+    first = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
+    sums = np.zeros((int(width.sum()) + SPAN, space.latent.shape[1]), np.float32)
+    sums[at[first]] = np.add.reduceat(space.latent[f], first, axis=0)
+    # A passage that starts before the first word with a feature is covered by the one that starts there.
+    begin = np.unique(np.concatenate([np.maximum(at[first] - k, base[row[first]]) for k in range(SPAN)]))
+    passages = sum(sums[begin + k] for k in range(SPAN))
     passages /= np.maximum(np.linalg.norm(passages, axis=1, keepdims=True), 1e-9)
-    score = passages @ space.queries.T
+    score = passages @ space.queries
     p, q = np.nonzero(score >= cosine)
-    return list(zip((p * BLOCK).tolist(), q.tolist(), score[p, q].tolist(), strict=True))
+    own = np.searchsorted(base, begin[p], side="right") - 1
+    return own, (begin[p] - base[own]) * BLOCK, q, score[p, q]
 
 
-def verdict(item: list[bytes], answer: list[bytes], region: list[bytes]) -> tuple[bool, int, int]:
+def verdict(item: list, answer: list, region: list) -> tuple[bool, int, int]:
     """Contaminated?, and the common subsequences of the region with the item and with its answer."""
     n = lcs(item, region)
     if n >= COVERED * len(item):
@@ -241,34 +311,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
     names = ["doc_id", "item_id", "cosine", "lcs_words", "item_words", "answer_words"]
     found: list[DataFrame] = []
-    block: list[tuple] = []
 
-    def search(items: list[tuple]) -> None:
-        space = fit(docs, items)
-        if space is None:
+    def search(block: list[tuple[int | None, str]]) -> None:
+        texts = [(i, plain_words(t), answer_of(t)) for i, t in block]
+        vocabulary = sorted({w for _, words, _ in texts for w in words})
+        number = {w: k for k, w in enumerate(vocabulary)}
+        items = [(i, np.array([number[w] for w in words]), np.array([number[w] for w in answer])) for i, words, answer in texts if words]
+        if not items:
             return
-        shared = docs.sparkSession.sparkContext.broadcast(space)
+        tokens = stored(benchmark_tokens(docs, vocabulary), "benchmark-tokens")
+        shared = docs.sparkSession.sparkContext.broadcast(fit(tokens, items, len(vocabulary)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = shared.value
             for batch in batches:
-                out = []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    words = plain_words(text)
-                    best: dict[int, tuple] = {}
-                    for at, q, score in candidates(s, s.ids(words), cosine):
+                lists, best = Lists(batch), {}
+                for at, end in lists.runs():
+                    rows = lists.rows(at, end)
+                    for row, first, q, score in zip(*(c.tolist() for c in candidates(s, *rows, cosine)), strict=True):
                         item_id, item, answer = s.items[q]
-                        region = words[max(0, at - len(item) // 2) : at + BLOCK * SPAN + len(item) // 2]
-                        if len(item):
-                            yes, n, a = verdict(item, answer, region)
-                            if yes and (q not in best or n > best[q][3]):
-                                best[q] = (doc_id, item_id, score, n, len(item), a)
-                    out += best.values()
-                columns = list(zip(*out, strict=True)) if out else [[]] * 6
+                        cut = slice(lists.cuts[at + row], lists.cuts[at + row + 1])
+                        low, high = np.searchsorted(lists.place[cut], (first - len(item) // 2, first + BLOCK * SPAN + len(item) // 2))
+                        yes, n, a = verdict(item.tolist(), answer.tolist(), lists.word[cut][low:high].tolist())
+                        key = (at + row, q)
+                        if yes and (key not in best or n > best[key][3]):
+                            best[key] = (lists.doc_ids[at + row], item_id, score, n, len(item), a)
+                columns = list(zip(*best.values(), strict=True)) if best else [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-        found.append(_texts(docs).mapInArrow(run, schema))
+        found.append(tokens.mapInArrow(run, schema))
 
+    block: list[tuple[int | None, str]] = []
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text <> ''").orderBy("item_id", "text")
     for r in items.toLocalIterator():
         block.append((r.item_id, r.text))
