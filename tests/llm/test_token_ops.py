@@ -90,7 +90,7 @@ def level(sizes, weights, cap=3):
 
 def test_mix_meets_targets(spark):
     random_ = random.Random(2)
-    rows = [(i, "w " * random_.randint(0, 40), "s" + str(min(random_.randint(0, 9), 5))) for i in range(800)] + [(900 + i, "one two", None) for i in range(3)] + [(7, "w w", "s0"), (7, "w w", "s0")]
+    rows = [(i, "w " * random_.randint(0, 40), "s" + str(min(random_.randint(0, 9), 5))) for i in range(800)] + [(900 + i, "one two", None) for i in range(3)] + [(5000, "w w", "s0"), (5000, "w w", "s0")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("x"))
     got = mixing.mixed(docs, slots=1 << 12, docs_a_bucket=20).collect()
     assert len(got) == len(rows) and all(r.taken <= 3 * r["size"] for r in got)
@@ -146,6 +146,6 @@ def test_quality_tells_junk(spark):
     random_ = random.Random(3)
     syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"]
     text = lambda: " ".join("".join(random_.choices(syllables, k=random_.randint(1, 4))) for _ in range(120))
-    rows = [(i, text(), "en") for i in range(300)] + [(1000 + i, " ".join(w + "%#*" for w in text().split()), "en") for i in range(10)]
+    rows = [(i, text(), "en") for i in range(300)] + [(1000 + i, " ".join("".join(random_.choices("%#QZ9!xkw|Y7", k=6)) for _ in range(120)), "en") for i in range(10)]
     got = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     assert sum(r.kept for r in got if r.doc_id < 1000) >= 297 and not any(r.kept for r in got if r.doc_id >= 1000)
