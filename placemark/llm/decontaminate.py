@@ -26,6 +26,7 @@ ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
 
@@ -48,18 +49,31 @@ def plain_words(text: str | None) -> list[bytes]:
     return [w for w in (x.strip(_ENDS) for x in text.lower().encode("utf-8", "surrogatepass").split()) if w] if text else []
 
 
-def lcs(a: list, b: list) -> int:
-    """The length of the longest common subsequence, a bit for each word of a."""
-    masks: dict = {}
-    for i, w in enumerate(a):
-        masks[w] = masks.get(w, 0) | 1 << i
-    row = full = (1 << len(a)) - 1
-    for w in b:
-        m = masks.get(w)
-        if m:
+class Sequence:
+    """A word sequence that others are held against: for each of its words the bits of its places."""
+
+    def __init__(self, words: list):
+        self.words = len(words)
+        self.places: dict = {}
+        for i, w in enumerate(words):
+            self.places[w] = self.places.get(w, 0) | 1 << i
+
+    def hits(self, other: list) -> list[int]:
+        """The places of the other's words that occur here; no common subsequence is longer than this list."""
+        return list(filter(None, map(self.places.get, other)))
+
+    def lcs(self, hits: list[int]) -> int:
+        """The length of the longest common subsequence."""
+        row = full = (1 << self.words) - 1
+        for m in hits:
             u = row & m
             row = ((row + u) | (row - u)) & full
-    return len(a) - row.bit_count()
+        return self.words - row.bit_count()
+
+
+def lcs(a: list, b: list) -> int:
+    s = Sequence(a)
+    return s.lcs(s.hits(b))
 
 
 def answer_of(text: str) -> list[bytes]:
@@ -70,31 +84,28 @@ def answer_of(text: str) -> list[bytes]:
     return own if len(own) >= max(3, len(words) // 4) and len(own) < len(words) else words[-max(3, len(words) // 4) :]
 
 
-class Vocabulary:
-    """Numbers of the benchmark's words for raw tokens; what a worker has looked up it remembers up to a bound."""
+class Vocabulary(dict):
+    """Numbers of the benchmark's words for raw tokens, -1 for words of no item; what a worker has looked up it remembers up to a bound."""
 
     def __init__(self, words: list[bytes], cache: int = 200_000):
+        super().__init__()
+        self.words, self.cache = words, cache
         self.number = {w: i for i, w in enumerate(words)}
-        self.cache, self.known = cache, {}
 
-    def __getstate__(self) -> dict:
-        return {"number": self.number, "cache": self.cache, "known": {}}
+    def __reduce__(self) -> tuple:
+        return Vocabulary, (self.words, self.cache)
+
+    def __missing__(self, token: bytes) -> int:
+        k = self.number.get(token.strip(_ENDS), -1)
+        if len(token) <= 40:
+            if len(self) >= self.cache:
+                self.clear()
+            self[token] = k
+        return k
 
     def ids(self, text: str) -> np.ndarray:
-        """The number of each token, -1 for words of no item."""
         tokens = text.lower().encode("utf-8", "surrogatepass").split()
-        got = [self.known.get(t) for t in tokens]
-        for i, k in enumerate(got):
-            if k is None:
-                t = tokens[i]
-                got[i] = k = self.known.get(t)
-                if k is None:
-                    got[i] = k = self.number.get(t.strip(_ENDS), -1)
-                    if len(t) <= 40:
-                        if len(self.known) >= self.cache:
-                            self.known.clear()
-                        self.known[t] = k
-        return np.array(got, np.int32)
+        return np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
 
 
 class Lists:
@@ -106,7 +117,7 @@ class Lists:
         self.cuts = place.offsets.to_numpy()
         self.place, self.word = place.values.to_numpy(), word.values.to_numpy()
 
-    def runs(self, tokens: int = 100_000) -> Iterator[tuple[int, int]]:
+    def runs(self, tokens: int = 10_000) -> Iterator[tuple[int, int]]:
         """Row ranges of about so many tokens."""
         at = 0
         while at < len(self.doc_ids):
@@ -183,27 +194,30 @@ class Space:
         if not has.any():
             return None
         passage = row[has].astype(np.int64) * (1 << 24) + place[has] // (BLOCK * SPAN)
-        order = np.lexsort((f[has], passage))
-        passage, f = passage[order], f[has][order]
-        once = np.concatenate([[True], (np.diff(passage) != 0) | (np.diff(f) != 0)])
-        passage, f = passage[once], f[once]
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(passage)) + 1])
+        # Tokens come in order, so passages can be numbered as they change.
+        number = np.cumsum(np.diff(passage, prepend=passage[0]) != 0)
+        number, f = np.divmod(np.unique(number * len(self.idf) + f[has]), len(self.idf))
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1])
         value = self.idf[f]
         norm = np.sqrt(np.add.reduceat(value * value, starts))
         return starts, f, value / np.repeat(norm, np.diff(np.append(starts, len(f))))
 
     def times(self, rows: tuple, matrix: np.ndarray) -> np.ndarray:
         starts, feature, value = rows
-        return np.add.reduceat(matrix[feature] * value[:, None], starts, axis=0)
+        y = matrix[feature]
+        y *= value[:, None]
+        return np.add.reduceat(y, starts, axis=0)
 
     def back(self, rows: tuple, projected: np.ndarray, out: np.ndarray) -> None:
         """out += rows' @ projected"""
         starts, feature, value = rows
-        y = np.repeat(projected, np.diff(np.append(starts, len(feature))), axis=0) * value[:, None]
         order = np.argsort(feature, kind="stable")
         f = feature[order]
+        passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(feature))))
+        y = projected[passage[order]]
+        y *= value[order, None]
         first = np.concatenate([[0], np.flatnonzero(np.diff(f)) + 1])
-        out[f[first]] += np.add.reduceat(y[order], first, axis=0)
+        out[f[first]] += np.add.reduceat(y, first, axis=0)
 
 
 def _summed(tokens: DataFrame, space: Space, shape: tuple[int, int], add) -> np.ndarray:
@@ -294,15 +308,16 @@ def candidates(space: Space, row: np.ndarray, place: np.ndarray, word: np.ndarra
     return own, (begin[p] - base[own]) * BLOCK, q, score[p, q]
 
 
-def verdict(item: list, answer: list, region: list) -> tuple[bool, int, int]:
+def verdict(item: Sequence, answer: Sequence, region: list) -> tuple[bool, int, int]:
     """Contaminated?, and the common subsequences of the region with the item and with its answer."""
-    n = lcs(item, region)
-    if n >= COVERED * len(item):
-        return True, n, lcs(answer, region)
-    if n < LOOSE * len(item):
+    hits = item.hits(region)
+    if len(hits) < LOOSE * item.words:
+        return False, 0, 0
+    n = item.lcs(hits)
+    if n < LOOSE * item.words:
         return False, n, 0
-    a = lcs(answer, region)
-    return a >= ANSWER * len(answer), n, a
+    a = answer.lcs(answer.hits(region))
+    return n >= COVERED * item.words or a >= ANSWER * answer.words, n, a
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, item_block: int = 2000) -> DataFrame:
@@ -324,18 +339,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = shared.value
+            sequences = [(Sequence(item.tolist()), Sequence(answer.tolist())) for _, item, answer in s.items]
             for batch in batches:
-                lists, best = Lists(batch), {}
+                lists, best, now = Lists(batch), {}, -1
                 for at, end in lists.runs():
                     rows = lists.rows(at, end)
                     for row, first, q, score in zip(*(c.tolist() for c in candidates(s, *rows, cosine)), strict=True):
-                        item_id, item, answer = s.items[q]
-                        cut = slice(lists.cuts[at + row], lists.cuts[at + row + 1])
-                        low, high = np.searchsorted(lists.place[cut], (first - len(item) // 2, first + BLOCK * SPAN + len(item) // 2))
-                        yes, n, a = verdict(item.tolist(), answer.tolist(), lists.word[cut][low:high].tolist())
-                        key = (at + row, q)
+                        if at + row != now:
+                            now = at + row
+                            cut = slice(lists.cuts[now], lists.cuts[now + 1])
+                            place, word = lists.place[cut].tolist(), lists.word[cut].tolist()
+                        item, answer = sequences[q]
+                        low, high = bisect_left(place, first - item.words // 2), bisect_left(place, first + BLOCK * SPAN + item.words // 2)
+                        yes, n, a = verdict(item, answer, word[low:high])
+                        key = (now, q)
                         if yes and (key not in best or n > best[key][3]):
-                            best[key] = (lists.doc_ids[at + row], item_id, score, n, len(item), a)
+                            best[key] = (lists.doc_ids[now], s.items[q][0], score, n, item.words, a)
                 columns = list(zip(*best.values(), strict=True)) if best else [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
