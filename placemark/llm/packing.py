@@ -35,6 +35,22 @@ SCHEMA = (
 )
 
 
+class Encodings(dict):
+    """Pre-tokens' ids as bytes, encoded when first asked for; short ones are remembered, up to a bound."""
+
+    def __init__(self, sp, kind: type, cache: int):
+        super().__init__()
+        self.sp, self.kind, self.cache = sp, kind, cache
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = np.array(encode_unit(self.sp, unit), self.kind).tobytes()
+        if len(unit) <= 64:
+            if len(self) >= self.cache:
+                self.clear()
+            self[unit] = ids
+        return ids
+
+
 class CapacityTree:
     """A segment tree over capacities 0..size: which has an open row, and the least such at or above a need."""
 
@@ -100,8 +116,9 @@ def pack(
     path = model_path or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp, known = processor(path), {}
+        sp = processor(path)
         kind = np.uint16 if sp.vocab_size() <= 1 << 16 else np.uint32
+        known = Encodings(sp, kind, cache)
         shard, written = TaskContext.get().partitionId(), 0
         held: list[tuple[int | None, np.ndarray]] = []
         size = 0
@@ -110,17 +127,7 @@ def pack(
             units = pre_tokens(text)
             if units is None:
                 return np.array(sp.encode(text, num_threads=1), kind)
-            parts = []
-            for u in units:
-                ids = known.get(u)
-                if ids is None:
-                    ids = np.array(encode_unit(sp, u), kind).tobytes()
-                    if len(u) <= 64:
-                        if len(known) >= cache:
-                            known.clear()
-                        known[u] = ids
-                parts.append(ids)
-            return np.frombuffer(b"".join(parts), kind)
+            return np.frombuffer(b"".join(map(known.__getitem__, units)), kind)
 
         def block() -> Iterator[pa.RecordBatch]:
             nonlocal written, size
