@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 from hashlib import sha256
 
+import numpy as np
 import pytest
 
 from placemark.llm import class_lm, common, decontaminate, html_text, line_dedup, ngram_join, substring_dedup
@@ -61,6 +62,39 @@ def test_join(spark, corpus, size, percent, cell):
     assert all(r.component_id == want[r.doc_id] and r.n_shingles in {len(s) for s in sets[r.doc_id]} for r in got)
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_join_blocks_all_sizes(percent):
+    bands = ngram_join.Bands(percent)
+    draw = np.random.Generator(np.random.PCG64(3))
+    for a in range(1, 200):
+        for b in range(a, a * 100 // percent + 1):
+            common = -(-(a + b) * percent // (100 + percent))
+            if common > a or a + b == 2 * common:
+                continue  # no link, or equal sets only
+            tags = dict(bands.places(a)).items() & dict(bands.places(b)).items()
+            assert max((parts for _, parts in tags), default=0) >= a + b - 2 * common + 2, (a, b)
+            s = draw.integers(0, 1 << 63, a + b - common, np.uint64)
+            one, other = np.sort(s[:a]), np.sort(np.concatenate([s[:common], s[a:]]))
+            assert np.intersect1d(*(ngram_join.signatures(x, bands.places(len(x))) for x in (one, other))).size, (a, b)
+
+
+def test_join_short_texts(spark):
+    rows = []
+    for k, n in enumerate(range(8, 15)):
+        words = [f"t{k}w{i}" for i in range(n + 1)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(words[:-1]))]
+    want, _ = brute_components(rows, 3, 90)
+    got = {r.doc_id: r.component_id for r in ngram_join.linked_components(table(spark, rows), 3, 90).collect()}
+    assert got == want and want[31] == 30
+
+
+def test_join_repeated_id(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "ab"]
+    rows = [(0, texts[0]), (0, texts[1]), (1, texts[0] + " more"), (2, texts[1] + " more"), (0, texts[0])]
+    got = ngram_join.linked_components(table(spark, rows), 3, 90).collect()
+    assert len(got) == len(rows) and {r.component_id for r in got} == {0}
+
+
 def test_one_of_each(spark, corpus):
     df = table(spark, corpus)
     left = ngram_join.one_of_each(df)
