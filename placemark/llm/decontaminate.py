@@ -10,12 +10,15 @@ take part; the benchmark's own passages are added with the weight of ITEM_SHARE
 of the whole, so that the space tells the items apart.
 
 Every document is then cut into overlapping passages; those whose latent vector
-has a cosine of at least COSINE with an item's are candidates. A candidate is
+has a cosine of at least COSINE with an item's are candidates, and so is every
+place that has SHINGLE of an item's words in a row (words of no item left out),
+whatever its cosine: no verbatim copy depends on the space. A candidate is
 contaminated if the longest common subsequence of its words with the item's
 covers COVERED of the item; or, for looser paraphrases, LOOSE of it together
 with the item's answer (its last sentence) to ANSWER. Words are compared in lower case
 without punctuation at their ends. The benchmark is the stated query set; it is
-worked off in blocks of item_block items, each against all rows.
+worked off in blocks of item_block items, no more than the space has dimensions,
+each against all rows.
 
 Defined results: null or empty texts and items never match; a null item_id or
 doc_id is returned as it is; rows that repeat a doc_id give one match an item,
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 
 from placemark.llm.common import stored
 
-RANK, OVERSAMPLE, BLOCK, SPAN = 256, 16, 32, 3
+RANK, OVERSAMPLE, BLOCK, SPAN, SHINGLE = 256, 16, 32, 3, 3
 COMMON, LEAST_FEATURES, ITEM_SHARE = 0.1, 8, 0.5
 COSINE, COVERED, LOOSE, ANSWER = 0.4, 0.7, 0.62, 0.8
 _ENDS = b".,;:!?\"'()[]{}"
@@ -186,6 +189,40 @@ class Space:
         self.feature[kept] = np.arange(len(kept))
         self.idf = idf[kept]
         self.latent = self.queries = None
+        # By length: the items' shingles in order, with the item and the shingle's distance from its middle.
+        self.shingles = {}
+        lengths = np.array([len(words) for _, words, _ in items])
+        for size in range(1, SHINGLE + 1):
+            chosen = np.flatnonzero(lengths == size if size < SHINGLE else lengths >= size)
+            if len(chosen):
+                keys = np.concatenate([self.keys(items[k][1], size) for k in chosen])
+                own = np.repeat(chosen, lengths[chosen] - size + 1)
+                middle = np.concatenate([lengths[k] // 2 - np.arange(lengths[k] - size + 1) for k in chosen])
+                order = np.argsort(keys, kind="stable")
+                self.shingles[size] = keys[order], own[order], middle[order]
+
+    def keys(self, word: np.ndarray, size: int) -> np.ndarray:
+        """A number for each size words in a row; should two share it, the verdict tells them apart."""
+        n = len(word) - size + 1
+        key = np.zeros(max(n, 0), np.int64)
+        for k in range(size):
+            key = key * len(self.feature) + word[k : k + len(key)]
+        return key
+
+    def verbatim(self, row: np.ndarray, place: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """(row, block, item number) of the passages around what shares a shingle with an item, each once."""
+        found = [np.empty((0, 3), np.int64)]
+        for size, (keys, items, middle) in self.shingles.items():
+            own = self.keys(word, size)
+            low = np.searchsorted(keys, own)
+            at = np.flatnonzero((low < len(keys)) & (keys[np.minimum(low, len(keys) - 1)] == own))
+            at = at[row[at] == row[at + size - 1]]
+            low, n = low[at], np.searchsorted(keys, own[at], side="right") - low[at]
+            hit = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            at = np.repeat(at, n)
+            block = np.maximum((place[at] + middle[hit]) // BLOCK - SPAN // 2, 0)
+            found.append(np.stack([row[at], block, items[hit]], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
 
     def rows(self, row: np.ndarray, place: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         """The unit TF-IDF rows of separate passages: starts of the rows, features, values."""
@@ -283,11 +320,12 @@ def fit(tokens: DataFrame, items: list[tuple[int | None, np.ndarray, np.ndarray]
 
 
 def candidates(space: Space, row: np.ndarray, place: np.ndarray, word: np.ndarray, cosine: float) -> tuple[np.ndarray, ...]:
-    """(row, first word, item number, cosine) of the passages of SPAN blocks of words, a block apart, that are near an item."""
+    """(row, first word, item number, cosine) of the passages of SPAN blocks of words, a block apart, that are near an item or share a shingle with it, row by row."""
     f = space.feature[word]
     has = f >= 0
+    same = space.verbatim(row, place, word)
     if not has.any():
-        return tuple(np.empty(0, np.int64) for _ in range(4))
+        return same[:, 0], same[:, 1] * BLOCK, same[:, 2], np.zeros(len(same))
     row, block, f = row[has], place[has] // BLOCK, f[has]
     # Blocks of a row lie side by side with SPAN - 1 empty ones after the last.
     last = np.zeros(int(row[-1]) + 1, np.int64)
@@ -305,7 +343,19 @@ def candidates(space: Space, row: np.ndarray, place: np.ndarray, word: np.ndarra
     score = passages @ space.queries
     p, q = np.nonzero(score >= cosine)
     own = np.searchsorted(base, begin[p], side="right") - 1
-    return own, (begin[p] - base[own]) * BLOCK, q, score[p, q]
+    near = np.stack([own, begin[p] - base[own], q], axis=1)
+    # The others by their shingles; a passage that no passage with features starts at has no cosine.
+    cosines = np.zeros(len(same), np.float32)
+    known = np.flatnonzero(same[:, 0] < len(base))
+    known = known[same[known, 1] < width[same[known, 0]]]
+    start = base[same[known, 0]] + same[known, 1]
+    at = np.minimum(np.searchsorted(begin, start), len(begin) - 1)
+    known, at = known[begin[at] == start], at[begin[at] == start]
+    cosines[known] = score[at, same[known, 2]]
+    more = cosines < cosine
+    every, cosines = np.concatenate([near, same[more]]), np.concatenate([score[p, q], cosines[more]])
+    order = np.argsort(every[:, 0], kind="stable")
+    return every[order, 0], every[order, 1] * BLOCK, every[order, 2], cosines[order]
 
 
 def verdict(item: Sequence, answer: Sequence, region: list) -> tuple[bool, int, int]:
@@ -320,7 +370,7 @@ def verdict(item: Sequence, answer: Sequence, region: list) -> tuple[bool, int,
     return n >= COVERED * item.words or a >= ANSWER * answer.words, n, a
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, item_block: int = 2000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, item_block: int = RANK) -> DataFrame:
     """(doc_id, item_id, cosine, lcs_words, item_words, answer_words): the best matching passage a document and item."""
     schema = "doc_id long, item_id long, cosine double, lcs_words int, item_words int, answer_words int"
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]

@@ -207,6 +207,25 @@ def test_decontamination(spark):
     assert {x.doc_id for x in clean.collect()} == set(range(40)) | {300, 301}
 
 
+def test_decontamination_without_cosine(spark):
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    items = [" ".join(r.choices(words, k=r.choice([1, 2, 3, 15, 40, 150]))) + "." for _ in range(300)]
+    docs = []
+    for k, item in enumerate(items):
+        own = item.split()
+        if k % 3 == 1 and len(own) > 10:  # near-verbatim: a word in eight changed
+            own[4::8] = ["other"] * len(own[4::8])
+        text = r.choices(words + ["- ,", "none"], k=r.randint(0, 400))
+        cut = r.randint(0, len(text))
+        docs.append((k, " ".join(text[:cut] + own + text[cut:])))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for cosine in (2.0, decontaminate.COSINE):
+        got = {(m.doc_id, m.item_id) for m in decontaminate.contaminated(table(spark, docs), benchmark, cosine).collect()}
+        assert {(k, k) for k in range(len(items))} <= got
+        assert all(decontaminate.lcs(decontaminate.plain_words(items[i]), decontaminate.plain_words(docs[d][1])) >= decontaminate.LOOSE * len(items[i].split()) for d, i in got)
+
+
 def test_lcs():
     r = random.Random(9)
     for _ in range(300):
