@@ -136,6 +136,12 @@ def test_substring_dedup(spark, corpus, length, widths, group):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == brute_repeats(rows, length)
 
 
+def test_row_keys_differ(spark):
+    rows = [(i, f"text {k}") for i in (None, -1, 7) for k in range(4000)]
+    keys = {r[0] for r in table(spark, rows).select(common.row_key()).collect()}
+    assert len(keys) == len(rows)
+
+
 def test_deep_shallow_order():
     r = random.Random(5)
     for _ in range(500):
