@@ -4,8 +4,11 @@ Slot k of the mix takes the point frac(k * golden ratio); the point falls in
 one source's share of the cumulative weights, so every stretch of the mix holds
 the sources in proportion. Slots are ranked per source. Each source's documents
 are shuffled by a hash of their ids and laid end to end, and the r-th slot of a
-source is joined with its r-th block of equally many words; a source that must
-give more than it has starts over. The whole path is DataFrame expressions.
+source is joined with its r-th block; its target, in whole words, is dealt out
+evenly among its slots, so that each source gives its target at any number of
+slots, and one that draws none has a slot of its own after the others. A source
+that must give more than it has starts over. The whole path is DataFrame
+expressions.
 
 Sizes are words of the text (null: 0). A source's target is its share by weight,
 at most max_repeats times its size, the excess reshared by weight: the level is
@@ -73,7 +76,7 @@ def schedule(
     mix: (slot, source, block, start, words, doc_id, key): in slot order, words
     from the offset start of the source's laid-out words belong to that document.
     placed: (doc_id, key, source, size, source_size, target, first, ...) a row a document.
-    slots is the resolution: a block holds total words / slots, rounded up.
+    slots is how finely sources alternate: a block holds about total words / slots.
     """
     sized = docs.select(
         "doc_id",
@@ -105,7 +108,8 @@ def schedule(
     placed = stored(placed, "mix-placed")
     # The slots: point -> source by its share, rank within the source.
     n_slots = -(-total // block) if total else 0
-    share = goal.where("upper > lower").select("source", "source_size", "cap", "lower", "upper")
+    goal = goal.withColumn("gives", F.when(F.col("target") > 0, F.greatest(F.lit(1), F.round("target"))).otherwise(0).cast("long"))
+    share = goal.where("upper > lower").select("source", "source_size", "gives", "lower", "upper")
     last = F.lead("upper").over(W.orderBy(F.col("source").asc_nulls_last())).isNull()
     # Points and shares meet on the cells of a grid over [0, 1) that they touch.
     share = share.withColumn("upper", F.when(last, 2.0).otherwise(F.col("upper"))).withColumn(
@@ -114,20 +118,24 @@ def schedule(
     point = F.col("slot") * F.lit(GOLDEN)
     drawn = docs.sparkSession.range(n_slots).select(F.col("id").alias("slot")).withColumn("point", point - F.floor(point))
     drawn = drawn.withColumn("cell", (F.col("point") * GRID).cast("int")).join(share, "cell").where("point >= lower and point < upper")
-    drawn = drawn.select("slot", "source", "source_size", "cap")
+    drawn = drawn.select("slot", "source", "source_size", "gives")
     # Ranks by stretches of slots: sums of whole stretches first, then within each.
     stretch = (F.col("slot") / 4096).cast("long")
     drawn = drawn.withColumn("stretch", stretch)
-    counted = drawn.groupBy("source", "stretch").agg(F.count("*").alias("n"))
-    counted = counted.withColumn("earlier", F.coalesce(F.sum("n").over(W.partitionBy("source").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    counted = stored(drawn.groupBy("source", "stretch").agg(F.count("*").alias("n")), "mix-counted")
+    earlier = F.sum("n").over(W.partitionBy("source").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1))
+    numbered = counted.select("source", "stretch", F.coalesce(earlier, F.lit(0)).alias("earlier"), F.sum("n").over(W.partitionBy("source")).alias("own"))
     ranked = drawn.withColumn("rank", F.row_number().over(W.partitionBy("source", "stretch").orderBy("slot")) - 1)
-    ranked = ranked.join(counted, same(ranked, counted, "source", "stretch")).select(
-        "slot", ranked.source, (F.col("rank") + F.col("earlier")).alias("block"), "source_size", "cap"
+    ranked = ranked.join(numbered, same(ranked, numbered, "source", "stretch")).select(
+        "slot", ranked.source, (F.col("rank") + F.col("earlier")).alias("block"), "source_size", "gives", "own"
     )
-    # Block r is words [r * block, (r + 1) * block) of the source laid out over and
-    # over; cut where the source ends, so that a piece lies in one round.
-    start = F.col("block") * block
-    end = F.least(start + block, F.col("cap").cast("long"))
+    # A source whose share no point falls into.
+    missed = goal.where("gives > 0").alias("g").join(counted.select("source").distinct().alias("c"), F.col("g.source").eqNullSafe(F.col("c.source")), "left_anti")
+    after = (F.lit(n_slots - 1) + F.row_number().over(W.orderBy(F.col("source").asc_nulls_last()))).cast("long")
+    ranked = ranked.union(missed.select(after.alias("slot"), "source", F.lit(0).cast("long").alias("block"), "source_size", "gives", F.lit(1).cast("long").alias("own")))
+    # Block r of n is words [r / n, (r + 1) / n) of what the source gives, laid out over
+    # and over; cut where the source ends, so that a piece lies in one round.
+    start, end = F.expr("block * gives div own"), F.expr("(block + 1) * gives div own")
     rounds = ranked.withColumns({"start": start, "end": end}).where("end > start").withColumn(
         "round", F.explode(F.expr("sequence(start div source_size, (end - 1) div source_size)"))
     )

@@ -106,6 +106,19 @@ def test_mix_meets_targets(spark):
     assert Counter((r.doc_id, r.taken) for r in again.collect()) == Counter((r.doc_id, r.taken) for r in got)
 
 
+def test_mix_small_sources(spark):
+    rows = [(i, "w " * 100, "hot") for i in range(500)] + [(1000 + i, "one two three", f"s{i % 60}") for i in range(180)] + [(2000, "w", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mixed(docs, slots=64).collect()
+    source = {d: s for d, _, s in rows}
+    for n in set(source.values()):
+        own = [r for r in got if source[r.doc_id] == n]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1, n
+        assert all(r.taken <= 3 * r["size"] for r in own)
+    slots = mixing.schedule(docs, slots=64)[0].select("slot", "source").distinct().groupBy("slot").count()
+    assert slots.where("count > 1").count() == 0
+
+
 def test_mix_odd_tables(spark, odd):
     assert mixing.mixed(odd).count() == odd.count()
     assert mixing.mixed(empty(spark)).count() == 0
