@@ -82,6 +82,11 @@ def lookalike_new_new(spark: SparkSession, d: str) -> DataFrame:
     return match.near_new(_parts(spark, d).where(F.col("incoming_id") % 10 < 3))
 
 
+@query()
+def lookalike_new_all(spark: SparkSession, d: str) -> DataFrame:
+    return match.near_new(_parts(spark, d))
+
+
 @query("""WITH x AS (SELECT s_suppkey AS row_id, s_suppkey % 300 AS t FROM supplier WHERE s_suppkey % 2 = 0)
 SELECT row_id, CASE WHEN row_id % 4 = 0 THEN CASE WHEN c_custkey IS NULL THEN 'missing' ELSE 'found' END ELSE CASE WHEN n = 0 OR n IS NULL THEN 'missing' WHEN n = 1 THEN 'found' ELSE 'conflict' END END AS status,
  CASE WHEN row_id % 4 = 0 THEN c_custkey WHEN n = 1 THEN v END AS venue_id FROM x LEFT JOIN customer ON row_id % 4 = 0 AND c_custkey = t
