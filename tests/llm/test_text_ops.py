@@ -187,6 +187,10 @@ def test_class_lm(spark, corpus):
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 
+def test_class_lm_units():
+    assert class_lm.WORDS >= 1024 and class_lm.ENDINGS >= 512
+
+
 def test_exchange_raises_the_likelihood():
     import numpy as np
 
