@@ -36,6 +36,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that stored() wrote, once what was made of them is stored itself."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,31 +66,32 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     a group's centre is reached by aggregation, never gathered in one place.
     Null ends are ignored. Nodes without a link are not returned.
     """
-    links = stored(
+    first = stored(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct(),
         name,
     )
-    labels = None
-    while True:
+    links, hooks = first, []
+    while not links.isEmpty():
         up = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
         # Each hook points to a smaller node: a second hop and then contraction.
         hop = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        up = up.join(hop, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-        up = stored(up, name)
-        if labels is None:
-            ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b"))).distinct()
-            labels = ends.join(up, "node", "left").select("node", F.coalesce("root", "node").alias("component"))
-        else:
-            moved = up.select(F.col("node").alias("component"), "root")
-            labels = labels.join(moved, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
-        labels = stored(labels, name)
+        up = stored(up.join(hop, "root", "left").select("node", F.coalesce("next", "root").alias("root")), name)
+        hooks.append(up)
+        left = links
         for end in ("a", "b"):
             moved = up.select(F.col("node").alias(end), F.col("root").alias("root_" + end))
-            links = links.join(moved, end, "left").withColumn(end, F.coalesce("root_" + end, end)).drop("root_" + end)
-        links = stored(
-            links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), name
-        )
-        if links.isEmpty():
-            return labels
+            left = left.join(moved, end, "left").withColumn(end, F.coalesce("root_" + end, end)).drop("root_" + end)
+        left = stored(left.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), name)
+        if links is not first:
+            discard(links)
+        links = left
+    # The rounds are few, about the logarithm of the longest chain: follow each node through their hooks.
+    labels = first.select(F.col("a").alias("node")).union(first.select(F.col("b"))).distinct().withColumn("component", F.col("node"))
+    for up in hooks:
+        moved = up.select(F.col("node").alias("component"), "root")
+        labels = labels.join(moved, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    labels = stored(labels, name)
+    discard(first, links, *hooks)
+    return labels

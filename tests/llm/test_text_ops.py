@@ -54,28 +54,42 @@ def brute_components(rows, size, percent):
     return {i: None if i is None else find(i) for i in sets}, sets
 
 
-@pytest.mark.parametrize("size,percent,cell", [(3, 90, 50), (5, 80, 10_000), (2, 60, 200)])
-def test_join(spark, corpus, size, percent, cell):
+@pytest.mark.parametrize("size,percent,cell,frequent", [(3, 90, 50, 32), (5, 80, 10_000, 2), (3, 80, 100, 1)])
+def test_join(spark, corpus, size, percent, cell, frequent):
     want, sets = brute_components(corpus, size, percent)
-    got = ngram_join.linked_components(table(spark, corpus), size, percent, cell).collect()
+    got = ngram_join.linked_components(table(spark, corpus), size, percent, cell, frequent).collect()
     assert len(got) == len(corpus)
     assert all(r.component_id == want[r.doc_id] and r.n_shingles in {len(s) for s in sets[r.doc_id]} for r in got)
 
 
-@pytest.mark.parametrize("percent", [60, 80, 90])
-def test_join_blocks_all_sizes(percent):
-    bands = ngram_join.Bands(percent)
-    draw = np.random.Generator(np.random.PCG64(3))
-    for a in range(1, 200):
+def test_join_large_clusters(spark):
+    """Copies of an original that do not link with each other, chains of them, and strangers that share much."""
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(500)]
+    origin = r.choices(words, k=60)
+    rows = [(0, " ".join(origin))]
+    chain = list(origin)
+    for k in range(1, 60):
+        copy = list(origin)
+        for at in r.sample(range(60), r.choice([1, 2, 4, 9])):
+            copy[at] = f"new{k}x{at}"
+        rows.append((k, " ".join(copy)))
+        chain[(7 * k) % 60] = f"link{k}"
+        rows.append((100 + k, " ".join(chain)))
+    for size, percent, cell in ((2, 80, 150), (1, 80, 100)):
+        want, _ = brute_components(rows, size, percent)
+        got = {x.doc_id: x.component_id for x in ngram_join.linked_components(table(spark, rows), size, percent, cell).collect()}
+        assert got == want
+
+
+@pytest.mark.parametrize("percent", [50, 60, 80, 90, 99, 100])
+def test_join_prefixes_meet(percent):
+    for a in range(1, 300):
         for b in range(a, a * 100 // percent + 1):
-            common = -(-(a + b) * percent // (100 + percent))
-            if common > a or a + b == 2 * common:
-                continue  # no link, or equal sets only
-            tags = dict(bands.places(a)).items() & dict(bands.places(b)).items()
-            assert max((parts for _, parts in tags), default=0) >= a + b - 2 * common + 2, (a, b)
-            s = draw.integers(0, 1 << 63, a + b - common, np.uint64)
-            one, other = np.sort(s[:a]), np.sort(np.concatenate([s[:common], s[a:]]))
-            assert np.intersect1d(*(ngram_join.signatures(x, bands.places(len(x))) for x in (one, other))).size, (a, b)
+            common = -(-(a + b) * percent // (100 + percent))  # of two sets that just link
+            if common <= a:
+                # With all else first in the order, a shared shingle still lies in both prefixes.
+                assert all(n - common < ngram_join.prefix_length(n, percent) for n in (a, b))
 
 
 def test_join_short_texts(spark):
@@ -93,6 +107,13 @@ def test_join_repeated_id(spark):
     rows = [(0, texts[0]), (0, texts[1]), (1, texts[0] + " more"), (2, texts[1] + " more"), (0, texts[0])]
     got = ngram_join.linked_components(table(spark, rows), 3, 90).collect()
     assert len(got) == len(rows) and {r.component_id for r in got} == {0}
+    a, b = texts
+    shared = [(2, a), (5, a), (5, b), (7, b)]
+    assert {r.component_id for r in ngram_join.linked_components(table(spark, shared), 3, 90).collect()} == {2}
+    shared = [(5, a), (5, b), (7, a + " more"), (8, b + " more")]
+    assert {r.component_id for r in ngram_join.linked_components(table(spark, shared), 3, 90).collect()} == {5}
+    # Of one document both texts stay.
+    assert sorted(r.text for r in ngram_join.one_of_each(table(spark, [*shared, (5, a)])).collect()) == [a, b]
 
 
 def test_one_of_each(spark, corpus):
