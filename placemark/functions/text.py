@@ -53,16 +53,29 @@ def _table(fold) -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(one), "".join(to), many
 
 
+def once(value: Column, then) -> Column:
+    """then(value), the value worked out once however often it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _apply(col: Column, table: tuple[str, str, list[tuple[str, str]]]) -> Column:
+    """The table's fold of a text, combining marks left out; plain ASCII is passed by."""
     one, to, many = table
-    col = F.translate(col, one, to)
     # Grouped by what they become; most texts hold none of them.
     by: dict[str, list[str]] = {}
     for c, t in many:
         by.setdefault(t, []).append(c)
-    for t, chars in by.items():
-        col = F.regexp_replace(col, "[" + "".join(chars) + "]", t)
-    return col
+
+    def replaced(s: Column) -> Column:
+        for t, chars in by.items():
+            s = F.regexp_replace(s, "[" + "".join(chars) + "]", t)
+        return s
+
+    def folded(s: Column) -> Column:
+        short = F.translate(F.regexp_replace(s, MARKS, ""), one, to)
+        return once(short, lambda x: F.when(x.rlike("[" + "".join(c for c, _ in many) + "]"), replaced(x)).otherwise(x))
+
+    return once(col, lambda s: F.when(s.rlike("[^\\x00-\\x7F]"), folded(s)).otherwise(s))
 
 
 def _special_first(c: str) -> str:
@@ -89,33 +102,36 @@ def _spaced(col: Column) -> Column:
 
 def latin_name(col: Column) -> Column:
     """The script-neutral profile: may be empty."""
-    return _spaced(_apply(F.regexp_replace(F.coalesce(col, F.lit("")), MARKS, ""), _LATIN))
+    return _spaced(_apply(F.coalesce(col, F.lit("")), _LATIN))
 
 
 def city_key(col: Column) -> Column:
-    return _spaced(_apply(F.regexp_replace(col, MARKS, ""), _CITY))
+    return _spaced(_apply(col, _CITY))
 
 
 def tokens(col: Column) -> Column:
     """Lower-case, unaccented word list."""
-    return F.filter(F.split(_spaced(_apply(F.regexp_replace(F.coalesce(col, F.lit("")), MARKS, ""), _TOKEN)), " "), lambda t: t != "")
+    return F.filter(F.split(_spaced(_apply(F.coalesce(col, F.lit("")), _TOKEN)), " "), lambda t: t != "")
 
 
 def strict_name(col: Column) -> Column:
     """The Serbian profile without its fallback: transliterated, city words off the ends, generic words out unless nothing is left."""
-    s = _spaced(_apply(F.regexp_replace(F.coalesce(col, F.lit("")), MARKS, ""), _NAME))
+    s = _spaced(_apply(F.coalesce(col, F.lit("")), _NAME))
     city = "|".join(CITY_WORDS)
     s = F.regexp_replace(s, f"^(?:(?:{city}) )+(?=.)", "")
     s = F.regexp_replace(s, f"(?<=.)(?: (?:{city}))+$", "")
-    every = F.split(s, " ")
-    kept = F.filter(every, lambda t: ~t.isin(*NAME_STOPWORDS))
-    return F.array_join(F.when(F.size(kept) > 0, kept).otherwise(every), " ")
+
+    def without(every: Column) -> Column:
+        kept = F.filter(every, lambda t: ~t.isin(*NAME_STOPWORDS))
+        return F.array_join(F.when(F.size(kept) > 0, kept).otherwise(every), " ")
+
+    return once(F.split(s, " "), without)
 
 
 def name_key(col: Column) -> Column:
     """The stored name key: the strict fold, or the lower-cased name with single spaces."""
-    strict = strict_name(col)
-    return F.when(strict != "", strict).otherwise(F.trim(F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), "(?U)\\s+", " ")))
+    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), "(?U)\\s+", " "))
+    return once(strict_name(col), lambda strict: F.when(strict != "", strict).otherwise(plain))
 
 
 def profile_name(profile: Column, col: Column) -> Column:

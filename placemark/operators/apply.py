@@ -71,6 +71,16 @@ def lifecycle_write(stored: DataFrame, actions: DataFrame) -> DataFrame:
     return rows.select("venue_id", active.alias("is_active"), after.alias("source_status"), F.coalesce("new_misses", "misses").alias("misses"))
 
 
+def deferred_event_lifecycle(actions: DataFrame) -> DataFrame:
+    """(kind, key, transition, note) of the steps that events have no columns for yet: nothing is deleted or cancelled.
+
+    actions: kind, key, action. No-ops and rows kept active need no note.
+    """
+    steps = actions.where("kind = 'event' and action like 'mark-%'")
+    note = F.concat(F.lit("reconciliation "), "action", F.lit(" for event "), F.col("key").cast("string"), F.lit(" not persisted"))
+    return steps.select("kind", "key", F.col("action").alias("transition"), note.alias("note"))
+
+
 def fill_empty(stored: DataFrame, incoming: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """The older ingest's update: only empty fields are filled; patch lists them."""
     s, i = stored.alias("s"), incoming.alias("i")

@@ -8,6 +8,8 @@ afterwards, city by city, for rows that compete.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -141,8 +143,9 @@ def claim(candidates: DataFrame) -> DataFrame:
     """(city, incoming_id, venue_id): a venue is claimed once, in input order, lower tiers first for a row.
 
     candidates: city, position, incoming_id, tier, venue_id. Rows that share no
-    venue with another row are decided by windows; the others go, group by
-    group of rows that compete, through one small ordered pass per city.
+    venue with another row are decided by windows. The others stream through
+    their city in order, sorted by Spark; a task holds the venues taken so far in
+    one city, never its rows.
     """
     rows = W.partitionBy("city", "venue_id")
     own = W.partitionBy("city", "incoming_id")
@@ -150,15 +153,19 @@ def claim(candidates: DataFrame) -> DataFrame:
     best = W.partitionBy("city", "incoming_id").orderBy("tier", "venue_id")
     free = shared.where("not contested").withColumn("k", F.row_number().over(best)).where("k = 1").select("city", "incoming_id", "venue_id")
 
-    def settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        taken: set = set()
-        out = []
-        for incoming, group in rows.sort_values(["position", "tier", "venue_id"]).groupby("incoming_id", sort=False):
-            left = [v for v in group.venue_id if v not in taken]
-            if left:
-                taken.add(left[0])
-                out.append((key[0], incoming, left[0]))
-        return pd.DataFrame(out, columns=["city", "incoming_id", "venue_id"])
+    def settle(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        city, served, taken = None, None, set()
+        for rows in parts:
+            out = []
+            for row in rows.itertuples(index=False):
+                if row.city != city:
+                    city, served, taken = row.city, None, set()
+                if row.incoming_id != served and row.venue_id not in taken:
+                    served = row.incoming_id
+                    taken.add(row.venue_id)
+                    out.append((city, served, row.venue_id))
+            yield pd.DataFrame(out, columns=["city", "incoming_id", "venue_id"])
 
     schema = shared.select("city", "incoming_id", "venue_id").schema
-    return free.union(shared.where("contested").drop("rivals", "contested").groupBy("city").applyInPandas(settle, schema))
+    contested = shared.where("contested").select("city", "position", "incoming_id", "tier", "venue_id").repartition("city")
+    return free.union(contested.sortWithinPartitions("city", "position", "incoming_id", "tier", "venue_id").mapInPandas(settle, schema))

@@ -27,6 +27,11 @@ def reviews(planned: DataFrame) -> DataFrame:
     return planned.where("operation = 'review'")
 
 
+def distinct_inserts(planned: DataFrame) -> DataFrame:
+    """One row: the planned inserts, counted once a source key however many pages name it."""
+    return planned.where("operation = 'insert'").agg(F.count_distinct("source", "external_id").alias("planned_inserts"))
+
+
 def counted(df: DataFrame, *by: str) -> DataFrame:
     """Counts, most first, then by key."""
     return df.groupBy(*by).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *by)

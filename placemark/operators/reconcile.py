@@ -48,6 +48,15 @@ def snapshot_guard(stored: DataFrame, failed_refs: Column, least_seen: float = L
     return summed.select("baseline", "seen", (~(F.coalesce(collapsed, F.lit(False)) | (F.col("failed_refs") > 0))).alias("healthy"))
 
 
+def baseline_in_scope(links: DataFrame, venues: DataFrame, scope: DataFrame) -> DataFrame:
+    """(city_id, venues): the source's linked venues in each city in scope, cities without any included.
+
+    links: canonical_id; venues: venue_id, city_id; scope: city_id.
+    """
+    linked = venues.join(links.select(F.col("canonical_id").alias("venue_id")), "venue_id", "left_semi").groupBy("city_id").agg(F.count("*").alias("venues"))
+    return scope.select("city_id").distinct().join(linked, "city_id", "left").select("city_id", F.coalesce("venues", F.lit(0)).alias("venues"))
+
+
 def reconciled(stored: DataFrame, seen_keys: DataFrame, healthy: DataFrame, partial: bool = False) -> DataFrame:
     """stored (key, kind, source_status, misses, frozen, cancelled) with action and new_misses; no rows if the run is unhealthy.
 

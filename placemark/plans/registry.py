@@ -63,11 +63,11 @@ def selector_search(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH a AS ({_ACTIVE}), r AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_custkey * 7 % 5000 END AS metres FROM customer)
-SELECT venue_id, name, CAST(metres AS BIGINT) AS metres FROM a LEFT JOIN r ON id = venue_id AND metres IS NOT NULL""")
+SELECT venue_id, name, array_to_string(genres, ',') AS genres, CAST(metres AS BIGINT) AS metres FROM a LEFT JOIN r ON id = venue_id AND metres IS NOT NULL""")
 def road_distance_attach(spark: SparkSession, d: str) -> DataFrame:
-    found = discovery.active_venues(overlay.venues(spark, d), overlay.cities(spark, d), overlay.genres(spark, d).limit(0))
+    found = discovery.active_venues(overlay.venues(spark, d), overlay.cities(spark, d), overlay.genres(spark, d))
     roads = table(spark, d, "customer").select(F.col("c_custkey").alias("venue_id"), F.when(F.col("c_custkey") % 9 != 0, F.col("c_custkey") * 7 % 5000).alias("metres"))
-    return discovery.with_road_distance(found, roads).select("venue_id", "name", "metres")
+    return discovery.with_road_distance(found, roads).select("venue_id", "name", F.array_join("genres", ",").alias("genres"), "metres")
 
 
 # ---- text ------------------------------------------------------------------

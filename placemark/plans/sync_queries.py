@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placemark.functions import timeutil
-from placemark.operators import apply, candidates, change, events, match, plan, reconcile, validate
+from placemark.operators import apply, candidates, change, events, match, plan, reconcile, validate, venues
 from placemark.plans import overlay
-from placemark.plans.sql import _LAT, _LON, _metres, _whole, query
+from placemark.plans.sql import ORACLES, _LAT, _LON, _metres, _whole, query
 from placemark.sources.tables import table
 from placemark.streaming import reroute
 
@@ -50,8 +50,9 @@ SELECT id AS incoming_id, CASE WHEN v0 IS NOT NULL THEN 'match:0:' || v0 WHEN n1
  WHEN n3 > 1 THEN 'skip::' WHEN n3 = 1 AND o3 THEN 'new::?' WHEN n3 = 1 THEN 'match:2:' || v3
  WHEN n4 > 1 THEN 'skip::' WHEN n4 = 0 OR (n4 = 1 AND (o4 OR m > 1000)) THEN 'new::?' WHEN n4 = 1 THEN 'match:3:' || v4 || CASE WHEN m > 300 THEN '?' ELSE '' END ELSE 'new::' END AS outcome FROM r""")
 def venue_match_tiers(spark: SparkSession, d: str) -> DataFrame:
-    alias = spark.range(0, 60, 2).select(F.concat(F.lit("place "), F.col("id").cast("string")).alias("alias_key"), F.concat(F.lit("place "), (F.col("id") + 300).cast("string")).alias("canonical_key"))
-    aliases = table(spark, d, "nation").select(F.col("n_nationkey").alias("city")).join(alias, F.col("city") >= 0)
+    key = lambda n: F.concat(F.lit("place "), n.cast("string"))
+    alias_of = F.transform(F.sequence(F.lit(0), F.lit(58), F.lit(2)), lambda n: F.struct(key(n).alias("alias_key"), key(n + 300).alias("canonical_key")))
+    aliases = table(spark, d, "nation").select(F.col("n_nationkey").alias("city")).withColumn("alias", F.explode(alias_of)).select("city", "alias.*")
     m = match.match(_incoming(spark, d), _stored(spark, d), aliases)
     text = F.concat("kind", F.lit(":"), F.coalesce(F.col("tier").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col("venue_id").cast("string"), F.lit("")), F.when(F.col("review"), "?").otherwise(""))
     return m.select("incoming_id", text.alias("outcome"))
@@ -76,13 +77,13 @@ def lookalike_new_existing(spark: SparkSession, d: str) -> DataFrame:
     return match.near_existing(p.where(F.col("incoming_id") % 10 == 0), p.where(F.col("incoming_id") % 10 != 0).withColumnRenamed("incoming_id", "venue_id"))
 
 
-@query(f"""WITH {_PART}, x AS (SELECT a.id AS l, b.id AS r, {_WORD} AS word, {_whole(_metres('a.lat', 'a.lon', 'b.lat', 'b.lon'))} AS metres FROM p a JOIN p b ON a.city = b.city AND a.id < b.id AND a.id % 10 < 3 AND b.id % 10 < 3),
+@query(f"""WITH {_PART}, x AS (SELECT a.id AS l, b.id AS r, {_WORD} AS word, {_whole(_metres('a.lat', 'a.lon', 'b.lat', 'b.lon'))} AS metres FROM p a JOIN p b ON a.city = b.city AND a.id < b.id),
 y AS (SELECT * FROM x WHERE word IS NOT NULL AND metres <= 200) SELECT l AS incoming_id, r AS other_id, word, metres FROM y UNION ALL SELECT r, l, word, metres FROM y""")
 def lookalike_new_new(spark: SparkSession, d: str) -> DataFrame:
-    return match.near_new(_parts(spark, d).where(F.col("incoming_id") % 10 < 3))
+    return match.near_new(_parts(spark, d))
 
 
-@query()
+@query(ORACLES["lookalike_new_new"])
 def lookalike_new_all(spark: SparkSession, d: str) -> DataFrame:
     return match.near_new(_parts(spark, d))
 
@@ -303,7 +304,7 @@ def reason_counts(spark: SparkSession, d: str) -> DataFrame:
 
 _RES = """r AS (SELECT 'svid:src:' || CAST(o_custkey AS VARCHAR) AS key, o_orderkey AS k, o_custkey AS c, 'u' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS url, o_orderpriority AS title, CASE WHEN o_orderkey % 9 = 0 THEN 'needs_review' WHEN o_orderkey % 15 = 1 THEN 'rejected' ELSE 'safe_new_venue' END AS st,
  CASE WHEN o_custkey % 10 = 0 AND o_orderkey % 2 = 0 THEN 'other' ELSE 'venue ' || CAST(o_custkey AS VARCHAR) END AS nm, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'city ' || CAST(o_custkey % 7 AS VARCHAR) END AS city, CASE WHEN o_orderkey % 4 = 0 THEN 'street ' || CAST(o_orderkey % 10 AS VARCHAR) END AS ad,
- CASE WHEN o_orderkey % 5 = 0 THEN 44.0 + o_orderkey % 100 END AS lat FROM orders),
+ CASE WHEN o_orderkey % 5 = 0 THEN CAST(44.0 AS DOUBLE) + o_orderkey % 100 END AS lat FROM orders),
 c AS (SELECT key, count(*) AS n, bool_and(st = 'safe_new_venue') AS safe, arg_min(nm, url) AS name, count(DISTINCT nm) AS names, arg_min(city, url) FILTER (city IS NOT NULL) AS city, arg_min(ad, url) FILTER (ad IS NOT NULL) AS address, arg_min(lat, url) FILTER (lat IS NOT NULL) AS lat,
  bool_or(lat IS NOT NULL) AS placed, bool_or(ad IS NOT NULL) AS addressed, bool_or(st = 'needs_review') AS held, bool_or(st = 'safe_new_venue') AS some_safe, array_to_string(list_sort(list(url))[1:5], ',') AS examples FROM r WHERE st <> 'rejected' GROUP BY key),
 d AS (SELECT *, CASE WHEN safe AND names = 1 THEN 'safe_new_venue' ELSE 'needs_review' END AS status, list_sort(list_filter([CASE WHEN held THEN 'source-not-trusted' END, CASE WHEN some_safe THEN 'safe-new-venue' END, CASE WHEN names > 1 THEN 'conflicting-venue-name-across-events' END], lambda x: x IS NOT NULL)) AS codes FROM c)"""
@@ -377,9 +378,9 @@ p AS (SELECT * FROM q WHERE id IS NULL UNION ALL SELECT * FROM q WHERE id IS NOT
 
 @query(f"""WITH {_APPLY}
 SELECT 'stored' AS origin, coalesce(CASE WHEN o.source IS NULL AND p.id IS NOT NULL THEN p.ext ELSE o.ext END, '') AS external_id, CASE WHEN o.source IS NULL AND p.id IS NOT NULL THEN 'src' ELSE o.source END AS source,
- CASE WHEN w THEN p.name ELSE o.name END AS name, CASE WHEN w THEN coalesce(p.address, o.address) ELSE o.address END AS address, CASE WHEN w AND o.cs <> 'manual' THEN 45.0 ELSE o.lat END AS lat
+ CASE WHEN w THEN p.name ELSE o.name END AS name, CASE WHEN w THEN coalesce(p.address, o.address) ELSE o.address END AS address, CASE WHEN w AND o.cs <> 'manual' THEN CAST(45.0 AS DOUBLE) ELSE o.lat END AS lat
 FROM (SELECT o.*, p.id IS NOT NULL AND (o.source IS NULL OR o.source = 'src') AND p.op <> 'link-only' AS w FROM o LEFT JOIN p ON o.id = p.id) o LEFT JOIN p ON o.id = p.id
-UNION ALL SELECT 'inserted', ext, 'src', name, address, 45.0 FROM p WHERE id IS NULL AND city <> 99""")
+UNION ALL SELECT 'inserted', ext, 'src', name, address, CAST(45.0 AS DOUBLE) FROM p WHERE id IS NULL AND city <> 99""")
 def apply_snapshot(spark: SparkSession, d: str) -> DataFrame:
     stored, plan_, cities = _apply_inputs(spark, d)
     old = stored.select("venue_id", F.lit("stored").alias("origin"))
@@ -432,3 +433,128 @@ def reroute_throttle(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("event_id")
     points = table(spark, d, "events").select("user_id", k, "ts", (F.lit(44.8) + (k % 97) * 0.00002).alias("lat"), (F.lit(20.4) + (k % 89) * 0.00002).alias("lon"), F.floor(k / 500).alias("result_set"))
     return reroute.throttled(points)
+
+
+# ---- venues of events ------------------------------------------------------------
+
+_EVENT_VENUES = """i AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 23 = 0 THEN NULL ELSE s_nationkey END AS city, 'osm' AS source, CASE WHEN s_suppkey % 6 = 0 THEN 'node/' || CAST(s_suppkey AS VARCHAR) END AS own,
+  CASE WHEN s_suppkey % 29 = 0 THEN '' ELSE 'place ' || CAST(s_suppkey % 60 AS VARCHAR) END AS nm, 44.7 + (s_suppkey % 200) * 0.001 AS lat, 20.3 + (s_suppkey % 300) * 0.001 AS lon FROM supplier)"""
+_ALIAS = "(SELECT x AS a, x + 300 AS c FROM range(60) r(x) WHERE x % 2 = 0)"
+
+
+def _aliases(spark: SparkSession, d: str) -> DataFrame:
+    key = lambda n: F.concat(F.lit("place "), n.cast("string"))
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(58), F.lit(2)), lambda n: F.struct(key(n).alias("alias_key"), key(n + 300).alias("canonical_key")))
+    return table(spark, d, "nation").select(F.col("n_nationkey").alias("city"), F.explode(pairs).alias("p")).select("city", "p.*")
+
+
+def _event_venues(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    key = F.when(k % 29 == 0, "").otherwise(F.concat(F.lit("place "), (k % 60).cast("string")))
+    return table(spark, d, "supplier").select(
+        k.alias("event_id"), F.lit("osm").alias("source"), F.when(k % 6 == 0, F.concat(F.lit("node/"), k.cast("string"))).alias("source_venue_id"), F.lit("RS").alias("country"),
+        F.when(k % 23 != 0, F.col("s_nationkey")).alias("city"), key.alias("name"), key.alias("name_key"), (F.lit(44.7) + (k % 200) * 0.001).alias("lat"), (F.lit(20.3) + (k % 300) * 0.001).alias("lon"),
+    )
+
+
+@query(f"""WITH {_EVENT_VENUES}, {_STORED},
+x AS (SELECT i.id, CASE WHEN i.id % 24 = 0 THEN c.c_custkey ELSE l.c_custkey END AS v FROM i LEFT JOIN customer c ON c.c_custkey = i.id % 300 LEFT JOIN customer l ON l.c_custkey = i.id % 900 AND l.c_custkey % 3 = 0 WHERE i.id % 12 = 0 AND i.city IS NOT NULL),
+j AS (SELECT i.*, coalesce(own, 'name:' || nm) AS ext FROM i WHERE city IS NOT NULL AND (own IS NOT NULL OR nm <> '') AND id NOT IN (SELECT id FROM x)),
+t0 AS (SELECT j.id, min(s.id) AS v FROM j JOIN s ON j.city = s.city AND j.source = s.source AND j.ext = s.ext GROUP BY 1),
+t3 AS (SELECT j.id, count(*) AS n, min(s.id) AS v, bool_or(s.source = j.source AND s.ext <> j.ext) AS other, bool_or(j.own IS NOT NULL) AS refs FROM j JOIN s ON j.city = s.city AND j.nm = s.nm GROUP BY 1),
+t4 AS (SELECT j.id, count(s.id) AS n, min(s.id) AS v, bool_or(coalesce(s.source = j.source AND s.ext <> j.ext, FALSE)) AS other, min({_whole(_metres('j.lat', 'j.lon', 's.lat', 's.lon'))}) AS m
+  FROM j JOIN {_ALIAS} al ON j.nm = 'place ' || CAST(al.a AS VARCHAR) LEFT JOIN s ON j.city = s.city AND s.nm = 'place ' || CAST(al.c AS VARCHAR) GROUP BY 1),
+r AS (SELECT i.id, i.city, i.own, i.nm, x.id AS xi, x.v AS xv, t0.v AS v0, t3.n AS n3, t3.v AS v3, t3.other AS o3, t3.refs, t4.n AS n4, t4.v AS v4, t4.other AS o4, t4.m FROM i LEFT JOIN x USING (id) LEFT JOIN t0 USING (id) LEFT JOIN t3 USING (id) LEFT JOIN t4 USING (id))
+SELECT id AS event_id, CASE WHEN own IS NULL AND nm = '' THEN 'unresolved:no-venue-identity' WHEN city IS NULL THEN 'unresolved:city-unresolved' WHEN xi IS NOT NULL AND xv IS NULL THEN 'review:venue-identity-target-missing' WHEN xi IS NOT NULL THEN 'matched:0:' || xv
+ WHEN v0 IS NOT NULL THEN 'matched:0:' || v0 WHEN n3 > 1 THEN 'review:venue-ambiguous' WHEN n3 = 1 AND o3 AND refs THEN 'unresolved:no-existing-venue' WHEN n3 = 1 THEN 'matched:2:' || v3
+ WHEN n4 > 1 THEN 'review:venue-ambiguous' WHEN n4 = 1 AND NOT o4 AND m <= 300 THEN 'matched:3:' || v4 WHEN n4 = 1 AND NOT o4 AND m <= 1000 THEN 'review:venue-alias-beyond-guard' ELSE 'unresolved:no-existing-venue' END AS outcome FROM r""")
+def event_venue_match(spark: SparkSession, d: str) -> DataFrame:
+    e = _event_venues(spark, d)
+    k = F.col("event_id")
+    ids = e.where((k % 12 == 0) & F.col("city").isNotNull()).select(
+        "source", F.col("source_venue_id").alias("external_id"), "country", "city", F.when(k % 24 == 0, k % 300).alias("target_id"), F.lit("osm").alias("target_source"), F.concat(F.lit("node/"), (k % 900).cast("string")).alias("target_external_id")
+    )
+    found = venues.match_event_venues(e, _stored(spark, d), ids, _aliases(spark, d))
+    return found.select("event_id", F.concat_ws(":", "status", "code", F.col("tier").cast("string"), F.col("venue_id").cast("string")).alias("outcome"))
+
+
+@query(f"""WITH {_EVENT_VENUES}, {_STORED},
+j AS (SELECT id, city, source, coalesce(own, 'name:' || nm) AS ext, own, nm, CASE WHEN id % 6 = 0 THEN 'place ' || CAST(id % 60 + CASE WHEN id % 4 = 0 THEN 300 ELSE 0 END AS VARCHAR) END AS pn, CASE WHEN id % 18 <> 0 THEN lat END AS plat, CASE WHEN id % 18 <> 0 THEN lon END AS plon FROM i WHERE city IS NOT NULL AND nm <> ''),
+b AS (SELECT j.id, j.city, j.source, j.ext, j.own, j.nm, 1 AS pass, NULL AS lat, NULL AS lon FROM j
+  UNION ALL SELECT j.id, j.city, j.source, j.ext, j.own, j.pn, 2, j.plat, j.plon FROM j WHERE j.pn IS NOT NULL),
+t0 AS (SELECT b.id, pass, min(s.id) AS v FROM b JOIN s ON b.city = s.city AND b.source = s.source AND b.ext = s.ext GROUP BY 1, 2),
+t3 AS (SELECT b.id, pass, count(*) AS n, min(s.id) AS v, bool_or(s.source = b.source AND s.ext <> b.ext) AND bool_or(b.own IS NOT NULL) AS bad FROM b JOIN s ON b.city = s.city AND b.nm = s.nm GROUP BY 1, 2),
+t4 AS (SELECT b.id, pass, count(s.id) AS n, min(s.id) AS v, bool_or(coalesce(s.source = b.source AND s.ext <> b.ext, FALSE)) AS other, min(CASE WHEN b.lat IS NULL THEN NULL ELSE {_whole(_metres('b.lat', 'b.lon', 's.lat', 's.lon'))} END) AS m
+  FROM b JOIN {_ALIAS} al ON b.nm = 'place ' || CAST(al.a AS VARCHAR) LEFT JOIN s ON b.city = s.city AND s.nm = 'place ' || CAST(al.c AS VARCHAR) GROUP BY 1, 2),
+r AS (SELECT b.id, pass, CASE WHEN t0.v IS NOT NULL THEN 'match:0:' || t0.v WHEN t3.n > 1 THEN 'skip' WHEN t3.n = 1 AND t3.bad THEN 'new' WHEN t3.n = 1 THEN 'match:2:' || t3.v
+  WHEN t4.n > 1 THEN 'skip' WHEN t4.n = 1 AND NOT t4.other AND t4.m <= 1000 THEN 'match:3:' || t4.v || CASE WHEN t4.m > 300 THEN '?' ELSE '' END ELSE 'new' END AS o FROM b LEFT JOIN t0 USING (id, pass) LEFT JOIN t3 USING (id, pass) LEFT JOIN t4 USING (id, pass))
+SELECT p.id AS event_id, CASE WHEN p.o = 'new' AND q.o LIKE 'match%' THEN '2:' || q.o ELSE '1:' || p.o END AS outcome FROM r p LEFT JOIN r q ON q.id = p.id AND q.pass = 2 WHERE p.pass = 1""")
+def venue_resolution_with_pages(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("event_id")
+    e = _event_venues(spark, d).where(F.col("city").isNotNull() & (F.col("name") != ""))
+    pages = e.where(k % 6 == 0).select(
+        "source_venue_id", F.concat(F.lit("Place "), (k % 60 + F.when(k % 4 == 0, 300).otherwise(0)).cast("string")).alias("page_name"), F.when(k % 18 != 0, F.col("lat")).alias("lat"), F.when(k % 18 != 0, F.col("lon")).alias("lon")
+    )
+    found = venues.resolve_with_pages(e.drop("lat", "lon"), _stored(spark, d), pages, _aliases(spark, d))
+    return found.select(k, F.concat(F.when(F.col("second"), "2:").otherwise("1:"), F.concat_ws(":", "kind", F.col("tier").cast("string"), F.col("venue_id").cast("string")), F.when(F.col("review") & (F.col("kind") == "match"), "?").otherwise("")).alias("outcome"))
+
+
+_VENUE_NAMES = ["Unknown", "TBA", "Lokacija - uskoro", "razne lokacije", "Zoom", "ДОМ", "x", "Klub", "the online hall", "Sala"]
+
+
+@query(f"""WITH n AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE ['{"', '".join(_VENUE_NAMES)}'][CAST(c_custkey % 10 AS INTEGER) + 1] END AS nm FROM customer)
+SELECT k AS row_id, CASE WHEN lower(nm) IN ('unknown') THEN 'placeholder-unknown' WHEN lower(nm) = 'tba' THEN 'placeholder-na' WHEN lower(nm) = 'lokacija - uskoro' THEN 'placeholder-to-be-announced' WHEN lower(nm) = 'razne lokacije' THEN 'placeholder-various-locations'
+ WHEN lower(nm) = 'zoom' OR regexp_matches(lower(nm), '\\bonline\\b') THEN 'online-event' WHEN length(nm) < 2 THEN 'name-too-short' END AS code, lower(nm) IN ('klub', 'sala') AS generic FROM n""")
+def event_name_gate(spark: SparkSession, d: str) -> DataFrame:
+    from placemark.functions.text import name_key
+
+    k = F.col("c_custkey")
+    name = F.when(k % 3 == 0, F.col("c_name")).otherwise(F.element_at(F.array(*map(F.lit, _VENUE_NAMES)), (k % 10 + 1).cast("int")))
+    rows = table(spark, d, "customer").select(k.alias("row_id"), name.alias("name")).withColumn("key", name_key(F.col("name")))
+    return rows.select("row_id", venues.name_gate(F.col("name"), F.col("key")).alias("code"), venues.generic_name(F.col("key")).alias("generic"))
+
+
+@query("""WITH r AS (SELECT c_custkey AS k, CASE c_custkey % 4 WHEN 0 THEN n_name WHEN 1 THEN replace(lower(n_name), '_', '-') WHEN 2 THEN 'Twin-' || CAST(n_nationkey AS VARCHAR) ELSE 'nowhere' END AS t FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT k AS row_id, CASE WHEN t = 'nowhere' THEN NULL ELSE (SELECT min(n_nationkey) FROM nation WHERE n_name = t OR replace(lower(n_name), '_', ' ') = replace(t, '-', ' ') OR (t LIKE 'Twin-%' AND n_nationkey < 12 AND t = 'Twin-' || CAST(n_nationkey AS VARCHAR))) END AS city_id FROM r""")
+def city_text_match(spark: SparkSession, d: str) -> DataFrame:
+    k, nation = F.col("c_custkey"), table(spark, d, "nation")
+    text = F.when(k % 4 == 0, F.col("n_name")).when(k % 4 == 1, F.translate(F.lower("n_name"), "_", "-")).when(k % 4 == 2, F.concat(F.lit("Twin-"), F.col("n_nationkey").cast("string"))).otherwise("nowhere")
+    rows = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(k.alias("row_id"), text.alias("city_text"))
+    return venues.match_city_text(rows, nation.select(F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city")), {f"twin {n}": f"NATION_{n}" for n in range(12)})
+
+
+_FIRST = """v AS (SELECT o_orderkey AS k, 'v' || CAST(o_custkey AS VARCHAR) AS ext, o_orderkey % 6 = 0 AS known, o_orderkey % 5 <> 0 AS ok, CASE WHEN o_custkey % 7 = 0 THEN 'name-too-short' END AS bad, o_custkey % 2 = 0 AS allowed FROM orders),
+f AS (SELECT * FROM v WHERE NOT known AND ok QUALIFY row_number() OVER (PARTITION BY ext ORDER BY k) = 1)"""
+
+
+def _first_seen(spark: SparkSession, d: str) -> DataFrame:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    rows = table(spark, d, "orders").select(
+        k.alias("event_id"), k.alias("position"), F.lit("src").alias("source"), F.concat(F.lit("v"), c.cast("string")).alias("venue_external_id"), F.when(k % 6 == 0, "matched").otherwise("new_candidate").alias("decision"),
+        F.when(k % 5 == 0, "rejected").otherwise("ok").alias("event_outcome"), F.when(c % 7 == 0, "rejected").otherwise("ok").alias("venue_outcome"), F.when(c % 7 == 0, "name-too-short").alias("venue_code"), (c % 2 == 0).alias("city_enabled"),
+    )
+    return venues.first_seen_venues(rows)
+
+
+@query(f"WITH {_FIRST} SELECT k AS event_id, ext AS venue_external_id, CASE WHEN bad IS NOT NULL THEN 'review' WHEN allowed THEN 'insert' ELSE 'skip' END AS operation, coalesce(bad, CASE WHEN NOT allowed THEN 'city-not-event-first-enabled' END) AS code FROM f")
+def event_first_venues(spark: SparkSession, d: str) -> DataFrame:
+    return _first_seen(spark, d).select("event_id", "venue_external_id", "operation", "code")
+
+
+@query(f"WITH {_FIRST} SELECT count(DISTINCT ext) AS planned_inserts FROM f WHERE bad IS NULL AND allowed")
+def distinct_planned_inserts(spark: SparkSession, d: str) -> DataFrame:
+    return plan.distinct_inserts(_first_seen(spark, d).withColumnRenamed("venue_external_id", "external_id"))
+
+
+@query(f"""WITH {_LIFE} SELECT 'event' AS kind, id AS key, action AS transition, 'reconciliation ' || action || ' for event ' || CAST(id AS VARCHAR) || ' not persisted' AS note FROM a WHERE id % 6 <> 0 AND action LIKE 'mark-%'""")
+def event_lifecycle_deferred(spark: SparkSession, d: str) -> DataFrame:
+    stored, seen = _life(spark, d)
+    return apply.deferred_event_lifecycle(reconcile.reconciled(stored, seen, spark.createDataFrame([(True,)], "healthy boolean")))
+
+
+@query("SELECT n_nationkey AS city_id, count(c_custkey) AS venues FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_custkey % 4 <> 0 WHERE n_regionkey < 3 GROUP BY 1")
+def baseline_in_scope(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer")
+    links = c.where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("canonical_id"))
+    scope = table(spark, d, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("city_id"))
+    return reconcile.baseline_in_scope(links, c.select(F.col("c_custkey").alias("venue_id"), F.col("c_nationkey").alias("city_id")), scope)

@@ -82,6 +82,21 @@ def _anchor(inner: str | None) -> str:
     return _line(_one(r"<a[^>]*>(.*?)</a>", inner or "") or inner)
 
 
+def _about(page: str) -> str | None:
+    """The text of the section about the event, a line a block; None without one."""
+    head = re.search(r"<div[^>]*gt-section-title[^>]*>\s*O\s*doga[^<]*</div>\s*<div[^>]*gt-content[^>]*>", page, re.I)
+    if not head:
+        return None
+    rest = page[head.end() :]
+    # It ends where the next section does: at its heading, at another box, or where its own boxes close.
+    stop = re.search(r"<div[^>]*class=[\"'][^\"']*(?:gt-section(?:-title)?[\"']|gt-event-)|</div>\s*</div>\s*</div>", rest, re.I)
+    if not stop:
+        return None
+    broken = re.sub(r"<br\s*/?>|</(?:p|div|li|ul|ol|h[1-6]|tr)\s*>", "\n", rest[: stop.start()], flags=re.I)
+    lines = (" ".join(x.split()) for x in decode(re.sub(r"<[^>]*>", " ", broken)).split("\n"))
+    return "\n".join(x for x in lines if x) or None
+
+
 def parse_event(page: str | None, url: str | None, suffixes: tuple[str, ...] = ()) -> dict:
     """The fields of EVENT; dates are left as text for serbian_datetime()."""
     clean, url = _NOISE.sub(" ", page or ""), url or ""
@@ -108,7 +123,7 @@ def parse_event(page: str | None, url: str | None, suffixes: tuple[str, ...] = (
         "ok": True, "code": None, "external_id": number, "title": title, "start_text": _line(_row(rows, "start")), "end_text": _line(_row(rows, "end")),
         "venue": _anchor(venue), "venue_slug": slug(venue, "venue"), "city": _anchor(city), "city_slug": slug(city, "location") or _one(r"\blocation-([a-z0-9-]+)\b", soup),
         "promoter": re.split(r",|\s{2,}| MB \d| PIB \d", promoter)[0].strip() or None, "event_type": _line(_row(rows, "type")) or None, "categories": categories,
-        "ticket_url": _one(r"href=[\"'](https?://[^\"']*/sectionGroup/index/\d+[^\"']*)", clean), "image": _meta(clean, "og:image"), "description": _meta(clean, "og:description"), "status": mark,
+        "ticket_url": _one(r"href=[\"'](https?://[^\"']*/sectionGroup/index/\d+[^\"']*)", clean), "image": _meta(clean, "og:image"), "description": _about(clean) or _meta(clean, "og:description"), "status": mark,
     }
 
 

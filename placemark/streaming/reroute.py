@@ -1,7 +1,7 @@
 """Re-route only after a real move: distance from the last accepted point, not the last seen.
 
 Sequential state per user, so no window function expresses it: in batch one
-ordered pass per user, in a stream state kept between micro-batches.
+ordered pass over each user's sorted points, in a stream state kept between micro-batches.
 """
 
 from __future__ import annotations
@@ -39,11 +39,19 @@ def walk(points: pd.DataFrame, last: tuple | None, metres: float) -> tuple[list[
 def throttled(points: DataFrame, metres: float = METRES) -> DataFrame:
     """points (user_id, event_id, ts, lat, lon, result_set) -> user_id, event_id, routed."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["ts", "event_id"])
-        return rows[["user_id", "event_id"]].assign(routed=walk(rows, None, metres)[0])
-
-    return points.groupBy("user_id").applyInPandas(run, SCHEMA)
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        user, last = None, None
+        for rows in parts:
+            done = []
+            for own, group in rows.groupby("user_id", sort=False):
+                routed, last = walk(group, last if own == user else None, metres)
+                user = own
+                done.append(group[["user_id", "event_id"]].assign(routed=routed))
+            yield pd.concat(done) if done else pd.DataFrame({"user_id": [], "event_id": [], "routed": []})
+
+    # Spark sorts; a task holds the last accepted point of the user it is at, not the user's history.
+    ordered = points.select("user_id", "event_id", "ts", "lat", "lon", "result_set").repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
+    return ordered.mapInPandas(run, SCHEMA)
 
 
 def throttled_stream(points: DataFrame, metres: float = METRES) -> DataFrame:
