@@ -162,3 +162,30 @@ def test_quality_tells_junk(spark):
     rows = [(i, text(), "en") for i in range(300)] + [(1000 + i, " ".join("".join(random_.choices("%#QZ9!xkw|Y7", k=6)) for _ in range(120)), "en") for i in range(10)]
     got = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     assert sum(r.kept for r in got if r.doc_id < 1000) >= 297 and not any(r.kept for r in got if r.doc_id >= 1000)
+
+
+def test_quality_where_a_third_is_junk(spark):
+    """Junk of many kinds, copies of junk, and text of another language under a wrong name go; the rest stays."""
+    random_ = random.Random(4)
+    tongues = {"en": ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"], "xy": ["oux", "ei", "la", "ç", "eau", "que", "ño", "is"]}
+    text = lambda lang, n=140: " ".join("".join(random_.choices(tongues[lang], k=random_.randint(1, 4))) for _ in range(n))
+    rows = [(i, text(lang, random_.randint(60, 300)), lang) for i, lang in enumerate(["en"] * 300 + ["xy"] * 300)]
+    good = len(rows)
+    signs = lambda lang: " ".join(w + random_.choice(("***", "$$$", "%%%", "&&&")) for w in text(lang).split())
+    rows += [(1000 + i, signs("en" if i % 2 else "xy"), "en" if i % 2 else "xy") for i in range(160)]
+    rows += [(2000 + i, signs("en") if i == 0 else rows[-1][1], "en") for i in range(60)]
+    rows += [(3000 + i, text("xy"), "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality.judged(docs).where("kept").collect()}
+    assert len([i for i in kept if i < good]) >= 0.99 * good
+    assert len([i for i in kept if i >= 1000]) <= 0.02 * (len(rows) - good)
+
+
+def test_quality_rows_one_by_one(spark):
+    """Rows that share an id, or have none, are kept or go each by itself."""
+    random_ = random.Random(5)
+    text = lambda: " ".join("".join(random_.choices(["th", "er", "on", "an"], k=random_.randint(1, 4))) for _ in range(120))
+    rows = [(i, text(), "en", 1) for i in range(40)] + [(7, "short", "en", 1), (None, "short", "en", 1), (None, text(), "en", 1), (50, None, None, 1)]
+    kept = quality.kept_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, __id int"))
+    assert kept.columns == ["doc_id", "text", "lang", "__id"]
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([*range(40), None])
