@@ -2,8 +2,9 @@
 
 A page is cut into text blocks at block-level tags. Each block has its word
 count and link density and those of its neighbours, and what its enclosing tags
-and their class and id names say. A decision tree, trained by Spark ML on a
-small labelled table of blocks (LABELLED, written for this purpose), tells main
+and their class and id names say; a wrapper around the article or most of the
+words says nothing. A decision tree, trained by Spark ML on a small labelled
+table (the blocks of LABELLED_PAGES made-up pages of many layouts), tells main
 text from the rest; it is a few dozen nodes and is applied where the page is cut.
 
 Defined results: a null or empty page has the empty text; unclosed and
@@ -16,6 +17,7 @@ ignored.
 from __future__ import annotations
 
 import html
+import random
 import re
 from collections.abc import Iterator
 
@@ -23,141 +25,225 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z|(?=<))", re.S)
-_ATTR = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|</[^a-zA-Z>][^>]*+(?:>|\Z)"
+    # A quote opens a value only after an equals sign.
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)",
+    re.S,
+)
+_ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
-#: Tags whose content is never text.
-RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "textarea", "select", "button", "head", "title", "canvas", "audio", "video", "math"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "ruby", "rt", "rp", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "input"}
+#: Tags whose content is never text of the page.
+RAW = {"script", "style", "template", "svg", "iframe", "textarea", "select", "button", "head", "title", "canvas", "audio", "video"}
+INLINE = {
+    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "ruby", "rt", "rp", "s", "samp", "small",
+    "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "input", "br", "noscript", "object",
+    "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup", "semantics", "annotation",
+}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-#: Elements that stand beside the article, and names that mark such parts.
-BESIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "figcaption", "fieldset"}
+#: Elements that stand beside the article, and names that mark such parts as a whole word of a class or id:
+#: alone, after a word of place or before a word of make-up, so that has-sidebar or no-comments mark nothing.
+BESIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 HINT = re.compile(
-    r"(?<![a-z])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|foot|sidebar|side|aside|widget|related|recommended|share|sharing|social|comments?|comment-list|commentlist|replies|reply|respond|discussion|disqus|newsletter|subscribe|subscription|signup|login|search|toolbar|pagination|pager|tags|copyright|legal|disclaimer|outbrain|taboola|form)(?![a-z])",
-    re.I,
+    r"(?:(?:site|page|main|top|bottom|left|right|global|primary|secondary|sticky|mobile|the|js|post|entry|article|blog|user|reader|google|block)-)*"
+    r"(?:ads?|adverts?|advertisement|advertising|adsbygoogle|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay"
+    r"|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|foot|sidebar|side|aside|widgets?|related|recommended|recommendations|share|sharing|social"
+    r"|comments?|commentlist|replies|respond|discussion|disqus|newsletter|subscribe|subscription|signup|login|search|toolbar|pagination|pager|tags|copyright|legal|disclaimer"
+    r"|outbrain|taboola|complementary|contentinfo)"
+    r"(?:-?(?:list|box|bar|section|area|block|wrap|wrapper|container|inner|outer|left|right|top|bottom|links?|menu|main|nav|body|content|form|thread|item|panel|message|text|slot|unit|posts?|articles?|stories|\d+))*"
 )
 GOOD = {"article", "main"}
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Tags an open p ends at, and the tags that a repeated one of them closes.
-ENDS_P = {"p", "div", "ul", "ol", "dl", "table", "section", "article", "aside", "header", "footer", "nav", "form", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "main", "figure"}
-CLOSES = {"li": "li", "dt": "dt", "dd": "dd", "tr": "tr", "td": "td", "th": "th", "option": "option"}
+ENDS_P = {"p", "div", "ul", "ol", "dl", "table", "section", "article", "aside", "header", "footer", "nav", "form", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "main", "figure", "figcaption"}
+CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: Pages of the labelled table that the tree is trained on.
+LABELLED_PAGES = 400
 FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "beside", "hinted", "in_article", "heading", "page_has_article")
 
 
-def blocks(page: str) -> list[dict]:
-    """The text blocks of a page in order, with the features of FEATURES."""
-    page = page.replace("\x00", "")
-    out: list[dict] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, beside, hinted, in article
-    text: list[tuple[str, bool]] = []
-    state = {"links": 0, "seen": False}
-
-    def flush() -> None:
-        joined = _SPACE.sub(" ", "".join(t for t, _ in text)).strip()
+def hinted(attributes: str) -> bool:
+    return any(HINT.fullmatch(word) for _, *values in _ATTR.findall(attributes) for word in "".join(values).lower().replace("_", "-").split())
+
+
+class Element:
+    """An open element: its tag, its place among all elements, what its names say, the first block in it and the open links, headings and so on in it."""
+
+    __slots__ = ("tag", "beside", "hinted", "good", "parent", "begin", "end")
+
+    def __init__(self, tag: str, beside: bool, is_hinted: bool, good: bool, parent: int, begin: int):
+        self.tag, self.beside, self.hinted, self.good, self.parent, self.begin, self.end = tag, beside, is_hinted, good, parent, begin, -1
+
+
+class Cutter:
+    """Cuts a page into text blocks; every step takes time in proportion to the page."""
+
+    def __init__(self) -> None:
+        self.out: list[dict] = []
+        self.elements: list[Element] = []
+        self.stack: list[int] = []  # numbers of the open elements
+        self.outer: list[int] = []  # places in the stack of those that are not inline
+        self.open: dict[str, int] = {}
+        self.headings = 0
+        self.text: list[tuple[str, bool]] = []
+
+    def flush(self) -> None:
+        joined = _SPACE.sub(" ", "".join(t for t, _ in self.text)).strip()
         if joined:
-            linked = sum(len(_SPACE.sub(" ", t).split()) for t, inside in text if inside)
+            linked = sum(len(t.split()) for t, inside in self.text if inside)
             words = len(joined.split())
-            out.append({
-                "text": joined, "words": float(words), "density": min(1.0, linked / words),
-                "beside": float(any(x[1] for x in stack)), "hinted": float(any(x[2] for x in stack)),
-                "in_article": float(any(x[3] for x in stack)), "heading": float(any(x[0] in HEADING for x in stack)),
-            })
-        text.clear()
-
-    at, end = 0, len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        stop = m.start() if m else end
-        if stop > at:
-            text.append((html.unescape(page[at:stop]), state["links"] > 0))
-        if not m:
-            break
-        at = m.end() if m.end() > stop else stop + 1
-        name = (m[2] or "").lower()
-        if not name:
-            continue
-        if name in RAW:
-            if not m[1] and not m[3].rstrip().endswith("/"):
-                if name not in INLINE and name != "button":
-                    flush()
-                close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = close.end() if close else _skip_open(name, page, at)
-            continue
-        if name not in INLINE:
-            flush()
-        if m[1]:
-            if any(x[0] == name for x in stack):
-                while True:
-                    tag = stack.pop()[0]
-                    state["links"] -= tag == "a"
-                    if tag == name:
-                        break
-            continue
-        if name in VOID:
-            continue
-        if name in ENDS_P or name in CLOSES:
-            target = "p" if name in ENDS_P else CLOSES[name]
-            for k in range(len(stack) - 1, -1, -1):
-                tag = stack[k][0]
-                if tag == target:
-                    state["links"] -= sum(x[0] == "a" for x in stack[k:])
-                    del stack[k:]
-                    break
-                if tag not in INLINE:
-                    break
-        hints = " ".join(" ".join(filter(None, g)) for g in _ATTR.findall(m[3]))
-        if name == "a":
-            state["links"] += 1
-        good = name in GOOD and not any(x[1] or x[2] for x in stack)
-        state["seen"] |= good
-        inner = any(x[3] for x in stack)
+            self.out.append({"text": joined, "words": float(words), "density": min(1.0, linked / words), "heading": float(self.headings > 0), "inside": self.stack[-1] if self.stack else -1})
+        self.text.clear()
+
+    def push(self, tag: str, attributes: str) -> None:
+        inside = self.open.get("article", 0) + self.open.get("main", 0)
         # An article's own header holds its title.
-        stack.append((name, name in BESIDE and not (inner and name == "header"), bool(hints and HINT.search(hints)) and name not in ("body", "html", "main"), good))
-        if m[3].rstrip().endswith("/") and name not in INLINE:
-            stack.pop()
-    flush()
+        beside = tag in BESIDE and not (inside and tag == "header")
+        known = hinted(attributes) and tag not in ("body", "html", "main") if attributes and tag not in INLINE else False
+        if tag not in INLINE:
+            self.outer.append(len(self.stack))
+        self.elements.append(Element(tag, beside, known, tag in GOOD, self.stack[-1] if self.stack else -1, len(self.out)))
+        self.stack.append(len(self.elements) - 1)
+        self.open[tag] = self.open.get(tag, 0) + 1
+        self.headings += tag in HEADING
+
+    def pop(self) -> str:
+        element = self.elements[self.stack.pop()]
+        element.end = len(self.out)
+        if self.outer and self.outer[-1] == len(self.stack):
+            self.outer.pop()
+        self.open[element.tag] -= 1
+        self.headings -= element.tag in HEADING
+        return element.tag
+
+    def close(self, tag: str) -> None:
+        if self.open.get(tag):
+            while self.pop() != tag:
+                pass
+
+    def close_implied(self, tags: tuple[str, ...]) -> None:
+        """End the innermost element that is not inline if it is one of tags."""
+        while self.outer and self.elements[self.stack[self.outer[-1]]].tag in tags:
+            self.close(self.elements[self.stack[self.outer[-1]]].tag)
+
+    def cut(self, page: str) -> None:
+        at, end = 0, len(page)
+        while at < end:
+            m = _TOKEN.search(page, at)
+            stop = m.start() if m else end
+            if stop > at:
+                self.text.append((html.unescape(page[at:stop]), self.open.get("a", 0) > 0))
+            if not m:
+                break
+            at = m.end()
+            tag = (m[2] or "").lower()
+            if not tag:
+                continue
+            if tag in RAW:
+                if not m[1]:
+                    if tag not in ("button", "svg"):
+                        self.flush()
+                    ends = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                    at = ends.end() if ends else _skip_open(tag, page, at)
+                continue
+            if tag == "br":
+                self.text.append((" ", False))
+            if tag not in INLINE:
+                self.flush()
+            if m[1]:
+                self.close(tag)
+                continue
+            if tag in VOID:
+                continue
+            if tag in ENDS_P:
+                self.close_implied(("p",))
+            elif tag in CLOSES:
+                self.close_implied(("p", *CLOSES[tag]))
+            elif tag == "a":
+                self.close("a")  # links do not nest
+            self.push(tag, m[3])
+        self.flush()
+        while self.stack:
+            self.pop()
+
+
+def blocks(page: str) -> list[dict]:
+    """The text blocks of a page in order, with the features of FEATURES."""
+    cutter = Cutter()
+    cutter.cut(page.replace("\x00", ""))
+    out, elements = cutter.out, cutter.elements
+    sums = [0.0]
+    for b in out:
+        sums.append(sums[-1] + b["words"] * (1 - b["density"]))
+    titles = [e for e in elements if e.good or e.tag == "h1"]
+    opening, closing = sorted(e.begin for e in titles), sorted(e.end for e in titles)
+    flags: list[tuple[bool, bool, bool]] = []
+    for e in elements:
+        beside, known, inside = flags[e.parent] if e.parent >= 0 else (False, False, False)
+        if e.beside or e.hinted:
+            # A wrapper around the article or most of the page's words says nothing about what is in it.
+            outside = any(x.begin < e.begin or x.end > e.end for x in titles) if len(titles) <= 8 else opening[0] < e.begin or closing[-1] > e.end
+            wrapper = not outside and (sums[e.end] - sums[e.begin]) * 2 > sums[-1]
+            beside, known = beside or (e.beside and not wrapper), known or (e.hinted and not wrapper)
+        flags.append((beside, known, inside or (e.good and not beside and not known)))
+    has_article = float(any(f[2] for f in flags))
     none = {"words": 0.0, "density": 0.0}
     for i, b in enumerate(out):
         before, after = out[i - 1] if i else none, out[i + 1] if i + 1 < len(out) else none
-        b |= {"words_before": before["words"], "density_before": before["density"], "words_after": after["words"], "density_after": after["density"], "page_has_article": float(state["seen"])}
+        beside, known, inside = flags[b["inside"]] if b["inside"] >= 0 else (False, False, False)
+        b |= {
+            "words_before": before["words"], "density_before": before["density"], "words_after": after["words"], "density_after": after["density"],
+            "beside": float(beside), "hinted": float(known), "in_article": float(inside), "page_has_article": has_article,
+        }
     return out
 
 
 def _skip_open(name: str, page: str, at: int) -> int:
-    """Where an unclosed element that holds no text ends: head at body, a script or style at the page's end."""
-    if name in ("script", "style", "template", "textarea", "svg", "iframe", "noscript", "canvas", "math", "object", "audio", "video", "select"):
-        return len(page)
-    body = re.compile(r"<(?:body|article|main|div|p|h1|nav|header)\b", re.I).search(page, at)
-    return body.start() if body and name == "head" else at
-
-
-_LONG = " ".join(["word"] * 30)
-_MID = " ".join(["word"] * 12)
-_SHORT = "two words"
-_LINKS = "".join(f'<li><a href="/{i}">item {i}</a></li>' for i in range(5))
-#: The labelled table: page fragments, * before the blocks that are main text.
-LABELLED = (
-    f"<nav><ul>{_LINKS}</ul></nav><article><h1>*{_SHORT}</h1><p>*{_LONG}</p><p>*{_MID}</p><p>*{_SHORT}</p></article><footer>{_MID}</footer>",
-    f"<header>{_SHORT}<p>{_MID}</p></header><main><h1>*{_SHORT}</h1><p>*{_LONG}</p><h2>*{_SHORT}</h2><p>*one</p></main><aside><p>{_LONG}</p></aside>",
-    f"<div class='ad'>{_MID}</div><article><p>*{_LONG}</p><ul><li>*{_SHORT}</li><li>*{_MID}</li></ul></article><footer>{_LONG}</footer>",
-    f"<div id='menu'>{_LINKS}</div><div class='content'><h1>*{_SHORT}</h1><p>*{_LONG}</p><p>*{_LONG}</p><p>*{_MID}</p></div><div class='footer'>{_SHORT}</div>",
-    f"<div>{_LINKS}</div><div><h1>*{_SHORT}</h1><p>*{_LONG}</p><p>*{_MID}</p><p>*{_LONG}</p></div><div>{_LINKS}</div>",
-    f"<form><p>{_MID}</p><label>{_SHORT}</label></form><article><h1>*{_SHORT}</h1><p>*{_LONG} <a href='/x'>link</a> more</p></article>",
-    f"<article><h1>*{_SHORT}</h1><p>*{_LONG}</p><div class='comments'><p>{_LONG}</p><p>{_MID}</p></div></article>",
-    f"<article><p>*{_LONG}</p><aside><p>{_MID}</p></aside><div class='related'>{_LINKS}</div><p>*{_LONG}</p></article>",
-    f"<div class='cookie-notice'><p>{_LONG}</p></div><main><p>*{_MID}</p><p>*{_LONG}</p><p>*{_SHORT}</p></main><section id='comments'><p>{_LONG}</p></section>",
-    f"<div class='sidebar'><h3>{_SHORT}</h3><p>{_LONG}</p></div><div><p>*{_LONG}</p><p>*{_LONG}</p></div>",
-    f"<div>{_SHORT}</div><article><h1>*{_SHORT}</h1><p>*{_SHORT}</p></article><div>{_LONG}</div><p>{_MID}</p>",
-    f"<p>*{_LONG}</p><p>*{_MID}</p><p>*{_LONG}</p><div class='newsletter'>{_MID}</div>",
-    f"<article><h1>*{_SHORT}</h1><p>*<a href='/a'>{_MID}</a></p><p>*{_LONG}</p></article><p><a href='/b'>{_MID}</a></p>",
-    f"<table><tr><td><a href='/1'>home</a></td><td><a href='/2'>about</a></td></tr></table><h1>*{_SHORT}</h1><p>*{_LONG}</p><blockquote>*{_MID}</blockquote><p>*{_LONG}</p>",
-)
+    """Where an element without an end tag ends: a head at the body, a script or style at the page's end, a button at once."""
+    body = re.compile(r"<(?:body|article|main|div|p|h1|nav|header)\b", re.I).search(page, at) if name == "head" else None
+    if body:
+        return body.start()
+    return at if name in ("head", "button", "title") else len(page)
+
+
+def _prose(draw: random.Random, words: int) -> str:
+    """So many made-up words, now and then with a stop."""
+    return " ".join("".join(draw.choices(("ka", "lo", "mi", "ten", "ra", "sul", "o"), k=draw.randint(1, 4))) + draw.choice(("", "", "", "", "", "", ",", ".")) for _ in range(words))
+
+
+def labelled_page(draw: random.Random) -> str:
+    """A made-up page of one of many layouts; main blocks begin with *."""
+    few, some, many = (lambda: _prose(draw, draw.randint(1, 5))), (lambda: _prose(draw, draw.randint(6, 20))), (lambda: _prose(draw, draw.randint(20, 160)))
+    links = lambda: "".join(f'<li><a href="/{i}">{few()}</a></li>' for i in range(draw.randint(2, 9)))
+    main = [f"<h1>*{few() if draw.random() < 0.5 else some()}</h1>"] if draw.random() < 0.9 else []
+    for _ in range(draw.randint(2, 14)):
+        main.append(draw.choice((
+            lambda: f"<p>*{many()}</p>", lambda: f"<p>*{many()}</p>", lambda: f"<p>*{many()}<br>{some()}</p>", lambda: f"<p>*{some()}</p>", lambda: f"<p>*{few()}</p>",
+            lambda: f"<h2>*{few()}</h2><p>*{many()}</p>", lambda: f"<ul><li>*{few()}</li><li>*{some()}</li></ul>", lambda: f"<blockquote>*{some()}</blockquote>",
+            lambda: f"<p>*{many()} <a href='/x'>{few()}</a> {some()}</p>", lambda: f"<figure><img src='x'><figcaption>*{some()}</figcaption></figure>", lambda: f"<pre>*{some()}</pre>",
+            lambda: f"<table><tr><td>*{few()}</td><td>*{few()}</td></tr></table>",
+        ))())
+    aside = draw.choice((
+        lambda: f"<aside><h3>{few()}</h3><p>{some()}</p></aside>", lambda: f"<div class='related-posts'><ul>{links()}</ul></div>", lambda: f"<div class='ad'>{some()}</div>",
+        lambda: f"<div class='newsletter-box'><p>{some()}</p></div>", lambda: "", lambda: "", lambda: f"<form><p>{few()}</p><label>{few()}</label></form>",
+    ))
+    if draw.random() < 0.4:
+        main.insert(draw.randint(1, len(main)), aside())
+    body = "".join(main)
+    comments = "".join(f"<li><div><p>{few()}</p><p>{draw.choice((some, many))()}</p></div></li>" for _ in range(draw.randint(1, 6)))
+    after = draw.choice(("", "", f"<section id='comments'><h3>{few()}</h3><ol class='comment-list'>{comments}</ol></section>", f"<div class='share'>{few()}</div>", f"<div id='disqus_thread'><p>{many()}</p></div>"))
+    top = draw.choice((f"<nav><ul>{links()}</ul></nav>", f"<header><a href='/'>{few()}</a><p>{few()}</p></header><nav>{links()}</nav>", f"<div id='menu'><ul>{links()}</ul></div>", f"<ul>{links()}</ul>", f"<header><p>{some()}</p></header>"))
+    top += draw.choice(("", "", f"<div class='cookie-notice'><p>{draw.choice((some, many))()}</p></div>", f"<div class='ad'>{some()}</div>", f"<div class='sidebar'><h3>{few()}</h3><p>{some()}</p></div>"))
+    bottom = draw.choice(("", f"<footer><p>{draw.choice((few, some, many))()}</p></footer>", f"<div class='footer'><p>{some()}</p><ul>{links()}</ul></div>", f"<footer>{few()} <a href='/'>{few()}</a></footer>"))
+    wrap = draw.choice(("<article>{}</article>{}", "<article class='post no-comments'>{}{}</article>", "<main>{}</main>{}", "<main><article>{}</article>{}</main>", "<div class='content'>{}</div>{}", "<div>{}</div>{}", "<section>{}</section>{}"))
+    return draw.choice(("{}{}{}", "{}{}{}", "<div class='layout has-sidebar'>{}{}{}</div>", "<form id='page'>{}{}{}</form>")).format(top, wrap.format(body, after), bottom)
 
 
-def labelled_blocks() -> list[tuple[list[float], float]]:
-    rows = []
-    for page in LABELLED:
-        for b in blocks(page):
+def labelled_blocks(pages: int = LABELLED_PAGES, seed: int = 1) -> list[tuple[list[float], float]]:
+    """The features and labels of the blocks of so many made-up pages."""
+    rows, draw = [], random.Random(seed)
+    for _ in range(pages):
+        for b in blocks(labelled_page(draw)):
             rows.append(([b[f] for f in FEATURES], float(b["text"].startswith("*"))))
     return rows
 
@@ -168,7 +254,7 @@ def train(spark: SparkSession, depth: int = 8) -> list[tuple[int, float, int, in
     from pyspark.ml.linalg import Vectors
 
     rows = spark.createDataFrame([(Vectors.dense(x), y) for x, y in labelled_blocks()], ["features", "label"])
-    model = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=1, seed=7).fit(rows.coalesce(1))
+    model = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=3, seed=7).fit(rows.coalesce(1))
     nodes: list[tuple[int, float, int, int, float]] = []
 
     def walk(node) -> int:

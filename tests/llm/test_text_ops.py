@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter
 from hashlib import sha256
@@ -268,7 +269,7 @@ def test_lcs():
 
 
 PAGES = {
-    "<html><head><title>T</title><script>a<b</script></head><body><nav><a href=x>Home</a></nav><article><h1>One &amp; two</h1><p>Some <b>bold</b>\n text.<br>New</p><div class='comments'><p>Nice post</p></div></article><footer>f</footer>": "One & two\n\nSome bold text.\n\nNew",
+    "<html><head><title>T</title><script>a<b</script></head><body><nav><a href=x>Home</a></nav><article><h1>One &amp; two</h1><p>Some <b>bold</b>\n text.<br>New</p><div class='comments'><p>Nice post</p></div></article><footer>f</footer>": "One & two\n\nSome bold text. New",
     "": "", "plain words only": None, "<p>unclosed <b>para<p>second": None, "<article><p>cut off <a hre": "cut off", "<!-- <article><p>x</p> --><main><p>Real text here</p></main><script>var a='<p>no</p>'": "Real text here",
     "<body><div id='sidebar'><p>side words here</p></div><form><p>your name</p></form><article><p>The main story.</p></article><div class='cookie-notice'>We use cookies</div></body>": "The main story.",
 }
@@ -285,6 +286,41 @@ def test_page_text(spark):
     assert by[None] == ""
 
 
+_WORDS = " ".join(f"word{i}" for i in range(60))
+_FRAMED = f"<nav><a href=/>home</a></nav>{{}}<footer><a href=/x>about us</a></footer>"
+LAYOUTS = {
+    f"<div class='layout has-sidebar'><article><h1>Title here</h1><p>{_WORDS}</p></article></div>": f"Title here\n\n{_WORDS}",
+    f"<div class='content-sidebar-wrap'><article><p>{_WORDS}</p></article><aside class='sidebar'>other words</aside></div>": _WORDS,
+    f"<article class='post no-comments'><p>{_WORDS}</p><div id='comments'><p>{_WORDS}</p><p>{_WORDS}</p></div></article>": _WORDS,
+    f"<form id='aspnetForm'><nav><a href=/>home</a></nav><article><h1>Title here</h1><p>{_WORDS}</p></article><form><p>your name</p></form></form>": f"Title here\n\n{_WORDS}",
+    f"<article><p title=don't>{_WORDS}</p><p>It's the end</p></article>": f"{_WORDS}\n\nIt's the end",
+    f"<article><p>{_WORDS}<br>more <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here</p><figure><img src=a><figcaption>What it shows</figcaption></figure></article>": f"{_WORDS} more x=2 here\n\nWhat it shows",
+}
+
+
+def test_page_layouts(spark):
+    """Wrappers named after what they lack or hold, odd attributes, line breaks, captions and formulas keep their article."""
+    rows = [(i, "u", _FRAMED.format(p), "x") for i, p in enumerate(LAYOUTS)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
+    for i, want in enumerate(LAYOUTS.values()):
+        assert got[i] == want, i
+
+
+@pytest.mark.parametrize("page", ["<div>word" * 50_000, "<b>" * 30_000 + "<p>x" * 30_000, "<li><div>" + "<b>" * 20_000 + "<li>x</li>" * 20_000, "<p " + 'a="x" ' * 50_000, "<div class='ad'>" * 20_000 + "x</div>" * 20_000])
+def test_page_in_linear_time(page):
+    begin = time.process_time()
+    html_text.blocks(page)
+    assert time.process_time() - begin < 5
+
+
+def test_tree_on_pages_it_has_not_seen(spark):
+    nodes = html_text.train(spark)
+    rows = html_text.labelled_blocks(pages=300, seed=99)
+    hits = Counter((html_text.is_main(nodes, dict(zip(html_text.FEATURES, x, strict=True))), y > 0.5) for x, y in rows)
+    assert hits[True, True] >= 0.9 * (hits[True, True] + hits[True, False])
+    assert hits[True, True] >= 0.9 * (hits[True, True] + hits[False, True])
+
+
 def test_tree_fits_its_labels(spark):
     nodes = html_text.train(spark)
     rows = html_text.labelled_blocks()
