@@ -16,14 +16,14 @@ whatever its cosine: no verbatim copy depends on the space. A candidate is
 contaminated if the longest common subsequence of its words with the item's
 covers COVERED of the item; or, for looser paraphrases, LOOSE of it together
 with the item's answer (its last sentence) to ANSWER. Words are compared in lower case
-without punctuation at their ends. The benchmark is the stated query set; it is
-worked off in blocks of item_block items, no more than the space has dimensions,
-each against all rows.
+without punctuation at their ends. The benchmark is the stated query set; texts
+are read once for all of it, then it is worked off in blocks of item_block items,
+no more than the space has dimensions, each against all rows.
 
 Defined results: null or empty texts and items never match; a null item_id or
-doc_id is returned as it is; rows that repeat a doc_id give one match an item,
-the best; an empty table on either side gives no matches; extra columns are
-ignored.
+doc_id is returned as it is; rows that repeat a doc_id, or have none, give one
+match an item, the best; an empty table on either side gives no matches; extra
+columns are ignored. Where documents are removed, each row goes by itself.
 """
 
 from __future__ import annotations
@@ -37,12 +37,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from placemark.llm.common import stored
 
 RANK, OVERSAMPLE, BLOCK, SPAN, SHINGLE = 256, 16, 32, 3, 3
 COMMON, LEAST_FEATURES, ITEM_SHARE = 0.1, 8, 0.5
 COSINE, COVERED, LOOSE, ANSWER = 0.4, 0.7, 0.62, 0.8
+#: Sums of tasks that one task merges.
+MERGED = 16
 _ENDS = b".,;:!?\"'()[]{}"
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -135,7 +138,7 @@ class Lists:
 
 
 def benchmark_tokens(docs: DataFrame, words: list[bytes]) -> DataFrame:
-    """(doc_id, place, word): the positions and numbers of the benchmark's words in each text; other words cannot take part in a match."""
+    """(doc_id, place, word), doc_id of any type: the positions and numbers of the benchmark's words in each text; other words cannot take part in a match."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,8 +153,8 @@ def benchmark_tokens(docs: DataFrame, words: list[bytes]) -> DataFrame:
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place, kind), pa.array(word, kind)], names=["doc_id", "place", "word"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text <> ''")
-    return rows.mapInArrow(run, "doc_id long, place array<int>, word array<int>")
+    rows = docs.select("doc_id", F.col("text").cast("string")).where("text <> ''")
+    return rows.mapInArrow(run, rows.select("doc_id").schema.add("place", ArrayType(IntegerType())).add("word", ArrayType(IntegerType())))
 
 
 def document_frequencies(tokens: DataFrame, size: int) -> tuple[np.ndarray, int]:
@@ -258,7 +261,7 @@ class Space:
 
 
 def _summed(tokens: DataFrame, space: Space, shape: tuple[int, int], add) -> np.ndarray:
-    """The sum over all passages of a matrix that add(space, rows, out) adds to; a few tasks merge what the tasks have summed."""
+    """The sum over all passages of a matrix that add(space, rows, out) adds to; what the tasks have summed is merged as a tree, MERGED at a time."""
     shared = tokens.sparkSession.sparkContext.broadcast(space)
     kind = "part int, sum binary"
 
@@ -278,19 +281,23 @@ def _summed(tokens: DataFrame, space: Space, shape: tuple[int, int], add) -> np.
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(shape, np.float32)
         for batch in batches:
-            for raw in batch.column(1).to_pylist():
-                out += np.frombuffer(raw, np.float32).reshape(shape)
+            for raw in batch.column(1):
+                out += np.frombuffer(raw.as_buffer(), np.float32).reshape(shape)
         yield one(out)
 
     total = np.zeros(shape, np.float64)
-    for r in tokens.mapInArrow(run, kind).repartition(4).mapInArrow(merge, kind).toLocalIterator():
+    sums, parts = tokens.mapInArrow(run, kind), tokens.rdd.getNumPartitions()
+    while parts > MERGED:
+        parts = -(-parts // MERGED)
+        sums = sums.repartition(parts).mapInArrow(merge, kind)
+    for r in sums.toLocalIterator():
         total += np.frombuffer(r.sum, np.float32).reshape(shape)
     return total
 
 
-def fit(tokens: DataFrame, items: list[tuple[int | None, np.ndarray, np.ndarray]], size: int, rank: int = RANK) -> Space:
-    """The latent space of all passages and of the items."""
-    space = Space(items, *document_frequencies(tokens, size))
+def fit(tokens: DataFrame, items: list[tuple[int | None, np.ndarray, np.ndarray]], frequencies: tuple[np.ndarray, int], rank: int = RANK) -> Space:
+    """The latent space of all passages and of the items; frequencies: in how many texts each word is, and of how many."""
+    space = Space(items, *frequencies)
     features = len(space.idf)
     width = min(features, rank + OVERSAMPLE)
     draw = np.random.Generator(np.random.PCG64(5)).standard_normal((features, width)).astype(np.float32)
@@ -372,20 +379,24 @@ def verdict(item: Sequence, answer: Sequence, region: list) -> tuple[bool, int,
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, item_block: int = RANK) -> DataFrame:
     """(doc_id, item_id, cosine, lcs_words, item_words, answer_words): the best matching passage a document and item."""
-    schema = "doc_id long, item_id long, cosine double, lcs_words int, item_words int, answer_words int"
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
-    names = ["doc_id", "item_id", "cosine", "lcs_words", "item_words", "answer_words"]
+    schema = docs.select("doc_id").schema
+    for name, kind in (("item_id", "long"), ("cosine", "double"), ("lcs_words", "integer"), ("item_words", "integer"), ("answer_words", "integer")):
+        schema = schema.add(name, kind)
+    kinds = [pa.string() if schema["doc_id"].dataType.simpleString() == "string" else pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
+    names = schema.names
     found: list[DataFrame] = []
+    queries = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text <> ''").orderBy("item_id", "text")
+    vocabulary = sorted({w for r in queries.toLocalIterator() for w in plain_words(r.text)})
+    number = {w: k for k, w in enumerate(vocabulary)}
+    tokens = stored(benchmark_tokens(docs, vocabulary), "benchmark-tokens")
+    frequencies = document_frequencies(tokens, len(vocabulary))
 
     def search(block: list[tuple[int | None, str]]) -> None:
         texts = [(i, plain_words(t), answer_of(t)) for i, t in block]
-        vocabulary = sorted({w for _, words, _ in texts for w in words})
-        number = {w: k for k, w in enumerate(vocabulary)}
         items = [(i, np.array([number[w] for w in words]), np.array([number[w] for w in answer])) for i, words, answer in texts if words]
         if not items:
             return
-        tokens = stored(benchmark_tokens(docs, vocabulary), "benchmark-tokens")
-        shared = docs.sparkSession.sparkContext.broadcast(fit(tokens, items, len(vocabulary)))
+        shared = docs.sparkSession.sparkContext.broadcast(fit(tokens, items, frequencies))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = shared.value
@@ -411,8 +422,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
         found.append(tokens.mapInArrow(run, schema))
 
     block: list[tuple[int | None, str]] = []
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text <> ''").orderBy("item_id", "text")
-    for r in items.toLocalIterator():
+    for r in queries.toLocalIterator():
         block.append((r.item_id, r.text))
         if len(block) == item_block:
             search(block)
@@ -425,6 +435,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id matches no item."""
-    hit = contaminated(docs.select("doc_id", "text"), benchmark).select("doc_id").distinct()
-    return docs.join(hit, docs.doc_id.eqNullSafe(hit.doc_id), "left_anti")
+    """The rows of docs that match no item; rows are told apart by id and text."""
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    columns, keyed = docs.columns, docs.withColumn("__row_key", key)
+    hit = contaminated(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__row_key")).distinct()
+    return keyed.join(hit, "__row_key", "left_anti").select(*columns)
