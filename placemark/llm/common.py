@@ -44,6 +44,23 @@ def discard(*tables: DataFrame) -> None:
             where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: A key with more than one in so many of all rows is hot: fewer than so many are.
+HOT = 10_000
+
+
+def meet(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """rows joined with side, a stored table of one row a key with n, how many of rows have the key.
+
+    A hot key's rows stay where they are and its row of side is broadcast - there are
+    fewer than HOT such keys, whatever the input - so that no key's rows gather in one task.
+    """
+    total = side.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.col("n") * HOT > total
+    often, rest = F.broadcast(side.where(hot)), side.where(~hot)
+    cold = rows.join(F.broadcast(side.where(hot).select(*keys)), keys, "left_anti")
+    return rows.join(often, keys).unionByName(cold.join(rest.hint("merge"), keys))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

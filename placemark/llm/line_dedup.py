@@ -1,14 +1,16 @@
 """Line dedup: repeated multi-line chunks with content-defined boundaries.
 
 A rolling hash runs over the hashes of WINDOW lines; where it divides by EVERY
-a chunk ends, so boundaries move with the lines and an insertion shifts only
-the chunk it falls in. A chunk of two or more lines with words that occurs more
-than once in all documents is kept where it comes first - by doc_id, then place
-in the text - and removed elsewhere. Hashes find the candidates; chunks are
-taken as equal only where their bytes are.
+a chunk of two lines or more ends, so boundaries move with the lines and an
+insertion shifts only the chunk it falls in. A chunk of two or more lines with
+words that occurs more than once in all documents is kept where it comes first -
+by doc_id, then place in the text - and removed elsewhere. Hashes find the
+candidates; chunks are taken as equal only where their bytes are.
 
 Hashes alone are shuffled at first; the bytes follow for chunks whose hash
-repeats. A frequent chunk is reduced to its first place before the shuffle.
+repeats, and each task reduces equal ones to one before. Bytes are compared by
+their least and greatest under a hash and digest: where they differ, nothing is
+removed. The rows of a very frequent chunk are never gathered.
 
 Defined results: a null text is returned as null with no lines, an empty one as
 one empty line; rows with the same doc_id and text are one document and are
@@ -25,9 +27,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemark.llm.common import row_key, stored
+from placemark.llm.common import discard, meet, row_key, stored
 
-WINDOW, EVERY, LONGEST = 2, 4, 64
+WINDOW, EVERY, LEAST = 2, 4, 2
 _MASK = (1 << 64) - 1
 _STEP = 0x9E3779B97F4A7C15
 
@@ -41,7 +43,7 @@ def chunk_ends(lines: list[bytes]) -> list[int]:
         hashes.append(h)
         rolling = (rolling * _STEP + h - (hashes[i - WINDOW] * out_step if i >= WINDOW else 0)) & _MASK
         mixed = (rolling ^ (rolling >> 31)) * 0x94D049BB133111EB & _MASK
-        if (mixed >> 33) % EVERY == 0 or i + 1 - since >= LONGEST:
+        if (mixed >> 33) % EVERY == 0 and i + 1 - since >= LEAST:
             ends.append(i + 1)
             since = i + 1
     if since < len(lines):
@@ -75,10 +77,10 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = set(wanted)
             for k, (c, _, may) in enumerate(chunks(text)):
                 if may and (h := xxhash.xxh3_64_intdigest(c) - (1 << 63)) in wanted:
-                    out.append((rid, doc_id, k, h, c))
-        columns = list(zip(*out, strict=True)) if out else [[]] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["rid", "doc_id", "k", "hash", "chunk"])
+                    out.append((rid, doc_id, k, h, xxhash.xxh64_intdigest(c, seed=1) - (1 << 63), c))
+        columns = list(zip(*out, strict=True)) if out else [[]] * 6
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["rid", "doc_id", "k", "hash", "digest", "chunk"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,14 +104,17 @@ def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     own = docs.select(row_key().alias("rid"), F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     once = own.where("text is not null")
     found = stored(once.select("rid", "text").mapInArrow(_hashes, "rid long, hashes array<long>").select("rid", F.explode("hashes").alias("hash")), "lines-hashes")
-    again = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    wanted = found.join(again.hint("merge"), "hash").groupBy("rid").agg(F.collect_set("hash").alias("wanted"))
+    again = stored(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "lines-again")
+    wanted = meet(found, again, ["hash"]).groupBy("rid").agg(F.collect_set("hash").alias("wanted"))
     met = once.join(wanted.hint("merge"), "rid").select("rid", "doc_id", "text", "wanted")
-    met = stored(met.mapInArrow(_wanted, "rid long, doc_id long, k int, hash long, chunk binary"), "lines-met")
+    met = stored(met.mapInArrow(_wanted, "rid long, doc_id long, k int, hash long, digest long, chunk binary"), "lines-met")
+    discard(found, again)
     place = F.struct("doc_id", "rid", "k")
-    # The bytes themselves are the key.
-    first = met.groupBy("hash", "chunk").agg(F.min(place).alias("first"))
-    gone = met.join(first, ["hash", "chunk"]).where(place > F.col("first")).groupBy("rid").agg(F.collect_set("k").alias("gone"))
+    # Equal bytes: the least and the greatest under one hash and digest are the same.
+    first = met.groupBy("hash", "digest").agg(F.min(place).alias("first"), F.min("chunk").alias("least"), F.max("chunk").alias("most"), F.count("*").alias("n"))
+    first = stored(first.where("least = most and n > 1").select("hash", "digest", "first", "n"), "lines-first")
+    gone = meet(met.drop("chunk"), first, ["hash", "digest"]).where(place > F.col("first")).groupBy("rid").agg(F.collect_set("k").alias("gone"))
     gone = stored(gone, "lines-gone")
+    discard(met, first)
     schema = "doc_id long, n_lines long, n_chunks long, n_removed_chunks long, n_removed_lines long, text string"
     return own.join(gone.hint("merge"), "rid", "left").select("doc_id", "text", "gone").mapInArrow(_kept, schema)

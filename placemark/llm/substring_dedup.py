@@ -14,8 +14,9 @@ deep-shallow sorting - multikey quicksort to a shallow depth, then blind tries
 for what still agrees - and the common prefixes of the two orders tell which
 windows two contexts share. A key with more than `group` kinds of contexts is
 cut into finer cells instead, down to single windows, which need no group: no
-task ever holds an unbounded one. Hashes only bring candidates of different
-contexts together; these are compared by their bytes.
+task ever holds an unbounded one. Contexts are told equal by two 64-bit hashes,
+of what they share with their cell and of all their bytes; contexts that differ
+are only brought together by the first and compared by their bytes.
 
 Defined results: null and empty texts keep nothing and lose nothing (n_bytes 0);
 repeated rows are repetitions of each other; a null doc_id is an id of its own;
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemark.llm.common import row_key, stored
+from placemark.llm.common import discard, meet, row_key, stored
 from placemark.llm.hashing import in_runs, mix
 
 LENGTH, GRAM = 400, 16
@@ -363,19 +364,25 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, .
     rows = stored(docs.mapInArrow(_all_windows(length, widths[0]), _ROW), "windows")
     spans = None
     for k, width in enumerate(widths):
-        told, rows = rows.where("n = 0").select("rid", "first", "last"), rows.where("n > 0")
-        keys = rows.groupBy("key").agg(F.sum("n").alias("n"), F.min("kind").alias("least"), F.max("kind").alias("most")).where("n > 1")
-        met = stored(rows.join(keys.select("key", (F.col("least") < F.col("most")).alias("mixed")).hint("merge"), "key"), "windows-met")
-        kinds = stored(met.where("mixed").groupBy("key", "kind").agg(F.sum("n").alias("n"), F.min(F.struct("rid", "first", "last", "high")).alias("one")), "windows-kinds")
-        again = met.where("mixed").join(kinds.where("n > 1").select("key", "kind"), ["key", "kind"])
-        found = met.where("not mixed").select("rid", "first", "last").union(again.select("rid", "first", "last")).union(told)
+        keys = rows.where("n > 0").groupBy("key").agg(F.sum("n").alias("windows"), F.count("*").alias("n"), F.min("kind").alias("least"), F.max("kind").alias("most"))
+        keys = stored(keys.where("windows > 1").select("key", "n", (F.col("least") < F.col("most")).alias("mixed")), "windows-keys")
+        met = meet(rows.where("n > 0").withColumnRenamed("n", "times"), keys, ["key"]).select("rid", "key", "kind", "first", "last", "high", "times", "mixed")
+        # Windows that were told to repeat inside their run of texts go along.
+        told = rows.where("n = 0").select("rid", "key", "kind", "first", "last", "high", F.lit(0).alias("times"), F.lit(False).alias("mixed"))
+        met = stored(met.union(told), "windows-met")
+        discard(rows, keys)
+        kinds = met.where("mixed").groupBy("key", "kind").agg(F.sum("times").alias("times"), F.count("*").alias("n"), F.min(F.struct("rid", "first", "last", "high")).alias("one"))
+        kinds = stored(kinds, "windows-kinds")
+        again = meet(met.where("mixed"), kinds.where("times > 1").select("key", "kind", "n"), ["key", "kind"])
+        found = met.where("not mixed").select("rid", "first", "last").union(again.select("rid", "first", "last"))
         sizes = kinds.groupBy("key").agg(F.count("*").alias("kinds"))
-        kinds = stored(kinds.join(sizes, "key").select("key", "kind", "kinds", "one.*"), "windows-sized")
+        counted, kinds = kinds, stored(kinds.join(sizes, "key").select("key", "kind", "kinds", "one.*"), "windows-sized")
         wanted = F.collect_list(F.struct("key", "kind", "first", "last", "high")).alias("wanted")
         few = docs.join(kinds.where(F.col("kinds") <= group).groupBy("rid").agg(wanted), "rid").select("rid", "text", "wanted")
         contexts = few.mapInArrow(_contexts(length), "key long, kind long, rid long, first int, last int, high int, bytes binary")
         solved = contexts.repartition("key").sortWithinPartitions("key").mapInArrow(_resolved(length), "rid long, first int, last int")
         found = stored(found.union(solved), "windows-repeated")
+        discard(met, counted)
         spans = found if spans is None else spans.union(found)
         many = kinds.where(F.col("kinds") > group)
         if k + 1 == len(widths) or many.isEmpty():
