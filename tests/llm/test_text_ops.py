@@ -209,6 +209,40 @@ def test_class_lm(spark, corpus):
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 
+def test_class_lm_score(spark, corpus, monkeypatch):
+    """Given the classes, the score is what plain counting gives; words of the table beyond the head are exchanged too."""
+    monkeypatch.setattr(class_lm, "WORDS", 12)
+    monkeypatch.setattr(class_lm, "ENDINGS", 6)
+    held: dict = {}
+    whole = class_lm.class_model
+    monkeypatch.setattr(class_lm, "class_model", lambda *a: held.setdefault("model", whole(*a)))
+    rows = [*corpus, (None, "th er new"), (None, None), (3, corpus[3][1])]
+    got = class_lm.scored(table(spark, rows), table=80).collect()
+    classes = held["model"]["classes"]
+    of = lambda words: [int(c) for c in classes.of(words)]
+    assert of(list(classes.number)) != [int(c) for c in classes.cls[classes.units.of(list(classes.number))]]
+    words = lambda t: (t or "").encode().lower().split()
+    training = [words(t) for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 5 != 1]
+    n, moves = Counter(w for t in training for w in t), Counter()
+    for t in training:
+        moves.update(itertools.pairwise([0, *of(t), 0]))
+    classes_n = class_lm.CLASSES
+    into, out = Counter(), Counter()
+    for (a, b), k in moves.items():
+        out[a] += k
+        into[b] += k
+    total, singles = sum(moves.values()), Counter(of([w for w in n if n[w] == 1]))
+    spare = lambda c: max(singles[c], 1) if c else 1e-9
+    step = lambda a, b: (moves[a, b] + classes_n * (into[b] + 0.5) / (total + 0.5 * classes_n)) / (out[a] + classes_n)
+    want = Counter()
+    for i, t in rows:
+        c = of(words(t))
+        p = sum(math.log10(step(a, b)) for a, b in itertools.pairwise([0, *c, 0])) + math.log10(len(training) / (into[0] + spare(0)))
+        p += sum(math.log10((n[w] or spare(k)) / (into[k] + spare(k))) for w, k in zip(words(t), c, strict=True))
+        want[i, round(p, 6)] += 1
+    assert Counter((r.doc_id, round(r.score, 6)) for r in got) == want
+
+
 def test_class_lm_units():
     assert class_lm.WORDS >= 1024 and class_lm.ENDINGS >= 512
 
