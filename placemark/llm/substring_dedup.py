@@ -18,6 +18,10 @@ task ever holds an unbounded one. Contexts are told equal by two 64-bit hashes,
 of what they share with their cell and of all their bytes; contexts that differ
 are only brought together by the first and compared by their bytes.
 
+What the windows of a coarse cell share, its core of length + 1 - widths[0] bytes,
+is a shorter repeat by itself where two places hold it. These are told as well,
+though nothing is removed for them: a lower bound of what repeats below length.
+
 Defined results: null and empty texts keep nothing and lose nothing (n_bytes 0);
 repeated rows are repetitions of each other; a null doc_id is an id of its own;
 overlapping matches merge; texts shorter than length are kept; an empty table
@@ -356,13 +360,14 @@ def _resolved(length: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WIDTHS, group: int = GROUP) -> DataFrame:
-    """(rid, first, last): the windows of the text with that rid that start from first to last start elsewhere too.
+def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WIDTHS, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+    """(rid, first, last): the windows of the text with that rid that start from first to last start elsewhere too;
+    and (rid, first, last): the first and last byte of the cores that were found elsewhere too.
 
     docs: rid, text. widths must divide evenly into one another and end with 1.
     """
     rows = stored(docs.mapInArrow(_all_windows(length, widths[0]), _ROW), "windows")
-    spans = None
+    spans = cores = None
     for k, width in enumerate(widths):
         keys = rows.where("n > 0").groupBy("key").agg(F.sum("n").alias("windows"), F.count("*").alias("n"), F.min("kind").alias("least"), F.max("kind").alias("most"))
         keys = stored(keys.where("windows > 1").select("key", "n", (F.col("least") < F.col("most")).alias("mixed")), "windows-keys")
@@ -371,6 +376,10 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, .
         told = rows.where("n = 0").select("rid", "key", "kind", "first", "last", "high", F.lit(0).alias("times"), F.lit(False).alias("mixed"))
         met = stored(met.union(told), "windows-met")
         discard(rows, keys)
+        if cores is None:
+            anchor, low = F.expr("first + high"), F.expr(f"(first + high - last) div {width} * {width}")
+            cores = met.select("rid", (anchor - low).cast("int").alias("first")).distinct()
+            cores = stored(cores.withColumn("last", F.col("first") + length - width), "windows-cores")
         kinds = met.where("mixed").groupBy("key", "kind").agg(F.sum("times").alias("times"), F.count("*").alias("n"), F.min(F.struct("rid", "first", "last", "high")).alias("one"))
         kinds = stored(kinds, "windows-kinds")
         again = meet(met.where("mixed"), kinds.where("times > 1").select("key", "kind", "n"), ["key", "kind"])
@@ -386,19 +395,20 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, .
         spans = found if spans is None else spans.union(found)
         many = kinds.where(F.col("kinds") > group)
         if k + 1 == len(widths) or many.isEmpty():
-            return spans
+            return spans, cores
         again = docs.dropDuplicates(["rid"]).join(many.groupBy("rid").agg(wanted), "rid").select("rid", "text", "wanted")
         rows = stored(again.mapInArrow(_finer(length, widths[k + 1]), _ROW), "windows-finer")
-    return spans
+    return spans, cores
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **parameters) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (bytes) and kept_sha256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256 and n_core_bytes (bytes in cores found elsewhere too) of every row."""
     own = docs.select(row_key().alias("rid"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    spans = repeated_windows(own.select("rid", "text"), length, **parameters)
-    spans = spans.groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    spans, cores = repeated_windows(own.select("rid", "text"), length, **parameters)
+    spans = spans.withColumn("core", F.lit(False)).unionByName(cores.withColumn("core", F.lit(True)))
+    spans = spans.groupBy("rid").agg(F.collect_list(F.struct("first", "last", "core")).alias("spans"))
     schema = docs.select("doc_id").schema
-    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept", "binary"), ("kept_sha256", "string")):
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept", "binary"), ("kept_sha256", "string"), ("n_core_bytes", "long")):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,15 +416,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **parameters) -> DataF
             out = []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 raw = _raw(text)
-                runs = _merged([(s["first"], s["last"] + length - 1) for s in found or ()])
+                runs = _merged([(s["first"], s["last"] + length - 1) for s in found or () if not s["core"]])
+                cores = _merged([(s["first"], s["last"]) for s in found or () if s["core"]])
                 kept, at = [], 0
                 for a, b in runs:
                     kept.append(raw[at:a])
                     at = b + 1
                 left = b"".join([*kept, raw[at:]])
-                out.append((len(raw), len(raw) - len(left), len(runs), left, sha256(left).hexdigest()))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            kinds = [pa.int64()] * 3 + [pa.binary(), pa.string()]
+                out.append((len(raw), len(raw) - len(left), len(runs), left, sha256(left).hexdigest(), sum(b - a + 1 for a, b in cores)))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            kinds = [pa.int64()] * 3 + [pa.binary(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=schema.names)
 
     return own.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)

@@ -158,6 +158,30 @@ def test_substring_dedup(spark, corpus, length, widths, group):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == brute_repeats(rows, length)
 
 
+def test_substring_cores(spark, corpus):
+    """Cores are repeats of their own length; a passage shorter than length that two texts hold shows there, and is kept."""
+    r = random.Random(21)
+    text = lambda n: "".join(r.choices("abcdefghij ", k=n))
+    passage = text(330)
+    rows = [*corpus, (700, text(900) + passage + text(900)), (701, text(500) + passage), (702, text(2000))]
+    rows += [(None, f"{text(450)} {k}") for k in range(200)] + [(None, text(100) + passage + text(700))]
+    got = substring_dedup.remove_repeats(table(spark, rows)).collect()
+    core = substring_dedup.LENGTH + 1 - substring_dedup.WIDTHS[0]
+    starts = Counter(t.encode()[x : x + core] for _, t in rows if t for x in range(len(t.encode()) - core + 1))
+    covered = Counter()
+    for i, t in rows:
+        b, hit = (t or "").encode(), set()
+        for x in range(len(b) - core + 1):
+            if starts[b[x : x + core]] > 1:
+                hit.update(range(x, x + core))
+        covered[i, len(b), len(hit)] += 1
+    assert all(any(r.n_core_bytes <= n for i, size, n in covered if (i, size) == (r.doc_id, r.n_bytes)) for r in got)
+    by = {r.doc_id: r for r in got}
+    assert all(by[i].n_removed == 0 and by[i].n_core_bytes >= core for i in (700, 701)) and by[702].n_core_bytes == 0
+    # Many different texts without an id.
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows, 400)
+
+
 def test_row_keys_differ(spark):
     rows = [(i, f"text {k}") for i in (None, -1, 7) for k in range(4000)]
     keys = {r[0] for r in table(spark, rows).select(common.row_key()).collect()}
