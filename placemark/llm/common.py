@@ -13,9 +13,11 @@ WHITE = "\\x20\\x09-\\x0D"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the session names none."""
+    """The folder all executors share; one of our own only on one machine where the session names none."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="placemark-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemark.llm.token_counts import default_model, encode_unit, pre_tokens, processor
+from placemark.llm.token_counts import default_model, encode_unit, pre_tokens, processor, splits_at_spaces
 
 SCHEMA = (
     "shard long, row long, n_tokens int, n_segments int, ids binary, cu_seqlens array<int>, "
@@ -110,10 +110,11 @@ def pack(
     model_path: str | None = None,
     block_docs: int = 4096,
     block_tokens: int = 4_000_000,
-    cache: int = 150_000,
+    cache: int = 600_000,
 ) -> DataFrame:
     """The packed rows (SCHEMA) of every document's tokens."""
     path = model_path or default_model()
+    whole = not splits_at_spaces(processor(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(path)
@@ -124,7 +125,7 @@ def pack(
         size = 0
 
         def encoded(text: str) -> np.ndarray:
-            units = pre_tokens(text)
+            units = None if whole else pre_tokens(text)
             if units is None:
                 return np.array(sp.encode(text, num_threads=1), kind)
             return np.frombuffer(b"".join(map(known.__getitem__, units)), kind)
@@ -176,6 +177,15 @@ def unpack(packed: DataFrame, model_path: str | None = None) -> DataFrame:
     )
 
 
-def write_packed(packed: DataFrame, path: str) -> None:
-    """Write the id matrix and its index as Parquet, a file a shard."""
-    packed.write.mode("errorifexists").parquet(path)
+def padded(packed: DataFrame, row_tokens: int = 4096, pad: int = 0, model_path: str | None = None) -> DataFrame:
+    """The rows with ids filled up to row_tokens by the pad id, so that they make a matrix; n_tokens tells where filling starts."""
+    wide = processor(model_path or default_model()).vocab_size() > 1 << 16
+    fill = pad.to_bytes(4 if wide else 2, "little") * row_tokens
+    width = len(fill)
+    whole = F.substring(F.concat("ids", F.lit(bytearray(fill))), 1, width)
+    return packed.withColumn("ids", whole)
+
+
+def write_packed(packed: DataFrame, path: str, row_tokens: int = 4096, pad: int = 0, model_path: str | None = None) -> None:
+    """Write the matrix of padded ids and its index (cumulative segment lengths, position resets) as Parquet."""
+    padded(packed, row_tokens, pad, model_path).write.mode("errorifexists").parquet(path)

@@ -1,9 +1,10 @@
 """Token counts by a map-side two-tier lookup.
 
-No piece of the vocabulary holds a space mark after another character, so
+Where no piece of the vocabulary holds a space mark after another character,
 merges never cross the gap before a space: a text's tokens are the tokens of
-its space-led pre-tokens. No piece holds a newline either (it becomes one byte
-piece), so a newline starts a pre-token as well. Tier one is a compact table
+its space-led pre-tokens. Where no piece holds a newline either (it becomes one
+byte piece), a newline starts a pre-token as well. Both are checked on the model
+(splits_at_spaces); texts under a model without them are encoded whole. Tier one is a compact table
 of frequent pre-tokens, learned from a bounded sample of rows and broadcast;
 tier two encodes the misses in each worker and remembers them in a bounded
 cache. Pre-tokens are never shuffled; results do not depend on either tier.
@@ -42,6 +43,12 @@ def processor(model_path: str):
     return _processors[model_path]
 
 
+def splits_at_spaces(sp) -> bool:
+    """Whether no piece holds a space mark after another character, or a newline."""
+    pieces = (sp.id_to_piece(i) for i in range(sp.vocab_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)))
+    return not any("\n" in p or MARK in p.lstrip(MARK) for p in pieces)
+
+
 def pre_tokens(text: str) -> list[str] | None:
     """Pre-tokens of a text; a unit not led by a newline has an implied space before it.
 
@@ -89,7 +96,7 @@ def count_tokens(
     limit: int = 4096,
     sample_rows: int = 1000,
     entries: int = 30_000,
-    cache: int = 200_000,
+    cache: int = 600_000,
 ) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row.
 
@@ -98,22 +105,22 @@ def count_tokens(
     """
     path = model_path or default_model()
     sp = processor(path)
-    shared = docs.sparkSession.sparkContext.broadcast(
-        {u: len(encode_unit(sp, u)) for u in frequent_units(docs, text, sample_rows, entries)}
-    )
+    whole = not splits_at_spaces(sp)
+    first = [] if whole else frequent_units(docs, text, sample_rows, entries)
+    shared = docs.sparkSession.sparkContext.broadcast({u: len(encode_unit(sp, u)) for u in first})
     rows = docs.select(F.col(id_col), F.col(text).cast("string").alias("text"))
     schema = rows.select(id_col).schema.add("n_bytes", "long").add("n_tokens", "long")
-    return rows.mapInArrow(_counter(path, shared, cache, id_col), schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return rows.mapInArrow(_counter(path, shared, cache, id_col, whole), schema).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
-def _counter(path: str, shared, cache: int, id_col: str) -> Callable:
+def _counter(path: str, shared, cache: int, id_col: str, whole: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp, first, second = processor(path), shared.value, {}
         for batch in batches:
             sizes, counts = [], []
             for t in batch.column(1).to_pylist():
                 sizes.append(len(t.encode("utf-8", "surrogatepass")) if t else 0)
-                units = pre_tokens(t) if t else []
+                units = [] if not t else None if whole else pre_tokens(t)
                 if units is None:
                     counts.append(len(sp.encode(t, num_threads=1)))
                     continue

@@ -52,6 +52,16 @@ def test_pack_round_trip(spark, odd):
     for r in odd.where("doc_id <> 5 and text <> ''").collect():
         assert sum(got[r.doc_id], []) == sp.encode(r.text)
     assert packing.pack(empty(spark)).count() == 0
+    matrix = packing.padded(packing.pack(odd, row_tokens=64, block_docs=5), 64, pad=1).collect()
+    assert len(matrix) == len(rows) and all(len(r.ids) == 128 and set(np.frombuffer(r.ids, np.uint16)[r.n_tokens :]) <= {1} for r in matrix)
+
+
+def test_premise_is_checked(spark, odd, monkeypatch):
+    """A model whose pieces hold spaces inside encodes whole texts: the counts are the library's all the same."""
+    assert token_counts.splits_at_spaces(token_counts.processor(token_counts.default_model()))
+    want = sorted((str(r.doc_id), r.n_tokens) for r in token_counts.count_tokens(odd).collect())
+    monkeypatch.setattr(token_counts, "splits_at_spaces", lambda sp: False)
+    assert sorted((str(r.doc_id), r.n_tokens) for r in token_counts.count_tokens(odd).collect()) == want
 
 
 def test_best_fit_is_best_fit():
