@@ -52,6 +52,18 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+ORACLES["op10_ngram_join"] = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) END AS s FROM w),
+c AS (SELECT min(doc_id) AS c, any_value(s) AS s, len(any_value(s)) AS n FROM s WHERE len(s) > 0 GROUP BY md5(array_to_string(s, chr(10)))),
+g AS (SELECT c, n, unnest(s) AS g FROM c),
+e AS (SELECT a.c AS x, b.c AS y FROM g a JOIN g b ON a.g = b.g AND a.c < b.c AND a.n * 90 <= b.n * 100 AND b.n * 90 <= a.n * 100 GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+f AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+r AS (SELECT c AS node, c AS m FROM c UNION SELECT f.y, r.m FROM r JOIN f ON f.x = r.node),
+m AS (SELECT node, min(m) AS component_id FROM r GROUP BY node),
+k AS (SELECT md5(array_to_string(s, chr(10))) AS h, c FROM c)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM s LEFT JOIN k ON len(s) > 0 AND k.h = md5(array_to_string(s, chr(10))) LEFT JOIN m ON m.node = k.c"""
+
+
 @query
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from placemark.llm.ngram_join import linked_components

@@ -25,6 +25,41 @@ def test_stages(spark):
     assert corpus_pipeline.run(spark, FOLDER).selectExpr("sum(n_tokens) n").first().n == packed.selectExpr("sum(n_tokens) n").first().n
 
 
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_oracle(spark, name):
+    import duckdb
+
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from '{FOLDER}/documents.parquet'")
+    df, found = registry.QUERIES[name](spark, FOLDER), c.sql(registry.ORACLES[name])
+    columns = list(found.columns)
+    assert sorted(df.columns) == sorted(columns)
+    assert sorted(tuple(map(str, r)) for r in df.select(*columns).collect()) == sorted(tuple(map(str, r)) for r in found.fetchall())
+
+
+def odd_documents(spark):
+    """Nulls in every column, empty and very long texts, repeated rows and ids, columns with names the stages use themselves."""
+    prose = table(spark, FOLDER, "documents").where("length(text) > 600").limit(12).collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars, "k", 1) for r in prose]
+    first = rows[0]
+    rows += [first, (None, *first[1:]), (rows[1][0], *rows[2][1:]), (None, None, None, None, None, None, None), (900, None, "en", "src0", 0, "k", 1), (901, "", None, None, None, "", 0)]
+    rows += [(902, " ".join(r.text for r in prose) * 20, "en", None, None, "k", 1), (903, "word " * 5000, "en", "src1", 1, "k", 1)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, __key string, size int")
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_odd_documents(spark, empty):
+    docs = odd_documents(spark)
+    docs = docs.where("false") if empty else docs
+    texts = {r.text for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stored(stage(spark, docs, FOLDER), "stage")
+        assert out.columns == docs.columns and {r.text for r in out.collect()} <= texts
+        docs = out
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert (packed.count() > 0) == (docs.where("text <> ''").count() > 0) and (not empty or packed.count() == 0)
+
+
 @pytest.mark.parametrize("name", sorted(registry.QUERIES, key=lambda n: int(n[2:].split("_")[0])))
 def test_query(spark, name):
     df = registry.QUERIES[name](spark, FOLDER)
