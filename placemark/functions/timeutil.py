@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from placemark.functions.text import once
+
 _WALL = "^(\\d{4})-(\\d{2})-(\\d{2})(?:[T ](\\d{1,2}):(\\d{2})(?::(\\d{2}))?)?"
 # Serbian month names, genitive before nominative.
 MONTHS = {
@@ -25,12 +27,14 @@ def local_to_instant(local: Column, zone: Column) -> Column:
     """The instant of a wall-clock string in an IANA zone: three steps towards the fixed point
     wall = guess + offset(guess), which settles gaps and overlaps the same way everywhere.
     The zone must be known; check it first."""
-    wall = wall_clock(local).cast("long")
-    guess = wall
-    for _ in range(3):
+
+    def towards(wall: Column, guess: Column, steps: int) -> Column:
+        if not steps:
+            return F.timestamp_seconds(guess)
         offset = F.from_utc_timestamp(F.timestamp_seconds(guess), zone).cast("long") - guess
-        guess = wall - offset
-    return F.timestamp_seconds(guess)
+        return once(wall - offset, lambda g: towards(wall, g, steps - 1))
+
+    return once(wall_clock(local).cast("long"), lambda wall: towards(wall, wall, 3))
 
 
 def instant_to_local(instant: Column, zone: Column) -> Column:

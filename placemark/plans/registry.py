@@ -224,7 +224,7 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.explode(pages.links(F.col("html"))).alias("link"))
 
 
-@query()
+@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<svg.*?</svg>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM pages""")
 def html_inline_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", html.inline_text(html.strip_noise(F.col("html"))).alias("text"))
 
@@ -250,3 +250,4 @@ def dedup_first_seen(spark: SparkSession, d: str) -> DataFrame:
 
 
 from placemark.plans import sync_queries  # noqa: E402, F401  registers its queries
+from placemark.plans import function_queries  # noqa: E402, F401  registers its queries

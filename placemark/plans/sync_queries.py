@@ -100,7 +100,14 @@ def cross_source_identity(spark: SparkSession, d: str) -> DataFrame:
     return match.cross_source(rows, ids, stored)
 
 
-@query()
+@query(f"""WITH RECURSIVE {_INCOMING}, {_STORED},
+e AS (SELECT i.id, i.city, 0 AS tier, s.id AS v FROM i JOIN s ON i.city = s.city AND i.source = s.source AND i.ext = s.ext UNION ALL SELECT i.id, i.city, 1, s.id FROM i JOIN s ON i.city = s.city AND i.wd = s.wd
+  UNION ALL SELECT i.id, i.city, 2, s.id FROM i JOIN s ON i.city = s.city AND i.dom = s.dom UNION ALL SELECT i.id, i.city, 3, s.id FROM i JOIN s ON i.city = s.city AND s.nm = 'place ' || CAST(i.id % 20 AS VARCHAR)),
+f AS (SELECT * FROM e QUALIFY tier = min(tier) OVER (PARTITION BY id)),
+q AS (SELECT city, id, list(v ORDER BY tier, v) AS vs, row_number() OVER (PARTITION BY city ORDER BY id) AS k FROM f GROUP BY city, id),
+r AS (SELECT DISTINCT city, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS taken, CAST(NULL AS BIGINT) AS id, CAST(NULL AS BIGINT) AS v FROM q
+  UNION ALL SELECT city, k, CASE WHEN v IS NULL THEN taken ELSE list_append(taken, v) END, id, v FROM (SELECT q.city, q.k, r.taken, q.id, list_filter(q.vs, lambda z: NOT list_contains(r.taken, z))[1] AS v FROM r JOIN q ON q.city = r.city AND q.k = r.k + 1))
+SELECT city, id AS incoming_id, v AS venue_id FROM r WHERE v IS NOT NULL""")
 def greedy_claims(spark: SparkSession, d: str) -> DataFrame:
     rows = match.edges(_incoming(spark, d).withColumn("name_key", F.concat(F.lit("place "), (F.col("incoming_id") % 20).cast("string"))), _stored(spark, d))
     own = _incoming(spark, d).select("incoming_id", "city", F.col("incoming_id").alias("position"))
@@ -428,7 +435,11 @@ def get_or_create_dimension(spark: SparkSession, d: str) -> DataFrame:
     return apply.get_or_create(nation.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("name")), wanted, "name")
 
 
-@query()
+@query(f"""WITH RECURSIVE p AS (SELECT user_id, event_id, 44.8 + (event_id % 97) * 0.00002 AS lat, 20.4 + (event_id % 89) * 0.00002 AS lon, event_id // 500 AS rs, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+r AS (SELECT user_id, event_id, k, TRUE AS routed, CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, rs FROM p WHERE k = 1
+  UNION ALL SELECT user_id, event_id, k, go, CASE WHEN go THEN nlat ELSE lat END, CASE WHEN go THEN nlon ELSE lon END, CASE WHEN go THEN nrs ELSE rs END FROM
+    (SELECT p.user_id, p.event_id, p.k, r.lat, r.lon, r.rs, p.rs AS nrs, CAST(p.lat AS DOUBLE) AS nlat, CAST(p.lon AS DOUBLE) AS nlon, p.rs <> r.rs OR {_metres('r.lat', 'r.lon', 'CAST(p.lat AS DOUBLE)', 'CAST(p.lon AS DOUBLE)')} >= 50 AS go FROM r JOIN p ON p.user_id = r.user_id AND p.k = r.k + 1))
+SELECT user_id, event_id, routed FROM r""")
 def reroute_throttle(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("event_id")
     points = table(spark, d, "events").select("user_id", k, "ts", (F.lit(44.8) + (k % 97) * 0.00002).alias("lat"), (F.lit(20.4) + (k % 89) * 0.00002).alias("lon"), F.floor(k / 500).alias("result_set"))
