@@ -104,17 +104,16 @@ def _by_word(df: DataFrame) -> DataFrame:
 def near_existing(new: DataFrame, stored: DataFrame, metres: int = NEAR_EXISTING_METRES) -> DataFrame:
     """(incoming_id, venue_id, word, metres) of new rows near a stored venue that shares a distinctive word.
 
-    Rows meet by city and word, never by position alone; of a pair's words the first of the new name is told.
+    Rows meet by city, word and band of latitude, never by position alone; of a pair's words the first of the new name is told.
     """
-    return _near(_by_word(new).alias("a"), _by_word(stored).alias("b"), F.lit(True), metres).select(
+    return _near(new, stored, F.lit(True), metres).select(
         F.col("a.incoming_id"), F.col("b.venue_id"), distinctive(F.col("a.name_key"), F.col("b.name_key")).alias("word"), "metres"
     ).distinct()
 
 
 def near_new(new: DataFrame, metres: int = NEAR_NEW_METRES) -> DataFrame:
     """The same among the new rows, told on both sides."""
-    a, b = _by_word(new).alias("a"), _by_word(new).alias("b")
-    pairs = _near(a, b, F.col("a.incoming_id") < F.col("b.incoming_id"), metres).select(
+    pairs = _near(new, new, F.col("a.incoming_id") < F.col("b.incoming_id"), metres).select(
         F.col("a.incoming_id").alias("left_id"), F.col("b.incoming_id").alias("right_id"), distinctive(F.col("a.name_key"), F.col("b.name_key")).alias("word"), "metres"
     ).distinct()
     side = lambda x, y: pairs.select(F.col(x).alias("incoming_id"), F.col(y).alias("other_id"), "word", "metres")
@@ -122,8 +121,12 @@ def near_new(new: DataFrame, metres: int = NEAR_NEW_METRES) -> DataFrame:
 
 
 def _near(a: DataFrame, b: DataFrame, also: Column, metres: int) -> DataFrame:
+    # Near rows lie in the same band of latitude or in one beside it, so that a common word in a large city is many groups.
+    band = F.floor(F.col("lat") * 111_000 / (metres + 1)).cast("long")
+    a = _by_word(a).withColumn("band", F.explode(F.array(band - 1, band, band + 1))).alias("a")
+    b = _by_word(b).withColumn("band", band).alias("b")
     apart = whole_metres(haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")))
-    return a.join(b, (F.col("a.city") == F.col("b.city")) & (F.col("a.word") == F.col("b.word")) & also).withColumn("metres", apart).where(F.col("metres") <= metres)
+    return a.join(b, (F.col("a.city") == F.col("b.city")) & (F.col("a.word") == F.col("b.word")) & (F.col("a.band") == F.col("b.band")) & also).withColumn("metres", apart).where(F.col("metres") <= metres)
 
 
 def cross_source(rows: DataFrame, identities: DataFrame, stored: DataFrame) -> DataFrame:

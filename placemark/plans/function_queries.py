@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from placemark.functions import html, text, timeutil, urls
 from placemark.plans.sql import query
-from placemark.sources import pages
+from placemark.sources import adapter, elements, pages, sitemap
 from placemark.sources.tables import table
 
 _HOSTS = ["www.klub.example", "facebook.com", "m.facebook.com", "linktr.ee", "a.b.com.rs", "hala.rs"]
@@ -118,3 +118,67 @@ def venue_pages_parsed(spark: SparkSession, d: str) -> DataFrame:
     page = _page(head, "<meta property='og:description' content='Beograd, Srbija'><body class='", F.when(k % 11 == 0, "page").otherwise("single-venue"), " postid-", key, "'>", point, details, "</body>")
     parsed = pages.venue_pages(table(spark, d, "customer").select(key.alias("url"), page.alias("html")))
     return parsed.select(F.col("url").cast("long").alias("row_id"), "code", "name", "address", "city", "lat")
+
+
+# ---- elements and sitemaps ---------------------------------------------------------
+
+_ELEMENTS = """x AS (SELECT c_custkey AS k, c_nationkey AS city, c_custkey % 5 = 4 AS way, c_custkey % 7 = 0 AS nameless, c_custkey % 11 = 0 AS lost, ['bar', 'school', 'nightclub'][CAST(c_custkey % 3 AS INTEGER) + 1] AS am, c_name AS n FROM customer),
+v AS (SELECT *, CASE WHEN nameless OR lost THEN 'invalid' WHEN am = 'school' THEN 'excluded' ELSE 'venue' END AS bucket FROM x)"""
+
+
+def _elements(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as map elements, each of them twice; the second of a pair is never seen."""
+    k = F.col("c_custkey")
+    lat, lon = F.when(k % 11 == 0, 95.0).otherwise(44.5), F.lit(20.5)
+    way = k % 5 == 4
+    amenity = F.element_at(F.array(F.lit("bar"), F.lit("school"), F.lit("nightclub")), (k % 3 + 1).cast("int"))
+    name = F.when(k % 7 == 0, F.lit(" ")).otherwise(F.col("c_name"))
+    place = F.struct(lat.alias("lat"), lon.alias("lon"))
+    rows = table(spark, d, "customer").select(
+        "c_nationkey", (k * 2).alias("position"), F.when(way, "way").otherwise("node").alias("type"), k.alias("id"), F.when(~way, lat).alias("lat"), F.when(~way, lon).alias("lon"), F.when(way, place).alias("center"),
+        F.create_map(F.lit("amenity"), amenity, F.when(k % 2 == 0, "name").otherwise("name:en"), name, F.lit("addr:street"), F.lit("Ulica"), F.lit("addr:housenumber"), k.cast("string"), F.lit("addr:city"), F.when(k % 4 == 0, "Grad").otherwise(""), F.lit("wikidata"), F.when(k % 6 == 0, "Q1").otherwise(" ")).alias("tags"),
+    )
+    later = rows.withColumns({"position": F.col("position") + 1, "tags": F.create_map(F.lit("name"), F.lit("second sight"))})
+    return rows.unionByName(later)
+
+
+@query(f"""WITH {_ELEMENTS} SELECT CASE WHEN way THEN 'way/' ELSE 'node/' END || CAST(k AS VARCHAR) AS ref, bucket, CASE WHEN nameless THEN 'missing name' WHEN lost THEN 'missing or invalid coordinates' WHEN am = 'school' THEN 'institution' END AS reason,
+ CASE WHEN nameless THEN NULL ELSE n END AS name, 'Ulica ' || CAST(k AS VARCHAR) || CASE WHEN k % 4 = 0 THEN ', Grad' ELSE '' END AS address FROM v""")
+def element_venues(spark: SparkSession, d: str) -> DataFrame:
+    return elements.venues(_elements(spark, d).drop("c_nationkey"), "RS", "x").select("ref", "bucket", "reason", "name", "address")
+
+
+@query(f"""WITH {_ELEMENTS} SELECT CASE WHEN way THEN 'way/' ELSE 'node/' END || CAST(k AS VARCHAR) AS external_id, CASE WHEN k % 6 = 0 THEN 'address,wikidata' ELSE 'address' END AS provided FROM v WHERE bucket = 'venue'""")
+def element_records(spark: SparkSession, d: str) -> DataFrame:
+    records = elements.records(elements.venues(_elements(spark, d).drop("c_nationkey"), "RS", "x"), "osm")
+    return records.select("external_id", F.array_join(F.array_sort(F.map_keys("provided")), ",").alias("provided"))
+
+
+@query(f"""WITH {_ELEMENTS} SELECT city, count(*) AS fetched, count(*) FILTER (bucket = 'venue') AS kept, count(*) FILTER (bucket = 'invalid') AS invalid, count(*) FILTER (bucket = 'excluded') AS excluded FROM v GROUP BY 1""")
+def collected_by_target(spark: SparkSession, d: str) -> DataFrame:
+    rows = _elements(spark, d)
+    town = rows.select(elements.reference(F.col("type"), F.col("id")).alias("ref"), F.col("c_nationkey").alias("city")).distinct()
+    return adapter.collected(elements.venues(rows.drop("c_nationkey"), "RS", "x").join(town, "ref"), "city")
+
+
+@query("""SELECT n_nationkey AS ref, CASE WHEN n_nationkey % 5 = 0 THEN 'invalid-json' WHEN n_nationkey % 3 = 0 OR c.n IS NULL THEN 'empty-result' WHEN c.kept = 0 THEN 'no-accepted-venues' END AS code FROM nation
+ LEFT JOIN (SELECT c_nationkey, count(*) AS n, count(*) FILTER (c_acctbal > 9900) AS kept FROM customer GROUP BY 1) c ON c.c_nationkey = n_nationkey WHERE code IS NOT NULL""")
+def target_failure_codes(spark: SparkSession, d: str) -> DataFrame:
+    refs = table(spark, d, "nation").select(F.col("n_nationkey").alias("ref"))
+    counts = table(spark, d, "customer").where("c_nationkey % 3 <> 0").groupBy(F.col("c_nationkey").alias("ref")).agg(F.count("*").alias("fetched"), F.count_if(F.col("c_acctbal") > 9900).alias("kept"))
+    return adapter.target_failures(refs, counts, refs.where("ref % 5 = 0"))
+
+
+@query("""SELECT 'https://s.example/event/e' || CAST(o_orderkey AS VARCHAR) || '/?a=1&b=2' AS url, strftime(o_orderdate, '%Y-%m-%d') AS lastmod, 'e' || CAST(o_orderkey AS VARCHAR) AS ref FROM orders WHERE o_orderkey % 4 <> 0""")
+def sitemap_refs(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    loc = F.concat(F.lit("https://s.example/"), F.when(k % 4 == 0, "venue/e").otherwise("event/e"), k.cast("string"), F.lit("/?a=1&amp;b=2"))
+    one = F.concat(F.lit("<url>\n <loc> "), loc, F.lit(" </loc><lastmod>"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</lastmod></url>"))
+    xml = table(spark, d, "orders").groupBy(F.col("o_custkey")).agg(F.concat(F.lit("<urlset>"), F.array_join(F.collect_list(one), ""), F.lit("</urlset>")).alias("body"))
+    return sitemap.event_refs(sitemap.entries(xml)).select("url", "lastmod", "ref")
+
+
+@query("SELECT count(*) = 50 AS partial FROM (SELECT o_orderkey FROM orders ORDER BY 1 LIMIT 50)")
+def limited_discovery(spark: SparkSession, d: str) -> DataFrame:
+    return adapter.limited(table(spark, d, "orders").select("o_orderkey").orderBy("o_orderkey"), 50)[1]
+
