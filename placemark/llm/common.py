@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,18 +25,29 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Shuffle files go with the query that wrote them, and whole texts go to Python a few at a time.
+LEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+@contextmanager
+def lean(spark: SparkSession) -> Iterator[None]:
+    """Run what is inside with the settings of LEAN."""
+    before = {k: spark.conf.get(k) for k in LEAN}
+    for k, v in LEAN.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage of df with a Parquet table in the shared folder."""
+    """Cut the lineage of df with a Parquet table in the shared folder; the table replaces the shuffle files behind it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    # The table replaces the shuffle files behind it: let Spark drop them.
-    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(cleanup)
-    spark.conf.set(cleanup, "true")
-    try:
+    with lean(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -110,7 +110,7 @@ def pack(
     model_path: str | None = None,
     block_docs: int = 4096,
     block_tokens: int = 4_000_000,
-    cache: int = 600_000,
+    cache: int = 300_000,
 ) -> DataFrame:
     """The packed rows (SCHEMA) of every document's tokens."""
     path = model_path or default_model()

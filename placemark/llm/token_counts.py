@@ -96,7 +96,7 @@ def count_tokens(
     limit: int = 4096,
     sample_rows: int = 1000,
     entries: int = 30_000,
-    cache: int = 600_000,
+    cache: int = 300_000,
 ) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row.
 
