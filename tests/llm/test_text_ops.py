@@ -386,6 +386,15 @@ def test_tree_fits_its_labels(spark):
     assert right >= 0.97 * len(rows)
 
 
+@pytest.mark.parametrize("hot", [1, 3, 10_000])
+def test_meet_hot_and_cold_keys(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT", hot)
+    rows = spark.createDataFrame([(k, v) for k in range(6) for v in range(1 + 40 * (k == 2) + k)], "key long, v long")
+    side = rows.groupBy("key").agg(common.F.count("*").alias("n")).where("key <> 4")
+    got = common.meet(rows, side, ["key"]).select("key", "v", "n").collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, rows.join(side, "key").select("key", "v", "n").collect()))
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (5, 4), (7, 7), (3, 9), (10, None), (8, 6), (6, 4)] + [(20 + i, 21 + i) for i in range(15)] + [(100, k) for k in range(101, 140)]
     got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
