@@ -13,12 +13,13 @@ expressions.
 Sizes are words of the text (null: 0). A source's target is its share by weight,
 at most max_repeats times its size, the excess reshared by weight: the level is
 found in closed form, as a prefix of the sources ordered by cap over weight.
+Orders over all sources are cut into ranges, so that any number of them will do.
 
 Defined results: a null source is a source of its own, ordered last; documents
 without words take part with size 0 and are never taken; rows that repeat a
-doc_id are separate documents, ordered by their text's hash, and equal rows
-share their place evenly in order of appearance; a null doc_id is an id of its
-own; an empty table gives an empty result; extra columns are ignored.
+doc_id are separate documents, ordered by their text's hash; rows equal in id,
+source and text are laid out as one and share what it gives evenly; a null
+doc_id is an id of its own; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,12 +30,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from placemark.llm.common import WHITE, stored
+from placemark.llm.common import WHITE, meet, stored
 
 GOLDEN = 0.6180339887498949
 WEIGHTS = (5, 2, 1)
 SLOTS = 1 << 18
 GRID = 4096
+#: So many copies of one row are made by one task.
+COPIES = 10_000
+
+
+def by_name() -> Column:
+    return F.col("source").asc_nulls_last()
 
 
 def word_count(text: Column) -> Column:
@@ -43,25 +50,42 @@ def word_count(text: Column) -> Column:
     return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, f"[{WHITE}]+"))).cast("long")
 
 
+def running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """df and, under each name, the sum of its column over the rows before it in the order, which must be total.
+
+    Rows are dealt to ranges of the order, one a shuffle partition; sums of whole
+    ranges go before those inside a range, so that no task sees all rows.
+    """
+    spread = stored(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "mix-ranges")
+    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    whole = spread.groupBy("__part").agg(*(F.sum(c).alias("__" + name) for name, c in sums.items()))
+    whole = whole.select("__part", *(F.coalesce(F.sum("__" + name).over(before), F.lit(0)).alias("__" + name) for name in sums))
+    inside = W.partitionBy("__part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    own = spread.select("*", *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(name) for name, c in sums.items()))
+    return own.join(F.broadcast(whole), "__part").select(*df.columns, *((F.col(name) + F.col("__" + name)).alias(name) for name in sums))
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3) -> DataFrame:
-    """(source, source_size) -> and weight, target; one row a source."""
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(by_name) - 1) % len(weights)) + 1)
-    level = W.orderBy("fills_at", F.col("source").asc_nulls_last())
-    before = level.rowsBetween(W.unboundedPreceding, -1)
-    rest = W.partitionBy()
-    return (
-        sizes.withColumn("weight", weight.cast("double"))
-        .withColumn("cap", (F.col("source_size") * max_repeats).cast("double"))
+    """(source, source_size) -> and weight, cap, target; one row a source."""
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("position") % len(weights)).cast("int") + 1)
+    weighed = (
+        running(sizes, [by_name()], {"position": F.lit(1)})
+        .withColumns({"weight": weight, "cap": F.col("source_size") * max_repeats})
         .withColumn("fills_at", F.col("cap") / F.col("weight"))
-        .withColumn("left", F.sum("source_size").over(rest) - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-        .withColumn("weight_left", F.sum("weight").over(rest) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-        .withColumn("level", F.col("left") / F.col("weight_left"))
-        # The first source that its share doesn't fill sets the level for all after it.
-        .withColumn("final", F.min(F.when(F.col("level") <= F.col("fills_at"), F.struct("fills_at", "level"))).over(rest)["level"])
-        .withColumn("target", F.least(F.col("cap"), F.coalesce(F.col("final") * F.col("weight"), F.col("cap"))))
-        .select("source", "source_size", "weight", "cap", "target")
     )
+    filled = running(weighed, [F.col("fills_at").asc(), by_name()], {"cap_before": F.col("cap"), "weight_before": F.col("weight")})
+    size, weigh = filled.agg(F.sum("source_size"), F.sum("weight")).first()
+    level = (F.lit(size) - F.col("cap_before")) / (F.lit(weigh) - F.col("weight_before"))
+    # The first source that its share doesn't fill sets the level; those after it, had they set it, would set no higher one.
+    final = filled.agg(F.max(F.when(level <= F.col("fills_at"), level))).first()[0]
+    share = F.lit(final).cast("double") * F.col("weight")
+    return filled.select("source", "source_size", "weight", "cap", F.least(F.col("cap").cast("double"), F.coalesce(share, F.col("cap").cast("double"))).alias("target"))
+
+
+def document_key() -> Column:
+    """What tells documents apart, and shuffles a source's; rows equal in id, text and source share it."""
+    source = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("-"))
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), source, F.sha2(F.coalesce("text", F.lit("")), 256)))
 
 
 def schedule(
@@ -73,48 +97,43 @@ def schedule(
 ) -> tuple[DataFrame, DataFrame]:
     """The mix and the documents it is made of.
 
-    mix: (slot, source, block, start, words, doc_id, key): in slot order, words
+    mix: (slot, source, block, round, start, words, doc_id, key): in slot order, words
     from the offset start of the source's laid-out words belong to that document.
-    placed: (doc_id, key, source, size, source_size, target, first, ...) a row a document.
+    placed: (doc_id, key, source, size, copies, source_size, target, first) a row a
+    document; rows that are equal lie behind one another, copies times size words.
     slots is how finely sources alternate: a block holds about total words / slots.
     """
-    sized = docs.select(
-        "doc_id",
-        F.col("source").cast("string").alias("source"),
-        word_count(F.col("text")).alias("size"),
-        F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2(F.coalesce("text", F.lit("")), 256))).alias("key"),
-    )
-    sized = stored(sized, "mix-sizes")
-    total, rows = sized.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    own = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), document_key().alias("key"))
+    sized = stored(own.groupBy("source", "key", "doc_id").agg(F.min("size").alias("size"), F.count("*").alias("copies")), "mix-sizes")
+    total, rows = sized.agg(F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0)), F.count("*")).first()
     block = max(1, -(-total // slots))
     # A source's order is (bucket, key); running sums go bucket by bucket, so
     # that no source, however large, is ordered in one task.
     buckets = max(256, -(-rows // docs_a_bucket))
     sized = sized.withColumn("bucket", (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)).cast("int"))
-    by_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    by_bucket = sized.groupBy("source", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("bucket_size"))
     goal = targets(by_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_repeats)
-    cumulated = W.orderBy(F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
-    goal = goal.withColumn("upper", F.sum("target").over(cumulated) / F.lit(float(max(total, 1)))).withColumn("lower", F.lag("upper", 1, 0.0).over(W.orderBy(F.col("source").asc_nulls_last())))
+    goal = goal.withColumn("gives", F.when(F.col("target") > 0, F.greatest(F.lit(1), F.round("target"))).otherwise(0).cast("long"))
+    # Whole words are summed, so that the shares are the same at every run.
+    goal = stored(running(goal, [by_name()], {"lower": F.col("gives")}), "mix-goals")
+    given = goal.agg(F.coalesce(F.sum("gives"), F.lit(0))).first()[0]
     before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = by_bucket.withColumn("bucket_first", F.coalesce(F.sum("bucket_size").over(before), F.lit(0))).drop("bucket_size")
     same = lambda a, b, *names: reduce(lambda x, y: x & y, [a[n].eqNullSafe(b[n]) for n in names])
     inside = W.partitionBy("source", "bucket").orderBy("key").rowsBetween(W.unboundedPreceding, -1)
-    placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = sized.withColumn("inside", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
     at = offsets.alias("o").join(goal.alias("g"), F.col("o.source").eqNullSafe(F.col("g.source"))).select("o.*", "g.source_size", "g.target")
     placed = (
         placed.join(at, same(placed, at, "source", "bucket"))
-        .select(placed.doc_id, placed.key, placed.source, "size", "source_size", "target", (F.col("bucket_first") + F.col("inside")).alias("first"))
+        .select(placed.doc_id, placed.key, placed.source, "size", "copies", "source_size", "target", (F.col("bucket_first") + F.col("inside")).alias("first"))
     )
     placed = stored(placed, "mix-placed")
     # The slots: point -> source by its share, rank within the source.
     n_slots = -(-total // block) if total else 0
-    goal = goal.withColumn("gives", F.when(F.col("target") > 0, F.greatest(F.lit(1), F.round("target"))).otherwise(0).cast("long"))
-    share = goal.where("upper > lower").select("source", "source_size", "gives", "lower", "upper")
-    last = F.lead("upper").over(W.orderBy(F.col("source").asc_nulls_last())).isNull()
+    portion = lambda words: F.try_divide(words, F.lit(given))
+    share = goal.where("gives > 0").select("source", "source_size", "gives", portion(F.col("lower")).alias("lower"), portion(F.col("lower") + F.col("gives")).alias("upper"))
     # Points and shares meet on the cells of a grid over [0, 1) that they touch.
-    share = share.withColumn("upper", F.when(last, 2.0).otherwise(F.col("upper"))).withColumn(
-        "cell", F.explode(F.expr(f"sequence(int(lower * {GRID}), least(int(upper * {GRID}), {GRID - 1}))"))
-    )
+    share = share.withColumn("cell", F.explode(F.expr(f"sequence(least(int(lower * {GRID}), {GRID - 1}), least(int(upper * {GRID}), {GRID - 1}))")))
     point = F.col("slot") * F.lit(GOLDEN)
     drawn = docs.sparkSession.range(n_slots).select(F.col("id").alias("slot")).withColumn("point", point - F.floor(point))
     drawn = drawn.withColumn("cell", (F.col("point") * GRID).cast("int")).join(share, "cell").where("point >= lower and point < upper")
@@ -131,8 +150,8 @@ def schedule(
     )
     # A source whose share no point falls into.
     missed = goal.where("gives > 0").alias("g").join(counted.select("source").distinct().alias("c"), F.col("g.source").eqNullSafe(F.col("c.source")), "left_anti")
-    after = (F.lit(n_slots - 1) + F.row_number().over(W.orderBy(F.col("source").asc_nulls_last()))).cast("long")
-    ranked = ranked.union(missed.select(after.alias("slot"), "source", F.lit(0).cast("long").alias("block"), "source_size", "gives", F.lit(1).cast("long").alias("own")))
+    missed = running(missed.select("g.source", "source_size", "gives"), [by_name()], {"after": F.lit(1)})
+    ranked = ranked.union(missed.select((F.lit(n_slots) + F.col("after")).cast("long").alias("slot"), "source", F.lit(0).cast("long").alias("block"), "source_size", "gives", F.lit(1).cast("long").alias("own")))
     # Block r of n is words [r / n, (r + 1) / n) of what the source gives, laid out over
     # and over; cut where the source ends, so that a piece lies in one round.
     start, end = F.expr("block * gives div own"), F.expr("(block + 1) * gives div own")
@@ -147,7 +166,7 @@ def schedule(
     # Documents and pieces meet on the cells of one block's length they touch.
     cells = lambda a, b: F.explode(F.expr(f"sequence({a} div {block}, ({b} - 1) div {block})"))
     pieces = cut.withColumn("cell", cells("start", "end"))
-    lying = placed.where("size > 0").select("doc_id", "key", "source", "first", (F.col("first") + F.col("size")).alias("last")).withColumn("cell", cells("first", "last"))
+    lying = placed.where("size > 0").select("doc_id", "key", "source", "first", (F.col("first") + F.col("size") * F.col("copies")).alias("last")).withColumn("cell", cells("first", "last"))
     lo, hi = F.greatest("start", "first", F.col("p.cell") * block), F.least("end", "last", (F.col("p.cell") + 1) * block)
     mix = (
         pieces.alias("p").join(lying.alias("d"), F.col("p.source").eqNullSafe(F.col("d.source")) & (F.col("p.cell") == F.col("d.cell")))
@@ -161,26 +180,42 @@ def schedule(
 def mixed(docs: DataFrame, **parameters) -> DataFrame:
     """A row a document: doc_id, key, size, source_size, target, taken (words the mix takes, repeats counted)."""
     mix, placed = schedule(docs, **parameters)
-    taken = mix.groupBy("key").agg(F.sum("words").alias("taken"))
-    # Equal rows share one key: the words their places give are dealt out among them in order.
-    twins = W.partitionBy("key").orderBy("first")
-    twin = placed.withColumns({"twin": F.row_number().over(twins) - 1, "twins": F.count("*").over(W.partitionBy("key"))})
-    return (
-        twin.join(taken, "key", "left")
-        .withColumn("taken", F.coalesce("taken", F.lit(0)))
-        .withColumn("taken", F.expr("taken div twins + if(twin < taken % twins, 1, 0)"))
-        .select("doc_id", "key", "size", "source_size", "target", "taken")
-    )
+    taken = stored(mix.groupBy("key").agg(F.sum("words").alias("taken")), "mix-taken")
+    # The words that equal rows give are dealt out evenly among them; very many are made of pieces in many tasks.
+    given = placed.withColumn("many", F.col("copies") > COPIES).join(taken, "key", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
+    few = given.where("not many").withColumn("start", F.lit(0).cast("long"))
+    many = given.where("many").withColumn("start", F.explode(F.expr(f"sequence(0, copies - 1, {COPIES})"))).repartition("key", "start")
+    number = F.expr(f"explode(sequence(start, least(start + {COPIES}, copies) - 1))").alias("number")
+    rows = few.unionByName(many).select("doc_id", "key", "size", "source_size", "target", "copies", "taken", number)
+    return rows.select("doc_id", "key", "size", "source_size", "target", F.expr("taken div copies + if(number < taken % copies, 1, 0)").alias("taken"))
+
+
+def copy_numbers(rows: DataFrame) -> DataFrame:
+    """rows with __number, from 0 among those of one __key, counted by parts of the table."""
+    parts = stored(rows.withColumn("__part", F.spark_partition_id()), "mix-copies")
+    before = W.partitionBy("__key").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    counts = parts.groupBy("__key", "__part").agg(F.count("*").alias("__n"))
+    counts = counts.select("__key", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__earlier"))
+    inside = F.row_number().over(W.partitionBy("__key", "__part").orderBy("__key")) - 1
+    return parts.withColumn("__inside", inside).join(counts, ["__key", "__part"]).withColumn("__number", F.col("__inside") + F.col("__earlier")).drop("__part", "__inside", "__earlier")
 
 
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The documents as the mix takes them, whole: one row for each time that at
     least half of a document's words are taken. A document is cut by the mix only
     where its source's last round ends, so this rounds one document a source."""
-    mix, _ = schedule(docs, **parameters)
-    per = mix.groupBy("key", "round").agg(F.sum("words").alias("words"))
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2(F.coalesce("text", F.lit("")), 256)))
-    columns = docs.columns
-    keyed = docs.withColumns({"__key": key, "__size": word_count(F.col("text"))})
-    rounds = per.select(F.col("key").alias("__key"), F.col("words").alias("__words"))
-    return keyed.join(rounds, "__key").where(F.col("__words") * 2 >= F.col("__size")).select(*columns)
+    mix, placed = schedule(docs, **parameters)
+    rounds = mix.groupBy(F.col("key").alias("__key"), "round").agg(F.sum("words").alias("__words"))
+    rounds = stored(rounds.select("__key", "__words"), "mix-rounds")
+    keyed = docs.withColumns({"__key": document_key(), "__size": word_count(F.col("text"))})
+    again = placed.where("copies > 1").select(F.col("key").alias("__key"), F.col("copies").alias("n"))
+    if again.isEmpty():
+        return keyed.join(rounds, "__key").where(F.col("__words") * 2 >= F.col("__size")).select(*docs.columns)
+    single = keyed.join(again.select("__key"), "__key", "left_anti").withColumn("__number", F.lit(0).cast("long"))
+    copies = copy_numbers(meet(keyed, again, ["__key"]).drop("n"))
+    # Of equal rows a round takes the first ones: they lie behind one another.
+    half = (F.col("__words") - F.col("__number") * F.col("__size")) * 2 >= F.col("__size")
+    each = rounds.groupBy("__key").agg(F.collect_list("__words").alias("__rounds"), F.lit(1).alias("n"))
+    taken = meet(copies, stored(each.join(again.drop("n"), "__key"), "mix-again"), ["__key"]).drop("n").withColumn("__words", F.explode("__rounds")).drop("__rounds")
+    single = single.join(rounds, "__key")
+    return single.unionByName(taken.select(*single.columns)).where(half).select(*docs.columns)

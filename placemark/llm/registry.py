@@ -29,6 +29,28 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+ORACLES["mix_targets"] = r"""WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+g AS (SELECT source, sum(size) AS n FROM s GROUP BY source),
+w AS (SELECT source, n, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM g),
+f AS (SELECT source, n, weight, 3 * n / weight AS fills_at FROM w),
+l AS (SELECT a.fills_at, (sum(b.n) - sum(CASE WHEN b.fills_at < a.fills_at THEN 3 * b.n ELSE 0 END)) / sum(CASE WHEN b.fills_at < a.fills_at THEN 0 ELSE b.weight END) AS level FROM (SELECT DISTINCT fills_at FROM f) a, f b GROUP BY a.fills_at),
+t AS (SELECT max(level) AS level FROM l WHERE level <= fills_at)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, round(least(3 * n, level * weight), 4) AS target FROM s JOIN f ON s.source IS NOT DISTINCT FROM f.source, t"""
+
+
+@query
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and targets of the mix alone, without its schedule."""
+    from pyspark.sql import functions as F
+
+    from placemark.llm.mixing import targets, word_count
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    goal = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size"))).alias("g")
+    met = docs.join(goal, F.col("g.source").eqNullSafe(docs["source"]))
+    return met.select("doc_id", "size", "source_size", F.round("target", 4).alias("target"))
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from placemark.llm.quality import judged

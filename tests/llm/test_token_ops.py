@@ -116,6 +116,49 @@ def test_mix_meets_targets(spark):
     assert Counter((r.doc_id, r.taken) for r in again.collect()) == Counter((r.doc_id, r.taken) for r in got)
 
 
+@pytest.mark.parametrize("weights,sizes", [((5, 2, 1), [10] * 4), ((5, 2, 1), [7] * 300), ((5, 2, 1), [10, 4, 2, 10, 4, 2, 3]), ((1, 1), [3, 3, 0, 3]), ((5, 2, 1), [0, 0]), ((4, 1), [1, 400, 1, 400])])
+def test_mix_targets_of_equal_levels(spark, weights, sizes):
+    """Sources that fill at the same level share what bisection gives them."""
+    rows = [(f"s{i:05}", n) for i, n in enumerate(sizes)]
+    got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(rows, "source string, source_size long"), weights).collect()}
+    want = level(sizes, [weights[i % len(weights)] for i in range(len(sizes))])
+    assert all(abs(got[name] - w) < 1e-6 * max(1, w) for (name, _), w in zip(rows, map(want.get, range(len(sizes))), strict=True))
+    assert abs(sum(got.values()) - sum(sizes)) < 1e-6 * max(1, sum(sizes))
+
+
+def test_mix_many_sources(spark):
+    """Very many sources of one size: every one gives its target, in whole words."""
+    n = 20_000
+    docs = spark.range(n).selectExpr("id as doc_id", "repeat('w ', 24) as text", "concat('s', lpad(id, 6, '0')) as source")
+    got = mixing.mixed(docs)
+    total = got.agg(F.sum("taken"), F.sum("target"), F.max(F.abs(F.col("taken") - F.col("target"))), F.count("*")).first()
+    assert total[3] == n and total[2] <= 1 and abs(total[1] - 24 * n) < 1e-3 and abs(total[0] - 24 * n) <= n
+
+
+def test_mix_of_equal_rows(spark, monkeypatch):
+    """Rows equal in id, text and source share what they give evenly; the same text in two sources is two documents."""
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = [(None, "one two three", "a")] * 100 + [(None, "", "a")] * 300 + [(None, "one two three", "b")] * 20 + [(i, "w " * 30, "b") for i in range(40)] + [(1, "x y", "c")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, source string, number long")
+    placed = mixing.schedule(docs)[1]
+    assert placed.count() == 44 and placed.agg(F.sum("copies")).first()[0] == len(rows)
+    got = mixing.mixed(docs).collect()
+    assert len(got) == len(rows)
+    for size in (0, 3):
+        for goal in {r.target for r in got if r["size"] == size}:
+            own = [r.taken for r in got if r["size"] == size and r.target == goal]
+            assert max(own) - min(own) <= 1 and max(own) <= 3 * size
+    for goal, size in {(r.target, r.source_size) for r in got}:
+        assert abs(sum(r.taken for r in got if r.target == goal and r.source_size == size) - goal) <= 1
+    whole = mixing.mixed_documents(docs)
+    assert whole.columns == docs.columns
+    whole = whole.collect()
+    for source in "abc":
+        words = sum(len(r.text.split()) for r in whole if r.source == source)
+        assert abs(words - next(r.target for r in got if r.source_size == sum(len(x[1].split()) for x in rows if x[2] == source))) <= 31
+    assert max(Counter(r.number for r in whole).values()) <= 3
+
+
 def test_mix_small_sources(spark):
     rows = [(i, "w " * 100, "hot") for i in range(500)] + [(1000 + i, "one two three", f"s{i % 60}") for i in range(180)] + [(2000, "w", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
