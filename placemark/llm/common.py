@@ -63,19 +63,50 @@ def discard(*tables: DataFrame) -> None:
 HOT = 10_000
 
 
+def is_hot(side: DataFrame) -> Column:
+    return F.col("n") * HOT > side.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def meet(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
     """rows joined with side, a stored table of one row a key with n, how many of rows have the key.
 
     A hot key's rows stay where they are and its row of side is broadcast - there are
     fewer than HOT such keys, whatever the input - so that no key's rows gather in one task.
     """
-    total = side.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = F.col("n") * HOT > total
+    hot = is_hot(side)
     often, rest = F.broadcast(side.where(hot)), side.where(~hot)
     cold = rows.join(F.broadcast(side.where(hot).select(*keys)), keys, "left_anti")
     return rows.join(often, keys).unionByName(cold.join(rest.hint("merge"), keys))
 
 
+def one_of_equal(rows: DataFrame, name: str) -> DataFrame:
+    """One row of each rid, with copies, how many there are; rows of one rid are equal.
+
+    Rows whose rid is their own stay where they are; of the others each task passes one on.
+    """
+    again = stored(rows.groupBy("rid").agg(F.count("*").alias("n")).where("n > 1"), name)
+    hot = is_hot(again)
+    often, seldom = F.broadcast(again.where(hot).select("rid")), again.where(~hot).select("rid")
+    own = rows.join(often, "rid", "left_anti").join(seldom, "rid", "left_anti").withColumn("copies", F.lit(1).cast("long"))
+    many = rows.join(often, "rid", "left_semi").union(rows.join(seldom, "rid", "left_semi"))
+    first = [F.first(c).alias(c) for c in rows.columns if c != "rid"]
+    return own.unionByName(many.groupBy("rid").agg(*first, F.count("*").alias("copies")))
+
+
+#: So many copies of one row are made by one task.
+COPIES = 10_000
+
+
+def multiplied(rows: DataFrame, copies: Column) -> DataFrame:
+    """Each row so many times; very many copies of one are made in pieces, by many tasks."""
+    counted = rows.withColumn("__copies", copies)
+    few = counted.where(F.col("__copies").between(1, COPIES)).withColumn("__start", F.lit(1).cast("long"))
+    many = counted.where(F.col("__copies") > COPIES).withColumn("__start", F.explode(F.expr(f"sequence(1L, __copies, {COPIES}L)")))
+    many = many.repartition(F.spark_partition_id(), "__start")
+    each = F.explode(F.expr(f"sequence(__start, least(__start + {COPIES - 1}, __copies))"))
+    return few.unionByName(many).withColumn("__each", each).select(*rows.columns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

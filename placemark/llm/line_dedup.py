@@ -13,8 +13,9 @@ their least and greatest under a hash and digest: where they differ, nothing is
 removed. The rows of a very frequent chunk are never gathered.
 
 Defined results: a null text is returned as null with no lines, an empty one as
-one empty line; rows with the same doc_id and text are one document and are
-changed alike; a null doc_id comes first; a text whose chunks all go becomes
+one empty line; of rows equal in doc_id (or without one) and text, which nothing
+tells apart, one is the first and the others lose all their chunks of two or
+more lines with words; a null doc_id comes first; a text whose chunks all go becomes
 empty; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemark.llm.common import discard, meet, row_key, stored
+from placemark.llm.common import discard, meet, multiplied, one_of_equal, row_key, stored
 
 WINDOW, EVERY, LEAST = 2, 4, 2
 _MASK = (1 << 64) - 1
@@ -83,26 +84,37 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["rid", "doc_id", "k", "hash", "digest", "chunk"])
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            gone, all_chunks = set(gone or ()), chunks(text)
-            left = [c for k, (c, _, _) in enumerate(all_chunks) if k not in gone]
-            out.append((
-                sum(n for _, n, _ in all_chunks), len(all_chunks), len(gone),
-                sum(n for k, (_, n, _) in enumerate(all_chunks) if k in gone),
-                None if text is None else b"\n".join(left).decode("utf-8", "surrogatepass"),
-            ))
-        columns = list(zip(*out, strict=True)) if out else [[]] * 5
-        kinds = [pa.int64()] * 4 + [pa.string()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=["doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", "text"])
+_LEFT = "doc_id long, n_lines long, n_chunks long, n_removed_chunks long, n_removed_lines long, text string, copies long"
+
+
+def _kept(every: bool):
+    """doc_id, text, gone, copies -> what is left without the chunks in gone, or without every one that may go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                all_chunks = chunks(text)
+                gone = {k for k, (_, _, may) in enumerate(all_chunks) if may} if every else set(gone or ())
+                left = [c for k, (c, _, _) in enumerate(all_chunks) if k not in gone]
+                out.append((
+                    sum(n for _, n, _ in all_chunks), len(all_chunks), len(gone),
+                    sum(n for k, (_, n, _) in enumerate(all_chunks) if k in gone),
+                    None if text is None else b"\n".join(left).decode("utf-8", "surrogatepass"),
+                ))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            kinds = [pa.int64()] * 4 + [pa.string()]
+            names = ["doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", "text", "copies"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True)), batch.column(3)], names=names)
+
+    return run
 
 
 def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_chunks, n_removed_chunks, n_removed_lines and the text that is left, of every row."""
     own = docs.select(row_key().alias("rid"), F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    once = own.where("text is not null")
+    rows = one_of_equal(own, "lines-copies")
+    once = rows.where("text is not null")
     found = stored(once.select("rid", "text").mapInArrow(_hashes, "rid long, hashes array<long>").select("rid", F.explode("hashes").alias("hash")), "lines-hashes")
     again = stored(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "lines-again")
     wanted = meet(found, again, ["hash"]).groupBy("rid").agg(F.collect_set("hash").alias("wanted"))
@@ -116,5 +128,6 @@ def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     gone = meet(met.drop("chunk"), first, ["hash", "digest"]).where(place > F.col("first")).groupBy("rid").agg(F.collect_set("k").alias("gone"))
     gone = stored(gone, "lines-gone")
     discard(met, first)
-    schema = "doc_id long, n_lines long, n_chunks long, n_removed_chunks long, n_removed_lines long, text string"
-    return own.join(gone.hint("merge"), "rid", "left").select("doc_id", "text", "gone").mapInArrow(_kept, schema)
+    first = rows.join(gone.hint("merge"), "rid", "left").select("doc_id", "text", "gone", "copies").mapInArrow(_kept(False), _LEFT)
+    others = rows.where("copies > 1").select("doc_id", "text", F.lit(None).cast("array<int>").alias("gone"), "copies").mapInArrow(_kept(True), _LEFT)
+    return first.unionByName(multiplied(others, F.col("copies") - 1)).drop("copies")

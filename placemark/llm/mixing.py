@@ -30,14 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from placemark.llm.common import WHITE, meet, stored
+from placemark.llm.common import WHITE, meet, multiplied, stored
 
 GOLDEN = 0.6180339887498949
 WEIGHTS = (5, 2, 1)
 SLOTS = 1 << 18
 GRID = 4096
-#: So many copies of one row are made by one task.
-COPIES = 10_000
 
 
 def by_name() -> Column:
@@ -181,13 +179,13 @@ def mixed(docs: DataFrame, **parameters) -> DataFrame:
     """A row a document: doc_id, key, size, source_size, target, taken (words the mix takes, repeats counted)."""
     mix, placed = schedule(docs, **parameters)
     taken = stored(mix.groupBy("key").agg(F.sum("words").alias("taken")), "mix-taken")
-    # The words that equal rows give are dealt out evenly among them; very many are made of pieces in many tasks.
-    given = placed.withColumn("many", F.col("copies") > COPIES).join(taken, "key", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
-    few = given.where("not many").withColumn("start", F.lit(0).cast("long"))
-    many = given.where("many").withColumn("start", F.explode(F.expr(f"sequence(0, copies - 1, {COPIES})"))).repartition("key", "start")
-    number = F.expr(f"explode(sequence(start, least(start + {COPIES}, copies) - 1))").alias("number")
-    rows = few.unionByName(many).select("doc_id", "key", "size", "source_size", "target", "copies", "taken", number)
-    return rows.select("doc_id", "key", "size", "source_size", "target", F.expr("taken div copies + if(number < taken % copies, 1, 0)").alias("taken"))
+    # The words that equal rows give are dealt out evenly among them: some have one more.
+    given = placed.join(taken, "key", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
+    shares = given.select("doc_id", "key", "size", "source_size", "target", F.expr("taken div copies").alias("taken"), (F.col("taken") % F.col("copies")).alias("more"), "copies")
+    part = F.explode(F.array(F.struct(F.col("taken"), (F.col("copies") - F.col("more")).alias("rows")), F.struct((F.col("taken") + 1).alias("taken"), F.col("more").alias("rows"))))
+    shares = shares.select("doc_id", "key", "size", "source_size", "target", part.alias("part"))
+    shares = shares.select("doc_id", "key", "size", "source_size", "target", "part.taken", "part.rows")
+    return multiplied(shares, F.col("rows")).drop("rows")
 
 
 def copy_numbers(rows: DataFrame) -> DataFrame:

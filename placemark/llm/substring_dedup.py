@@ -14,9 +14,10 @@ deep-shallow sorting - multikey quicksort to a shallow depth, then blind tries
 for what still agrees - and the common prefixes of the two orders tell which
 windows two contexts share. A key with more than `group` kinds of contexts is
 cut into finer cells instead, down to single windows, which need no group: no
-task ever holds an unbounded one. Contexts are told equal by two 64-bit hashes,
-of what they share with their cell and of all their bytes; contexts that differ
-are only brought together by the first and compared by their bytes.
+task ever holds an unbounded one. Contexts are told equal by two 64-bit hashes
+of different kinds, a polynomial of what they share with their cell and xxh3 of
+all their bytes; contexts that differ are only brought together by the first
+and compared by their bytes. Rows equal in id and text are worked on once.
 
 What the windows of a coarse cell share, its core of length + 1 - widths[0] bytes,
 is a shorter repeat by itself where two places hold it. These are told as well,
@@ -35,10 +36,11 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemark.llm.common import discard, meet, row_key, stored
+from placemark.llm.common import discard, meet, multiplied, one_of_equal, row_key, stored
 from placemark.llm.hashing import in_runs, mix
 
 LENGTH, GRAM = 400, 16
@@ -95,7 +97,7 @@ def anchors(h: Hashes, starts: np.ndarray, ends: np.ndarray, length: int) -> tup
     return anchor[first], x[first], x[np.concatenate([cut, [len(x)]]) - 1]
 
 
-def cells(h: Hashes, anchor: np.ndarray, first: np.ndarray, last: np.ndarray, width: int, length: int) -> tuple[np.ndarray, ...]:
+def cells(raw: bytes, h: Hashes, anchor: np.ndarray, first: np.ndarray, last: np.ndarray, width: int, length: int) -> tuple[np.ndarray, ...]:
     """The ranges cut by anchor offset into cells of width: (range, key, context hash, first, last, anchor)."""
     low, high = (anchor - last) // width, (anchor - first) // width
     n = high - low + 1
@@ -105,7 +107,8 @@ def cells(h: Hashes, anchor: np.ndarray, first: np.ndarray, last: np.ndarray, wi
     xs = np.maximum(first[which], a - (cell + 1) * width + 1)
     xe = np.minimum(last[which], a - cell * width)
     key = mix(h.of(a - cell * width, a + length + 1 - (cell + 1) * width) ^ mix((cell * 1024 + width).astype(np.uint64)))
-    context = mix(h.of(xs, xe + length) ^ mix(((a - xs) * 65536 + (xe - xs)).astype(np.uint64)))
+    own = np.fromiter((xxhash.xxh3_64_intdigest(raw[i:j]) for i, j in zip(xs.tolist(), (xe + length).tolist(), strict=True)), np.uint64, len(xs))
+    context = mix(own ^ mix(((a - xs) * 65536 + (xe - xs)).astype(np.uint64)))
     return which, key, context, xs, xe, a
 
 
@@ -113,11 +116,14 @@ _ROW = "rid long, key long, kind long, first int, last int, high int, n int"
 _NAMES = ["rid", "key", "kind", "first", "last", "high", "n"]
 
 
-def _rows(rid, key, kind, first, last, high) -> pa.RecordBatch:
+def _rows(rid, key, kind, first, last, high, again=None) -> pa.RecordBatch:
     """Rows of one run of texts. Contexts that repeat inside the run are told at once
-    (n 0); one of them goes on for all (n 2), so a text that repeats itself stays small."""
+    (n 0); one of them goes on for all (n 2), so a text that repeats itself stays small.
+    again: which ones lie in a text that other rows have too (n 2)."""
     _, one, which, count = np.unique(key ^ mix(kind), return_index=True, return_inverse=True, return_counts=True)
     told = np.flatnonzero(count[which] > 1)
+    if again is not None:
+        np.maximum.at(count, which, 1 + again.astype(count.dtype))
     at = np.concatenate([one, told])
     n = np.concatenate([np.minimum(count, 2), np.zeros(len(told), np.int64)])
     return pa.RecordBatch.from_arrays(
@@ -130,23 +136,24 @@ def _raw(text: str | None) -> bytes:
 
 
 def _all_windows(length: int, width: int):
-    """rid, text -> a row for each anchor and cell of every text."""
+    """rid, text, copies -> a row for each anchor and cell of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rids, texts, done = batch.column(0).to_numpy(zero_copy_only=False), [_raw(t) for t in batch.column(1).to_pylist()], 0
+            copies = batch.column(2).to_numpy(zero_copy_only=False) > 1
             for group in in_runs(texts):
                 raw = b"".join(group)
                 sizes = np.array([len(t) for t in group], np.int64)
-                ids = rids[done : done + len(group)]
+                ids, more = rids[done : done + len(group)], copies[done : done + len(group)]
                 done += len(group)
                 if sizes.max() < length:
                     continue
                 h, ends = Hashes(raw), np.cumsum(sizes)
                 starts = ends - sizes
-                _, key, kind, xs, xe, a = cells(h, *anchors(h, starts, ends, length), width, length)
+                _, key, kind, xs, xe, a = cells(raw, h, *anchors(h, starts, ends, length), width, length)
                 own = np.searchsorted(ends, xs, side="right")
-                yield _rows(ids[own], key, kind, xs - starts[own], xe - starts[own], a - xs)
+                yield _rows(ids[own], key, kind, xs - starts[own], xe - starts[own], a - xs, more[own])
 
     return run
 
@@ -158,8 +165,9 @@ def _finer(length: int, width: int):
         for batch in batches:
             for rid, text, wanted in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 first, last, high = (np.array([w[k] for w in wanted], np.int64) for k in ("first", "last", "high"))
-                h = Hashes(_raw(text))
-                _, key, kind, xs, xe, a = cells(h, first + high, first, last, width, length)
+                raw = _raw(text)
+                h = Hashes(raw)
+                _, key, kind, xs, xe, a = cells(raw, h, first + high, first, last, width, length)
                 yield _rows(np.full(len(xs), rid), key, kind, xs, xe, a - xs)
 
     return run
@@ -364,9 +372,9 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, .
     """(rid, first, last): the windows of the text with that rid that start from first to last start elsewhere too;
     and (rid, first, last): the first and last byte of the cores that were found elsewhere too.
 
-    docs: rid, text. widths must divide evenly into one another and end with 1.
+    docs: rid, text, copies, one row a rid. widths must divide evenly into one another and end with 1.
     """
-    rows = stored(docs.mapInArrow(_all_windows(length, widths[0]), _ROW), "windows")
+    rows = stored(docs.select("rid", "text", "copies").mapInArrow(_all_windows(length, widths[0]), _ROW), "windows")
     spans = cores = None
     for k, width in enumerate(widths):
         keys = rows.where("n > 0").groupBy("key").agg(F.sum("n").alias("windows"), F.count("*").alias("n"), F.min("kind").alias("least"), F.max("kind").alias("most"))
@@ -396,7 +404,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, .
         many = kinds.where(F.col("kinds") > group)
         if k + 1 == len(widths) or many.isEmpty():
             return spans, cores
-        again = docs.dropDuplicates(["rid"]).join(many.groupBy("rid").agg(wanted), "rid").select("rid", "text", "wanted")
+        again = docs.join(many.groupBy("rid").agg(wanted), "rid").select("rid", "text", "wanted")
         rows = stored(again.mapInArrow(_finer(length, widths[k + 1]), _ROW), "windows-finer")
     return spans, cores
 
@@ -404,7 +412,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, .
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **parameters) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256 and n_core_bytes (bytes in cores found elsewhere too) of every row."""
     own = docs.select(row_key().alias("rid"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    spans, cores = repeated_windows(own.select("rid", "text"), length, **parameters)
+    once = one_of_equal(own, "windows-copies")
+    spans, cores = repeated_windows(once, length, **parameters)
     spans = spans.withColumn("core", F.lit(False)).unionByName(cores.withColumn("core", F.lit(True)))
     spans = spans.groupBy("rid").agg(F.collect_list(F.struct("first", "last", "core")).alias("spans"))
     schema = docs.select("doc_id").schema
@@ -426,6 +435,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **parameters) -> DataF
                 out.append((len(raw), len(raw) - len(left), len(runs), left, sha256(left).hexdigest(), sum(b - a + 1 for a, b in cores)))
             columns = list(zip(*out, strict=True)) if out else [[]] * 6
             kinds = [pa.int64()] * 3 + [pa.binary(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), batch.column(3)], names=schema.names)
 
-    return own.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    told = once.join(spans, "rid", "left").select("doc_id", "text", "spans", "copies").mapInArrow(run, schema.add("copies", "long"))
+    return multiplied(told, F.col("copies")).drop("copies")

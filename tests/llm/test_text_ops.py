@@ -198,6 +198,30 @@ def test_deep_shallow_order():
         assert all(lcp[k] == substring_dedup.common_prefix(strings[order[k - 1]], strings[order[k]]) for k in range(1, len(order)))
 
 
+def test_line_dedup_equal_rows(spark, monkeypatch):
+    """Equal texts without an id lose all copies but one, as they do with ids of their own."""
+    monkeypatch.setattr(common, "COPIES", 30)
+    text = "\n".join(f"line {k} of the text" for k in range(400))
+    rows = [(None, text)] * 100 + [(9, "a b\nc d\ne f")] * 3 + [(None, None)] * 2 + [(None, "one")] * 4
+    got = line_dedup.remove_repeated_chunks(table(spark, rows)).collect()
+    assert len(got) == len(rows) and sum(r.n_removed_lines for r in got if r.n_lines == 400) == 99 * 400
+    assert Counter(r.text for r in got) == {text: 1, "": 101, "a b\nc d\ne f": 1, None: 2, "one": 4}
+    alone = line_dedup.remove_repeated_chunks(table(spark, list(enumerate([text] * 100)))).collect()
+    assert sum(r.n_removed_lines for r in alone) == 99 * 400
+
+
+def test_substring_dedup_equal_rows(spark, monkeypatch):
+    """Very many equal rows cost no more than one; their count is kept."""
+    monkeypatch.setattr(common, "COPIES", 300)
+    r = random.Random(31)
+    text = "".join(r.choices("abcdefgh ", k=20_000))
+    rows = [(None, text)] * 2000 + [(1, text[5000:9000] + "z" * 50), (2, "alone " * 3), (2, "alone " * 3), (3, text[:700]), (3, text[:700])]
+    began = time.perf_counter()
+    got = Counter((x.doc_id, x.n_bytes, x.n_removed, x.n_spans) for x in substring_dedup.remove_repeats(table(spark, rows)).collect())
+    assert got == {(None, 20_000, 20_000, 1): 2000, (1, 4050, 4000, 1): 1, (2, 18, 0, 0): 2, (3, 700, 700, 1): 2}
+    assert time.perf_counter() - began < 60
+
+
 def test_line_dedup(spark, corpus):
     got = line_dedup.remove_repeated_chunks(table(spark, corpus)).collect()
     assert len(got) == len(corpus)
@@ -206,9 +230,11 @@ def test_line_dedup(spark, corpus):
         for k, (c, _, may) in enumerate(line_dedup.chunks(t)):
             if may:
                 first.setdefault(c, (i, t, k))
-    want = Counter()
+    want, seen = Counter(), set()
     for i, t in corpus:
-        left = [c for k, (c, _, may) in enumerate(line_dedup.chunks(t)) if not may or first[c] == (-1 if i is None else i, t, k)]
+        # Of equal rows the first has what is its own, the others nothing that may go.
+        left = [c for k, (c, _, may) in enumerate(line_dedup.chunks(t)) if not may or (first[c] == (-1 if i is None else i, t, k) and (i, t) not in seen)]
+        seen.add((i, t))
         want[(i, None if t is None else b"\n".join(left).decode())] += 1
     assert Counter((r.doc_id, r.text) for r in got) == want
     assert sum(r.n_removed_chunks for r in got) > 0

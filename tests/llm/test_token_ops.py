@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from placemark.llm import mixing, packing, quality, token_counts
+from placemark.llm import common, mixing, packing, quality, token_counts
 
 ODD = [None, "", " ", "  a  b ", "a\nb\n\nc", "\n", "x" * 5000, "▁mark ▁", "é ü 日本 🎵", "<s> </s> <unk>", "a\tb\r\nc", "word " * 3000, "same", "same"]
 
@@ -137,7 +137,7 @@ def test_mix_many_sources(spark):
 
 def test_mix_of_equal_rows(spark, monkeypatch):
     """Rows equal in id, text and source share what they give evenly; the same text in two sources is two documents."""
-    monkeypatch.setattr(mixing, "COPIES", 7)
+    monkeypatch.setattr(common, "COPIES", 7)
     rows = [(None, "one two three", "a")] * 100 + [(None, "", "a")] * 300 + [(None, "one two three", "b")] * 20 + [(i, "w " * 30, "b") for i in range(40)] + [(1, "x y", "c")]
     docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, source string, number long")
     placed = mixing.schedule(docs)[1]
