@@ -85,6 +85,7 @@ class Cutter:
         self.outer: list[int] = []  # places in the stack of those that are not inline
         self.open: dict[str, int] = {}
         self.headings = 0
+        self.missing: set[str] = set()  # patterns that do not occur further on
         self.text: list[tuple[str, bool]] = []
 
     def flush(self) -> None:
@@ -126,6 +127,20 @@ class Cutter:
         while self.outer and self.elements[self.stack[self.outer[-1]]].tag in tags:
             self.close(self.elements[self.stack[self.outer[-1]]].tag)
 
+    def ahead(self, pattern: str, page: str, at: int) -> re.Match | None:
+        """The next match; where there was none once, there is none further on."""
+        found = None if pattern in self.missing else re.compile(pattern, re.I).search(page, at)
+        if not found:
+            self.missing.add(pattern)
+        return found
+
+    def skip_open(self, name: str, page: str, at: int) -> int:
+        """Where an element without an end tag ends: a head at the body, a script or style at the page's end, a button at once."""
+        body = self.ahead(r"<(?:body|article|main|div|p|h1|nav|header)\b", page, at) if name == "head" else None
+        if body:
+            return body.start()
+        return at if name in ("head", "button", "title") else len(page)
+
     def cut(self, page: str) -> None:
         at, end = 0, len(page)
         while at < end:
@@ -143,8 +158,8 @@ class Cutter:
                 if not m[1]:
                     if tag not in ("button", "svg"):
                         self.flush()
-                    ends = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                    at = ends.end() if ends else _skip_open(tag, page, at)
+                    ends = self.ahead(f"</{tag}(?=[\\s/>])[^>]*>", page, at)
+                    at = ends.end() if ends else self.skip_open(tag, page, at)
                 continue
             if tag == "br":
                 self.text.append((" ", False))
@@ -198,14 +213,6 @@ def blocks(page: str) -> list[dict]:
     return out
 
 
-def _skip_open(name: str, page: str, at: int) -> int:
-    """Where an element without an end tag ends: a head at the body, a script or style at the page's end, a button at once."""
-    body = re.compile(r"<(?:body|article|main|div|p|h1|nav|header)\b", re.I).search(page, at) if name == "head" else None
-    if body:
-        return body.start()
-    return at if name in ("head", "button", "title") else len(page)
-
-
 def _prose(draw: random.Random, words: int) -> str:
     """So many made-up words, now and then with a stop."""
     return " ".join("".join(draw.choices(("ka", "lo", "mi", "ten", "ra", "sul", "o"), k=draw.randint(1, 4))) + draw.choice(("", "", "", "", "", "", ",", ".")) for _ in range(words))

@@ -77,13 +77,15 @@ def encode_unit(sp, unit: str) -> list[int]:
 
 
 def frequent_units(docs: DataFrame, text: str, sample_rows: int, entries: int, sample_chars: int = 16_384) -> list[str]:
-    """The most frequent pre-tokens in the heads of at most sample_rows rows.
+    """The most frequent pre-tokens in the heads of some sample_rows rows, drawn from the whole table.
 
-    The sample is read from the first partitions alone and is bounded by both numbers.
+    What reaches the driver is bounded by both numbers.
     """
     seen: Counter = Counter()
+    rows = docs.count()
     head = F.substring(F.col(text).cast("string"), 1, sample_chars).alias("text")
-    for (t,) in docs.select(head).where("text is not null").limit(sample_rows).collect():
+    drawn = docs.select(head).sample(fraction=min(1.0, sample_rows / max(rows, 1)), seed=5)
+    for (t,) in drawn.where("text is not null").limit(2 * sample_rows).collect():
         seen.update(u for u in pre_tokens(t) or () if len(u) <= 64)
     return [u for u, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:entries]]
 

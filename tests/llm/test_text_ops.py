@@ -426,3 +426,12 @@ def test_components(spark):
     got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {1: 1, 2: 1, 3: 1, 9: 1, 4: 4, 5: 4, 6: 4, 8: 4} | {20 + i: 20 for i in range(16)} | {100 + i: 100 for i in range(40)}
     assert got == want
+
+
+@pytest.mark.parametrize("tag", ["button", "title", "head", "script", "svg", "select"])
+def test_unclosed_tags_in_linear_time(tag):
+    """A raw element that never ends is looked for once, not at every place it opens."""
+    page = "<html><body><article><p>" + "some words of an article " * 20 + "</p></article>" + f"<{tag}> x " * 400_000
+    began = time.perf_counter()
+    html_text.blocks(page)
+    assert time.perf_counter() - began < 20
