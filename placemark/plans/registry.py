@@ -251,3 +251,4 @@ def dedup_first_seen(spark: SparkSession, d: str) -> DataFrame:
 
 from placemark.plans import sync_queries  # noqa: E402, F401  registers its queries
 from placemark.plans import function_queries  # noqa: E402, F401  registers its queries
+from placemark.plans import run_queries  # noqa: E402, F401  registers its queries
