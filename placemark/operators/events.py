@@ -32,10 +32,17 @@ def band(same_venue: Column, same_ticket: Column, minutes: Column, same_date: Co
 
 
 def window_pairs(incoming: DataFrame, stored: DataFrame, days_before: int = 1, days_after: int = 2) -> DataFrame:
-    """incoming (i.*) with stored events (s.*) at its venue that start from a day before its date to before two days after."""
-    day = F.to_date("i.start_at")
-    near = (F.col("s.start_at") >= F.date_sub(day, days_before)) & (F.col("s.start_at") < F.date_add(day, days_after))
-    return incoming.alias("i").join(stored.alias("s"), (F.col("i.venue_id") == F.col("s.venue_id")) & near)
+    """incoming (i.*) with stored events (s.*) at its venue that start from a day before its date to before two days after.
+
+    The window is whole days, so each incoming event goes to every day of it and meets the
+    stored ones by venue and day: no pair outside the window is ever compared, however busy
+    the venue.
+    """
+    day = F.to_date("start_at")
+    days = F.sequence(F.date_sub(day, days_before), F.date_add(day, days_after - 1))
+    i = incoming.withColumn("window_day", F.explode(days)).alias("i")
+    s = stored.withColumn("window_day", day).alias("s")
+    return i.join(s, [F.col("i.venue_id") == F.col("s.venue_id"), F.col("i.window_day") == F.col("s.window_day")])
 
 
 def compared(pairs: DataFrame) -> DataFrame:

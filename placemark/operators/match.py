@@ -3,20 +3,20 @@
 Every tier is an equi-join inside one city, summed up to "how many candidates,
 which one". The first tier with a candidate decides; two candidates are never
 chosen between. Claims (one stored venue per incoming row and run) are resolved
-afterwards, city by city, for rows that compete.
+afterwards, in rounds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from placemark.functions.geo import haversine, whole_metres
+from placemark.functions.geo import RADIUS, haversine, whole_metres
 from placemark.functions.urls import dedicated_domain
+from placemark.operators.lineage import cut
 
 LINK_METRES, REVIEW_METRES, NEAR_EXISTING_METRES, NEAR_NEW_METRES = 300, 1000, 150, 200
 # Words that many unrelated venues share.
@@ -104,7 +104,7 @@ def _by_word(df: DataFrame) -> DataFrame:
 def near_existing(new: DataFrame, stored: DataFrame, metres: int = NEAR_EXISTING_METRES) -> DataFrame:
     """(incoming_id, venue_id, word, metres) of new rows near a stored venue that shares a distinctive word.
 
-    Rows meet by city, word and band of latitude, never by position alone; of a pair's words the first of the new name is told.
+    Rows meet by city, word and cell of a grid, never by position alone; of a pair's words the first of the new name is told.
     """
     return _near(new, stored, F.lit(True), metres).select(
         F.col("a.incoming_id"), F.col("b.venue_id"), distinctive(F.col("a.name_key"), F.col("b.name_key")).alias("word"), "metres"
@@ -120,13 +120,52 @@ def near_new(new: DataFrame, metres: int = NEAR_NEW_METRES) -> DataFrame:
     return side("left_id", "right_id").union(side("right_id", "left_id"))
 
 
+def grid(lat: Column, lon: Column, metres: int) -> tuple[Column, Column]:
+    """(band of latitude, cell of longitude in it) of a point, and of a point's surroundings with near_grid()."""
+    band = F.floor(lat / _height(metres)).cast("long")
+    return band, _cell(lon, _cells_of(band, metres))
+
+
+def near_grid(lat: Column, lon: Column, metres: int) -> Column:
+    """array<struct(band, cell)> of the cells that hold every point so many metres from this one, each once.
+
+    Cells are as high as the distance and at least as wide; a band has a whole number of
+    them around the Earth, fewer to the poles, so the date line is no edge.
+    """
+    band = F.floor(lat / _height(metres)).cast("long")
+
+    def of(b: Column) -> Column:
+        n = _cells_of(b, metres)
+        middle = _cell(lon, n)
+        around = F.array_distinct(F.array(F.pmod(middle - 1, n), middle, F.pmod(middle + 1, n)))
+        return F.transform(around, lambda c: F.struct(b.alias("band"), c.alias("cell")))
+
+    return F.flatten(F.transform(F.array(band - 1, band, band + 1), of))
+
+
+def _height(metres: int) -> float:
+    return math.degrees((metres + 1) / RADIUS)
+
+
+def _cells_of(band: Column, metres: int) -> Column:
+    # The farthest from the equator that a row of the band, or of one beside it, can be.
+    most = F.least(F.lit(math.pi / 2), (F.greatest(F.abs(band), F.abs(band + 1)) + 1) * ((metres + 1) / RADIUS))
+    reach = 2 * F.asin(F.least(F.lit(1.0), F.lit(math.sin((metres + 1) / RADIUS / 2)) / F.greatest(F.cos(most), F.lit(1e-12))))
+    return F.greatest(F.lit(1), F.floor(2 * math.pi / reach)).cast("long")
+
+
+def _cell(lon: Column, n: Column) -> Column:
+    return F.least(F.floor(F.pmod(lon, F.lit(360.0)) / 360 * n), n - 1).cast("long")
+
+
 def _near(a: DataFrame, b: DataFrame, also: Column, metres: int) -> DataFrame:
-    # Near rows lie in the same band of latitude or in one beside it, so that a common word in a large city is many groups.
-    band = F.floor(F.col("lat") * 111_000 / (metres + 1)).cast("long")
-    a = _by_word(a).withColumn("band", F.explode(F.array(band - 1, band, band + 1))).alias("a")
-    b = _by_word(b).withColumn("band", band).alias("b")
+    # A common word is as many groups as there are cells with it: a group is what lies close together, whatever the city's size.
+    a = _by_word(a).withColumn("at", F.explode(near_grid(F.col("lat"), F.col("lon"), metres))).withColumns({"band": F.col("at.band"), "cell": F.col("at.cell")}).alias("a")
+    band, cell = grid(F.col("lat"), F.col("lon"), metres)
+    b = _by_word(b).withColumns({"band": band, "cell": cell}).alias("b")
     apart = whole_metres(haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")))
-    return a.join(b, (F.col("a.city") == F.col("b.city")) & (F.col("a.word") == F.col("b.word")) & (F.col("a.band") == F.col("b.band")) & also).withColumn("metres", apart).where(F.col("metres") <= metres)
+    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("city", "word", "band", "cell")]
+    return a.join(b, [*on, also]).withColumn("metres", apart).where(F.col("metres") <= metres)
 
 
 def cross_source(rows: DataFrame, identities: DataFrame, stored: DataFrame) -> DataFrame:
@@ -145,30 +184,25 @@ def cross_source(rows: DataFrame, identities: DataFrame, stored: DataFrame) -> D
 def claim(candidates: DataFrame) -> DataFrame:
     """(city, incoming_id, venue_id): a venue is claimed once, in input order, lower tiers first for a row.
 
-    candidates: city, position, incoming_id, tier, venue_id. Rows that share no
-    venue with another row are decided by windows. The others stream through
-    their city in order, sorted by Spark; a task holds the venues taken so far in
-    one city, never its rows.
+    candidates: city, position, incoming_id, tier, venue_id; in a city rows are served by
+    position, then id. In rounds: a row that comes first at its best venue, of all rows
+    that could still take it, has it, as none before it will; served rows and taken venues
+    leave, until no candidate is left. Everything is a sum or a join by row or venue, so no
+    task holds a city; there are as many rounds as the longest chain of rows that wait for
+    one another, most often few. Rows without an id and venues without one are left out.
     """
-    rows = W.partitionBy("city", "venue_id")
-    own = W.partitionBy("city", "incoming_id")
-    shared = candidates.withColumn("rivals", F.count("*").over(rows)).withColumn("contested", F.max("rivals").over(own) > 1)
-    best = W.partitionBy("city", "incoming_id").orderBy("tier", "venue_id")
-    free = shared.where("not contested").withColumn("k", F.row_number().over(best)).where("k = 1").select("city", "incoming_id", "venue_id")
-
-    def settle(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        city, served, taken = None, None, set()
-        for rows in parts:
-            out = []
-            for row in rows.itertuples(index=False):
-                if row.city != city:
-                    city, served, taken = row.city, None, set()
-                if row.incoming_id != served and row.venue_id not in taken:
-                    served = row.incoming_id
-                    taken.add(row.venue_id)
-                    out.append((city, served, row.venue_id))
-            yield pd.DataFrame(out, columns=["city", "incoming_id", "venue_id"])
-
-    schema = shared.select("city", "incoming_id", "venue_id").schema
-    contested = shared.where("contested").select("city", "position", "incoming_id", "tier", "venue_id").repartition("city")
-    return free.union(contested.sortWithinPartitions("city", "position", "incoming_id", "tier", "venue_id").mapInPandas(settle, schema))
+    left = cut(
+        candidates.where("incoming_id is not null and venue_id is not null")
+        # A null city is a city of its own: in a struct nulls are equal.
+        .select(F.struct("city").alias("area"), "position", "incoming_id", "tier", "venue_id")
+    )
+    served = None
+    while not left.isEmpty():
+        best = left.groupBy("area", "incoming_id").agg(F.min(F.struct("tier", "venue_id"))["venue_id"].alias("venue_id"))
+        first = left.groupBy("area", "venue_id").agg(F.min(F.struct("position", "incoming_id"))["incoming_id"].alias("incoming_id"))
+        now = cut(best.join(first, ["area", "incoming_id", "venue_id"]))
+        served = now if served is None else served.union(now)
+        left = cut(left.join(now.select("area", "incoming_id"), ["area", "incoming_id"], "left_anti").join(now.select("area", "venue_id"), ["area", "venue_id"], "left_anti"))
+    if served is None:
+        served = left.select("area", "incoming_id", "venue_id")
+    return served.select("area.city", "incoming_id", "venue_id")

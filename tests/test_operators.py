@@ -1,6 +1,8 @@
 """Decision lists, matching, change, lifecycle and apply on small cases."""
 
 import itertools
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +210,73 @@ def test_reroute_stream_keeps_its_state(spark, tmp_path):
         run = reroute.throttled_stream(spark.readStream.schema(schema).parquet(source)).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
         run.awaitTermination(120)
     assert [r.routed for r in spark.read.parquet(str(tmp_path / "out")).orderBy("event_id").collect()] == [True, False, True, False, True]
+
+
+def claims_by_hand(rows):
+    """rows: (city, position, incoming, tier, venue) -> what serving one row after another gives."""
+    by = {}
+    for city, position, incoming, tier, venue in rows:
+        by.setdefault((city is None, city, position, incoming), []).append((tier, venue))
+    taken, out = set(), set()
+    for (_, city, _, incoming), options in sorted(by.items(), key=lambda x: (x[0][0], str(x[0][1]), *x[0][2:])):
+        free = [v for _, v in sorted(options) if (city, v) not in taken]
+        if free:
+            taken.add((city, free[0]))
+            out.add((city, incoming, free[0]))
+    return out
+
+
+@pytest.mark.parametrize("cities,venues,options", [(3, 40, 4), (1, 15, 3), (1, 3, 2)])
+def test_claims_are_those_of_one_after_another(spark, cities, venues, options):
+    r = random.Random(venues)
+    rows = []
+    for k in range(90):
+        city, position = r.choice(["a", "b", None][:cities]), r.randint(0, 500)
+        rows += [(city, position, k, r.randint(0, 3), v) for v in r.sample(range(venues), r.randint(1, options))]
+    rows += [("a", 1, 900 + k, 0, 7) for k in range(30)]  # a venue that very many want
+    df = spark.createDataFrame(rows, "city string, position int, incoming_id int, tier int, venue_id int")
+    assert {tuple(x) for x in match.claim(df).collect()} == claims_by_hand(rows)
+
+
+def test_claims_in_a_chain(spark):
+    """Each row waits for the one before it; and nothing to claim at all."""
+    rows = [("a", k, k, t, k - 1 + t) for k in range(1, 7) for t in (0, 1)]
+    df = spark.createDataFrame(rows, "city string, position int, incoming_id int, tier int, venue_id int")
+    assert {tuple(x) for x in match.claim(df).collect()} == claims_by_hand(rows)
+    none = match.claim(df.where("false"))
+    assert none.columns == ["city", "incoming_id", "venue_id"] and none.count() == 0
+
+
+def test_near_grid_finds_all_and_stays_small(spark):
+    """Rows with one hot word: near ones meet at any latitude and over the date line, far ones share no cell."""
+    r = random.Random(4)
+    rows = []
+    for lat, lon in ((44.8, 20.45), (0.0, 0.0), (69.6, 179.9995), (-89.9999, 10.0), (60.0, -180.0)):
+        for _ in range(60):
+            rows.append((len(rows), "x", "hot spot", max(-90.0, min(90.0, lat + r.uniform(-3, 3) / 1000)), (lon + r.uniform(-4, 4) / 1000 + 180) % 360 - 180))
+    strip = [(1000 + k, "x", "hot spot", 44.5, 20.0 + k * 0.003) for k in range(400)]  # one band of latitude, as wide as a city
+    df = spark.createDataFrame(rows + strip, "incoming_id int, city string, name_key string, lat double, lon double")
+
+    def metres(a, b):
+        la, lb = math.radians(a[3]), math.radians(b[3])
+        h = math.sin((lb - la) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin(math.radians(b[4] - a[4]) / 2) ** 2
+        return math.floor(2 * 6_371_000 * math.asin(min(1.0, math.sqrt(h))) + 0.5)
+
+    every = rows + strip
+    want = {(a[0], b[0]) for a in every for b in every if a[0] != b[0] and metres(a, b) <= match.NEAR_NEW_METRES}
+    assert {(x.incoming_id, x.other_id) for x in match.near_new(df).collect()} == want and len(want) > 500
+    cells = df.where("incoming_id >= 1000").select(F.explode(match.near_grid(F.col("lat"), F.col("lon"), match.NEAR_NEW_METRES)).alias("at"))
+    assert cells.groupBy("at").count().agg(F.max("count")).first()[0] <= 8
+
+
+def test_window_join_has_no_residual(spark):
+    """A venue with very many events: as many pairs leave the join as are in the window."""
+    rows = spark.range(4000).selectExpr("id as event_id", "id % 2 as venue_id", "timestamp_seconds(1700000000 + id * 3600) as start_at")
+    new = rows.where("event_id % 10 = 0")
+    pairs = events.window_pairs(new, rows)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert ">=" not in join and "<" not in join and join.count("=") == 2
+    day = lambda k: (1700000000 + k * 3600) // 86400
+    want = {(a, b) for a in range(0, 4000, 10) for b in range(max(0, a - 80), min(4000, a + 80)) if a % 2 == b % 2 and -1 <= day(b) - day(a) <= 1}
+    assert {(x[0], x[1]) for x in pairs.select(F.col("i.event_id"), F.col("s.event_id").alias("other")).collect()} == want
