@@ -28,9 +28,11 @@ GENERIC = (
 OBJECT_REF = "^(?:node|way|relation)/\\d+$"
 
 
-def edges(incoming: DataFrame, stored: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+def edges(incoming: DataFrame, stored: DataFrame, aliases: DataFrame | None = None, reserved: DataFrame | None = None) -> DataFrame:
     """(incoming_id, tier, venue_id, ...) of every tier's candidates, the first tier's alone.
 
+    reserved: venue_id, owner (an incoming_id): venues that are no candidates for anyone else.
+
     incoming: incoming_id, city, source, external_id, wikidata, website, name_key, lat, lon;
     stored: venue_id, city and the same; aliases: city, alias_key, canonical_key.
     """
@@ -54,6 +56,9 @@ def edges(incoming: DataFrame, stored: DataFrame, aliases: DataFrame | None = No
         known = i.join(a, [F.col("i.city") == F.col("a.city"), F.col("i.name_key") == F.col("a.alias_key")])
         met = known.join(s, [F.col("i.city") == F.col("s.city"), F.col("a.canonical_key") == F.col("s.name_key")], "left")
         found = found.union(met.select(*chosen(4)))
+    if reserved is not None:
+        kept = found.join(reserved, "venue_id", "left").where("owner is null or owner = incoming_id")
+        found = kept.select(*found.columns)
     first = W.partitionBy("incoming_id")
     return found.withColumn("first_tier", F.min("tier").over(first)).where("tier = first_tier").drop("first_tier")
 

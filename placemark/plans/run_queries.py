@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placemark.functions.text import name_key
+from placemark.operators import runs
 from placemark.plans import overlay
 from placemark.plans.sql import query
+from placemark.sources.tables import table
 from placemark.streaming import lifecycle
 
 # What each run sees of the stored keys; the second sees too little.
@@ -33,3 +36,122 @@ def lifecycle_after_runs(spark: SparkSession, d: str) -> DataFrame:
         # A run's state is what the next one starts from; here it is kept, in production it is a version of the log.
         state = lifecycle.advance(state, keys, lifecycle.guard(state, keys).select("healthy")).persist()
     return state.select("key", "kind", "source_status", "misses")
+
+
+# ---- a run over event pages ---------------------------------------------------
+
+_DATE = "'2026-10-' || lpad(CAST(k % 28 + 1 AS VARCHAR), 2, '0')"
+_ITEMS = f"""c AS (SELECT c_custkey AS k, c_name AS n, n_name AS town FROM customer JOIN nation ON n_nationkey = c_nationkey),
+s AS (SELECT *, CASE WHEN k % 23 = 0 THEN 'fetch-failed' WHEN k % 7 = 0 OR k % 11 = 0 OR k % 13 = 0 OR k % 17 = 0 OR k % 19 = 0 THEN 'parse-failed' WHEN k % 4 >= 2 THEN 'rejected' ELSE 'accepted' END AS stage FROM c),
+i AS (SELECT k, stage, CASE stage WHEN 'parse-failed' THEN CASE WHEN k % 7 = 0 THEN 'missing-title' WHEN k % 11 = 0 THEN 'not-found-page' WHEN k % 13 = 0 THEN 'missing-details' WHEN k % 17 = 0 THEN 'unparseable-date' ELSE 'missing-location' END
+   WHEN 'rejected' THEN CASE WHEN k % 4 = 2 THEN 'category' ELSE 'no signal' END END AS reason,
+ CASE WHEN stage = 'accepted' THEN CASE WHEN k % 4 = 0 THEN 'primary' ELSE 'secondary' END END AS tier,
+ CASE WHEN stage <> 'accepted' THEN NULL WHEN k % 5 = 0 THEN 'needs_review:city-unknown' WHEN k % 24 = 0 THEN 'needs_review:ambiguous-existing-match' WHEN k % 12 = 0 THEN 'matched_existing:matched-tier-2'
+   WHEN k % 4 = 1 THEN 'needs_review:secondary-relevance-only' WHEN k % 8 = 4 THEN 'safe_new_venue:safe-new-venue' ELSE 'needs_review:location-confidence-insufficient' END AS venue,
+ CASE WHEN stage = 'accepted' AND k % 12 = 0 AND k % 24 <> 0 AND k % 5 <> 0 THEN k END AS venue_id,
+ CASE WHEN stage = 'accepted' THEN 'src:' || CAST(k AS VARCHAR) END AS source_key,
+ CASE WHEN stage = 'accepted' THEN CASE WHEN k % 3 = 0 THEN 'cancelled' ELSE 'scheduled' END END AS event_status,
+ CASE WHEN stage = 'accepted' THEN sha1('["' || CASE WHEN k % 12 = 0 AND k % 24 <> 0 AND k % 5 <> 0 THEN 'venue:' || CAST(k AS VARCHAR) ELSE 'name:' || CAST(k AS VARCHAR) END || '","' || {_DATE} || '"]') END AS identity FROM s)"""
+
+
+def _event_items(spark: SparkSession, d: str) -> DataFrame:
+    k, key = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    part = lambda *x: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in x])
+    row = lambda cls, label, *inner: part(f"<li class='{cls}'><div class='gt-title'>{label}</div><div class='gt-inner'>", *inner, "</div></li>")
+    town = F.when(k % 5 == 0, "Nigde").otherwise(F.col("n_name"))
+    title = F.when(k % 11 == 0, "Page not found").otherwise(F.concat("c_name", F.when(k % 3 == 0, " OTKAZANO").otherwise("")))
+    date = F.when(k % 17 == 0, "uskoro").otherwise(part((k % 28 + 1).cast("string"), ". oktobra 2026. 20:30"))
+    place = F.when(k % 19 == 0, "").otherwise(part(row("gt-venue", "Lokacija", "<a href='/venue/klub-", key, "/'>Klub ", key, "</a>"), row("gt-locations", "Mesto", town)))
+    box = F.when(k % 13 == 0, "").otherwise(part("<div class='gt-detail-box'><ul>", row("gt-start-date", "Datum", date), place, "</ul></div>"))
+    kind = F.when(k % 4 == 0, " eventcat-koncert").when(k % 4 == 1, " eventcat-stand-up").when(k % 4 == 2, " eventcat-sport").otherwise("")
+    page = part(F.when(k % 7 == 0, "").otherwise(part("<title>", title, " | Site</title>")), "<body class='postid-", key, kind, "'>", box, "</body>")
+    towns = table(spark, d, "nation").select("n_nationkey", "n_name")
+    people = table(spark, d, "customer").join(towns, F.col("c_nationkey") == F.col("n_nationkey"))
+    fetched = people.select(key.alias("url"), (k % 23 != 0).alias("fetched"), F.when(k % 23 != 0, page).alias("html"))
+    none = F.lit(None).cast("string")
+    known = people.where(k % 12 == 0)
+    known = known.select(k.alias("venue_id"), k.alias("at"), "c_nationkey").union(known.where(k % 24 == 0).select(-k, k, "c_nationkey"))
+    stored = known.select(
+        "venue_id", F.col("c_nationkey").alias("city"), F.lit("other").alias("source"), F.concat(F.lit("x"), F.col("venue_id").cast("string")).alias("external_id"), none.alias("wikidata"), none.alias("website"),
+        name_key(F.concat(F.lit("Klub "), F.col("at").cast("string"))).alias("name_key"), F.lit(45.0).alias("lat"), F.lit(20.0).alias("lon"),
+    )
+    cities = overlay.cities(spark, d).select("city_id", "city", F.lit(True).alias("enabled"))
+    aliases = cities.where("false").select(F.col("city_id").alias("city"), F.col("city").alias("alias_key"), F.col("city").alias("canonical_key"))
+    found = people.where(k % 8 == 4).select(F.concat(F.lit("klub-"), key).alias("source_venue_id"), F.concat(F.lit("Klub "), key).alias("page_name"), F.lit(44.5).alias("lat"), F.lit(20.5).alias("lon"), none.alias("address"))
+    return runs.event_run(fetched, stored, cities, aliases, found, "src", (" | Site",))
+
+
+@query(f"WITH {_ITEMS} SELECT CAST(k AS VARCHAR) AS url, stage, reason, tier, venue, venue_id, source_key, event_status, identity FROM i")
+def event_run_items(spark: SparkSession, d: str) -> DataFrame:
+    """A whole run over event pages: fetched, parsed, judged, its venues resolved in two passes, its keys made."""
+    found = _event_items(spark, d)
+    venue = F.when(F.col("venue_status").isNotNull(), F.concat_ws(":", "venue_status", "venue_code"))
+    return found.select("url", "stage", "reason", "tier", venue.alias("venue"), "venue_id", "source_key", "event_status", "identity")
+
+
+@query(f"""WITH {_ITEMS}, n AS (SELECT count(*) AS discovered, count(*) FILTER (WHERE stage = 'fetch-failed') AS fetch_failed, count(*) FILTER (WHERE stage = 'parse-failed') AS parse_failed, count(*) FILTER (WHERE stage = 'rejected') AS rejected,
+ count(*) FILTER (WHERE stage = 'accepted') AS accepted, count(*) FILTER (WHERE tier = 'primary') AS "primary", count(*) FILTER (WHERE tier = 'secondary') AS secondary, count(DISTINCT source_key) AS planned_inserts FROM i)
+SELECT *, CASE WHEN discovered = 0 THEN 'failed' WHEN fetch_failed >= 0.5 * discovered OR parse_failed >= 0.3 * (discovered - fetch_failed) THEN 'degraded' ELSE 'ok' END AS status,
+ NOT (discovered = 0 OR fetch_failed >= 0.5 * discovered OR parse_failed >= 0.3 * (discovered - fetch_failed)) AS healthy FROM n""")
+def event_run_counters(spark: SparkSession, d: str) -> DataFrame:
+    return runs.event_counters(_event_items(spark, d))
+
+
+@query(f"""WITH {_ITEMS} SELECT 'svid:src:klub-' || CAST(k AS VARCHAR) AS candidate_key, CASE WHEN venue LIKE 'safe%' AND row_number() OVER (PARTITION BY venue LIKE 'safe%' ORDER BY town, 'Klub ' || CAST(k AS VARCHAR)) > 50 THEN 'needs_review' ELSE split_part(venue, ':', 1) END AS status, CAST(1 AS BIGINT) AS event_count
+FROM i JOIN c USING (k) WHERE stage = 'accepted' AND venue NOT LIKE 'matched%'""")
+def event_run_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return runs.event_candidates(_event_items(spark, d)).select("candidate_key", "status", "event_count")
+
+
+# ---- a run over venue records ----------------------------------------------------
+
+_SYNC = """r AS (SELECT c_custkey AS k, c_nationkey AS city, c_mktsegment AS segment, CASE WHEN c_custkey % 31 = 0 THEN 'REJECTED' WHEN c_custkey % 37 = 0 THEN 'NEEDS_REVIEW' WHEN c_custkey % 10 = 3 THEN 'NEW'
+   WHEN (c_custkey % 7 = 0 AND c_custkey % 21 <> 0 AND c_mktsegment <> 'OTHER') OR (c_custkey % 14 = 0 AND c_custkey % 9 <> 0) THEN 'UPDATED' ELSE 'UNCHANGED' END AS status FROM customer WHERE c_custkey % 20 <> 2),
+p AS (SELECT *, CASE WHEN status IN ('REJECTED', 'NEEDS_REVIEW') THEN 'review' WHEN status = 'NEW' THEN CASE WHEN k % 20 = 3 THEN 'link-only' ELSE 'insert' END WHEN status = 'UNCHANGED' THEN 'link-only' ELSE 'update' END AS operation FROM r)"""
+
+
+def _sync_plan(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    none = F.lit(None).cast("string")
+    named = lambda n: F.concat(F.lit("house "), n.cast("string"))
+    phone = F.concat(F.lit("+381 "), k.cast("string"))
+    rows = table(spark, d, "customer")
+    optional = F.array_compact(F.array(F.when(k % 21 != 0, "segment"), F.when(k % 4 != 0, "phone")))
+    records = rows.where(k % 20 != 2).select(
+        F.lit(1).alias("city"), F.lit("osm").alias("source"), k.cast("string").alias("external_id"), F.lit("venue").alias("kind"),
+        # A new record bears the name of the stored venue before it: free where that one's own record is missing, else kept for it.
+        named(F.when(k % 10 == 3, k - 1).otherwise(k)).alias("name_key"), none.alias("wikidata"), none.alias("website"), F.expr(overlay.LAT).alias("lat"), F.expr(overlay.LON).alias("lon"),
+        F.when(k % 31 == 0, "rejected").when(k % 37 == 0, "needs_review").otherwise("ok").alias("outcome"), optional.alias("provided"), F.col("c_name").alias("name"),
+        F.when(k % 21 != 0, F.col("c_mktsegment")).alias("segment"), F.when(k % 4 != 0, phone).alias("phone"),
+    )
+    old = rows.where(k % 10 != 3)
+    fields = F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.when(k % 7 == 0, "OTHER").otherwise(F.col("c_mktsegment")), F.lit("phone"), phone)
+    moved = F.expr(overlay.LAT) + F.when((k % 9 == 0) | (k % 14 == 0), 0.5).otherwise(0.0)
+    links = old.select(F.lit("osm").alias("source"), k.cast("string").alias("external_id"), k.alias("stored_id"), (k % 9 == 0).alias("by_hand"), moved.alias("stored_lat"), F.expr(overlay.LON).alias("stored_lon"), fields.alias("stored_fields"))
+    # The stored venue of a record that is missing belongs to another source, so that it may be linked.
+    free = k % 20 == 2
+    stored = old.select(
+        k.alias("venue_id"), F.lit(1).alias("city"), F.when(free, "other").otherwise("osm").alias("source"), k.cast("string").alias("external_id"), none.alias("wikidata"), none.alias("website"), named(k).alias("name_key"), moved.alias("lat"), F.expr(overlay.LON).alias("lon")
+    )
+    return runs.venue_sync(records, links.where("cast(external_id as long) % 20 <> 2"), stored, ("name", "segment", "phone"), ("segment", "phone"))
+
+
+@query(f"WITH {_SYNC} SELECT CAST(k AS VARCHAR) AS external_id, status, operation, CASE WHEN operation IN ('review', 'insert') THEN NULL WHEN status = 'NEW' THEN k - 1 ELSE k END AS canonical_id FROM p")
+def venue_sync_plan(spark: SparkSession, d: str) -> DataFrame:
+    """A whole run over venue records: stored values stand in for what a source leaves out, then hash, identity, claims and plan."""
+    return _sync_plan(spark, d).select("external_id", "status", "operation", "canonical_id")
+
+
+@query(f"WITH {_SYNC} SELECT 'venue:' || operation AS key, count(*) AS n FROM p WHERE operation <> 'review' GROUP BY operation")
+def venue_sync_counts(spark: SparkSession, d: str) -> DataFrame:
+    return runs.upsert_counts(_sync_plan(spark, d))
+
+
+@query(f"""WITH {_SYNC} SELECT count(*) AS records, count(*) FILTER (WHERE operation = 'review') AS reviews, count(*) FILTER (WHERE status = 'NEW') AS new, count(*) FILTER (WHERE status = 'UPDATED') AS updated,
+ count(*) FILTER (WHERE status = 'UNCHANGED') AS unchanged FROM p""")
+def venue_sync_observed(spark: SparkSession, d: str) -> DataFrame:
+    """The run's counters as they are taken while its plan is written, by the same job."""
+    is_ = lambda s: F.count_if(F.col("status") == s)
+    planned, seen = runs.observed(_sync_plan(spark, d), "sync", records=F.count("*"), reviews=F.count_if(F.col("operation") == "review"), new=is_("NEW"), updated=is_("UPDATED"), unchanged=is_("UNCHANGED"))
+    planned.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([seen.get], "records long, reviews long, new long, updated long, unchanged long")
