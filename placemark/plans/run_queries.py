@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placemark.functions.text import name_key
-from placemark.operators import runs
+from placemark.operators import predicates, runs, snapshots
 from placemark.plans import overlay
-from placemark.plans.sql import query
+from placemark.plans.sql import TAGS, query
+from placemark.sources import landed
 from placemark.sources.tables import table
 from placemark.streaming import lifecycle
 
@@ -54,7 +55,8 @@ i AS (SELECT k, stage, CASE stage WHEN 'parse-failed' THEN CASE WHEN k % 7 = 0 T
  CASE WHEN stage = 'accepted' THEN sha1('["' || CASE WHEN k % 12 = 0 AND k % 24 <> 0 AND k % 5 <> 0 THEN 'venue:' || CAST(k AS VARCHAR) ELSE 'name:' || CAST(k AS VARCHAR) END || '","' || {_DATE} || '"]') END AS identity FROM s)"""
 
 
-def _event_items(spark: SparkSession, d: str) -> DataFrame:
+def _fetched(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Customers with their towns, and a fetched event page of each."""
     k, key = F.col("c_custkey"), F.col("c_custkey").cast("string")
     part = lambda *x: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in x])
     row = lambda cls, label, *inner: part(f"<li class='{cls}'><div class='gt-title'>{label}</div><div class='gt-inner'>", *inner, "</div></li>")
@@ -68,6 +70,12 @@ def _event_items(spark: SparkSession, d: str) -> DataFrame:
     towns = table(spark, d, "nation").select("n_nationkey", "n_name")
     people = table(spark, d, "customer").join(towns, F.col("c_nationkey") == F.col("n_nationkey"))
     fetched = people.select(key.alias("url"), (k % 23 != 0).alias("fetched"), F.when(k % 23 != 0, page).alias("html"))
+    return people, fetched
+
+
+def _event_items(spark: SparkSession, d: str) -> DataFrame:
+    k, key = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    people, fetched = _fetched(spark, d)
     none = F.lit(None).cast("string")
     known = people.where(k % 12 == 0)
     known = known.select(k.alias("venue_id"), k.alias("at"), "c_nationkey").union(known.where(k % 24 == 0).select(-k, k, "c_nationkey"))
@@ -155,3 +163,75 @@ def venue_sync_observed(spark: SparkSession, d: str) -> DataFrame:
     planned, seen = runs.observed(_sync_plan(spark, d), "sync", records=F.count("*"), reviews=F.count_if(F.col("operation") == "review"), new=is_("NEW"), updated=is_("UPDATED"), unchanged=is_("UNCHANGED"))
     planned.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([seen.get], "records long, reviews long, new long, updated long, unchanged long")
+
+
+# ---- what a source is asked for ----------------------------------------------------
+
+_VALUES = ", ".join(f"({i}, '{k}', '{v}')" for i, tags in enumerate(TAGS) for k, v in tags.items())
+_BASES = "('restaurant', 'cafe', 'theatre', 'arts_centre', 'community_centre', 'social_centre', 'events_venue')"
+
+
+@query(f"""WITH t(kind, k, v) AS (VALUES {_VALUES}), e AS (SELECT event_id, event_id % {len(TAGS)} AS kind FROM events WHERE event_type <> 'error'),
+g AS (SELECT kind, map_from_entries(list((k, v))) AS m FROM t GROUP BY kind),
+x AS (SELECT kind, coalesce(m['amenity'], '') AS a, coalesce(m['name'], '') AS n, m FROM g),
+l AS (SELECT kind, a IN ('nightclub', 'bar', 'pub', 'biergarten', 'music_venue', 'karaoke_box') OR coalesce(m['club'] IN ('music', 'nightlife'), FALSE) OR coalesce(m['karaoke'] = 'yes', FALSE) OR coalesce(m['leisure'] IN ('dance', 'karaoke'), FALSE) AS by_definition,
+ (a IN ('restaurant', 'bar', 'pub', 'cafe') AND regexp_matches(lower(n), 'kafana')) OR (a IN ('restaurant', 'bar', 'pub', 'nightclub') AND regexp_matches(lower(n), 'splav')) AS by_name,
+ (a IN {_BASES} AND (m['live_music'] IS NOT NULL OR coalesce(m['theatre:type'] IN ('concert_hall', 'music', 'cabaret'), FALSE) OR coalesce(m['stage'] = 'yes', FALSE) OR coalesce(m['microbrewery'] = 'yes', FALSE)))
+   OR coalesce(m['craft'] = 'brewery', FALSE) OR coalesce(m['club'] = 'social', FALSE) OR (a IN ('restaurant', 'cafe') AND coalesce(m['bar'] = 'yes', FALSE)) AS by_signal FROM x)
+SELECT CAST(count(*) FILTER (WHERE by_definition) AS BIGINT) AS by_definition, count(*) FILTER (WHERE by_name) AS by_name, count(*) FILTER (WHERE by_signal) AS by_signal, count(*) FILTER (WHERE by_definition OR by_name OR by_signal) AS any_layer FROM e JOIN l USING (kind)""")
+def layer_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How many elements each layer of the source query asks for."""
+    kinds = F.array(*[F.create_map(*[F.lit(x) for kv in t.items() for x in kv]) for t in TAGS])
+    value = predicates.of_map(F.element_at(kinds, (F.col("event_id") % len(TAGS) + 1).cast("int")))
+    rows = table(spark, d, "events").where("event_type <> 'error'")
+    names = dict(zip(("by_definition", "by_name", "by_signal"), predicates.LAYERS, strict=True))
+    return rows.agg(*(F.count_if(layer.column(value)).alias(n) for n, layer in names.items()), F.count_if(predicates.predicate(predicates.LAYERS, value)).alias("any_layer"))
+
+
+# ---- an adapter over landed pages -----------------------------------------------------
+
+
+@query(f"""WITH {_ITEMS} SELECT k AS external_id, n || CASE WHEN k % 3 = 0 THEN ' OTKAZANO' ELSE '' END AS title, {_DATE} || 'T20:30' AS start_local, CASE WHEN k % 3 = 0 THEN 'cancelled' ELSE 'scheduled' END AS status,
+ 'klub-' || CAST(k AS VARCHAR) AS slug, CASE WHEN k % 5 = 0 THEN 'Nigde' ELSE town END AS city, CASE WHEN k % 4 = 3 THEN NULL ELSE ['koncert', 'stand-up', 'sport'][CAST(k % 4 AS INTEGER) + 1] END AS category, CAST(k % 28 + 1 AS VARCHAR) || '. oktobra 2026. 20:30' AS said
+FROM i JOIN c USING (k) WHERE i.stage IN ('rejected', 'accepted') AND k % 29 <> 0""")
+def landed_page_records(spark: SparkSession, d: str) -> DataFrame:
+    """Sitemaps to references, landed responses to sync records, and what the pages reported, read by path."""
+    _, fetched = _fetched(spark, d)
+    url = F.concat(F.lit("https://example.org/event/"), "url", F.lit("/"))
+    # References that no sitemap names are not asked for.
+    maps = fetched.where("cast(url as long) % 29 <> 0").select(F.concat(F.lit("<urlset><url><loc>"), url, F.lit("</loc><lastmod>2026-01-01</lastmod></url></urlset>")).alias("body"))
+    source = landed.LandedPages(maps, fetched.select(url.alias("url"), F.col("fetched").alias("ok"), "html"), "src", "Europe/Belgrade", (" | Site",))
+    said = lambda path: landed.variant_text(F.col("reported"), path)
+    return source.records(source.raw(source.refs())).select(
+        F.col("external_id").cast("long").alias("external_id"), "title", "start_local", "status", said("$.venue.slug").alias("slug"), said("$.venue.city").alias("city"), said("$.categories[0]").alias("category"), said("$.dates.start").alias("said")
+    )
+
+
+# ---- what is stored, and of what a run may speak ----------------------------------------
+
+
+def _versions(spark: SparkSession, d: str) -> DataFrame:
+    """Every order is a version of its customer's record."""
+    o = table(spark, d, "orders")
+    return o.select(F.col("o_custkey").alias("venue_id"), F.col("o_orderdate").cast("timestamp").alias("written_at"), F.col("o_orderkey").alias("version"), (F.col("o_orderkey") % 7 == 0).alias("removed"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"))
+
+
+@query("""SELECT o_custkey AS venue_id, o_orderkey AS version, o_totalprice AS price, o_orderstatus AS status FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders WHERE o_orderdate <= DATE '1996-06-30')
+WHERE n = 1 AND o_orderkey % 7 <> 0""")
+def stored_as_of(spark: SparkSession, d: str) -> DataFrame:
+    return snapshots.as_of(_versions(spark, d), F.lit("1996-06-30").cast("timestamp"), "venue_id").select("venue_id", "version", "price", "status")
+
+
+@query("""WITH l AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'venue' ELSE 'event' END AS kind, o_custkey, o_orderstatus, o_orderdate, o_orderkey % 5 < 2 AS seen FROM orders)
+SELECT 's:' || CAST(id AS VARCHAR) AS key, kind, kind = 'event' AND id % 11 <> 0 AND o_orderdate < DATE '1995-01-01' AS frozen, kind = 'event' AND id % 11 <> 0 AND o_orderstatus = 'F' AS cancelled, seen FROM l WHERE kind <> 'venue' OR seen OR o_custkey % 4 = 0""")
+def run_scope(spark: SparkSession, d: str) -> DataFrame:
+    """Stored links with frozen and cancelled as of an instant, cut to what a run of some cities may find missing."""
+    k = F.col("o_orderkey")
+    orders = table(spark, d, "orders")
+    kind = F.when(k % 3 == 0, "venue").otherwise("event")
+    links = orders.select(F.lit("s").alias("source"), k.cast("string").alias("external_id"), kind.alias("kind"), k.alias("canonical_id"), F.lit("active").alias("source_status"), F.lit(0).alias("misses"))
+    events = orders.where(k % 11 != 0).select(k.alias("event_id"), F.col("o_orderdate").cast("timestamp").alias("start_at"), F.when(F.col("o_orderstatus") == "F", "cancelled").otherwise("scheduled").alias("status"))
+    stored = snapshots.source_snapshot(links, events, F.lit("1995-01-01").cast("timestamp"))
+    seen = orders.where(k % 5 < 2).select(F.concat(F.lit("s:"), k.cast("string")).alias("key"))
+    scope = orders.where(F.col("o_custkey") % 4 == 0).select(k.alias("canonical_id"))
+    return snapshots.in_scope(stored, seen, scope).select("key", "kind", "frozen", "cancelled", "seen")

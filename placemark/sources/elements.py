@@ -29,20 +29,21 @@ def reference(kind: Column, number: Column) -> Column:
     return F.when(kind.isNotNull() & number.isNotNull(), F.concat_ws("/", kind, number.cast("string"))).otherwise("(unknown)")
 
 
-def once(elements: DataFrame) -> DataFrame:
-    """The first of each reference by position; elements without one all stay."""
-    first = W.partitionBy("ref").orderBy("position")
+def once(elements: DataFrame, *within: str) -> DataFrame:
+    """The first of each reference by position, in each group of within; elements without one all stay."""
+    first = W.partitionBy(*within, "ref").orderBy("position")
     known = elements.where("ref <> '(unknown)'").withColumn("k", F.row_number().over(first)).where("k = 1").drop("k")
     return known.unionByName(elements.where("ref = '(unknown)'"))
 
 
-def venues(elements: DataFrame, country: str, city: str, rescues: DataFrame | None = None) -> DataFrame:
+def venues(elements: DataFrame, country: str | Column, city: str | Column, rescues: DataFrame | None = None, *within: str) -> DataFrame:
     """Every element once with its bucket (venue, invalid, excluded), reason and venue fields.
 
     elements: position, type, id, lat, lon, center, tags. No coordinates are ever made up.
+    within: columns of what was asked for, kept in the result; an element counts once in each.
     """
     node = F.col("type") == "node"
-    rows = once(elements.withColumns({"ref": reference(F.col("type"), F.col("id")), "tags": F.coalesce("tags", F.create_map().cast("map<string,string>")), "country": F.lit(country), "city": F.lit(city)}))
+    rows = once(elements.withColumns({"ref": reference(F.col("type"), F.col("id")), "tags": F.coalesce("tags", F.create_map().cast("map<string,string>")), "country": F.lit(country), "city": F.lit(city)}), *within)
     if rescues is not None:
         rows = with_rescues(rows, rescues)
         verdict = classified(F.col("tags"), F.col("rescue_category"), F.col("bypass"))
@@ -56,7 +57,7 @@ def venues(elements: DataFrame, country: str, city: str, rescues: DataFrame | No
     )
     t = F.col("tags")
     return rows.withColumn("problem", invalid).select(
-        "ref", F.when(F.col("problem").isNotNull(), "invalid").when(F.col("verdict.accepted"), "venue").otherwise("excluded").alias("bucket"),
+        *within, "ref", F.when(F.col("problem").isNotNull(), "invalid").when(F.col("verdict.accepted"), "venue").otherwise("excluded").alias("bucket"),
         F.coalesce("problem", F.when(~F.col("verdict.accepted"), F.col("verdict.via"))).alias("reason"), "name", name_key(F.col("name")).alias("name_key"), "lat", "lon",
         address(t).alias("address"), filled(t, "website", "contact:website").alias("website"), filled(t, "opening_hours").alias("opening_hours"), filled(t, "wikidata").alias("wikidata"),
         F.col("verdict.category").alias("category"), F.col("verdict.review").alias("review"), F.col("verdict.rescued").alias("rescued"),

@@ -179,11 +179,21 @@ def venue_pages(pages: DataFrame, suffixes: tuple[str, ...] = ()) -> DataFrame:
     return pages.select("url", _udf(parse_venue, VENUE, suffixes)(F.col("html"), F.col("url")).alias("v")).select("url", "v.*")
 
 
+def reported(parsed: DataFrame) -> Column:
+    """What the page itself says, untouched by any rule, as one variant: a source may say more than the model has columns for."""
+    said = F.struct(
+        F.struct(F.col("venue").alias("name"), F.col("venue_slug").alias("slug"), F.col("city").alias("city"), F.col("city_slug").alias("citySlug")).alias("venue"),
+        F.struct(F.col("start_text").alias("start"), F.col("end_text").alias("end")).alias("dates"), F.col("event_type").alias("type"), F.col("categories").alias("categories"), F.col("image").alias("image"),
+    )
+    return F.parse_json(F.to_json(said))
+
+
 def event_records(parsed: DataFrame, source: str, zone: str) -> DataFrame:
     """Parsed pages as sync records; without a mark an event is scheduled."""
     return parsed.where("ok").select(
         F.lit(source).alias("source"), "external_id", F.lit("event").alias("kind"), "title", "start_local", "end_local", F.lit(zone).alias("time_zone"),
         F.coalesce("status", F.lit("scheduled")).alias("status"), F.col("venue").alias("venue_name"), F.col("city").alias("city_text"), "promoter", "ticket_url",
+        reported(parsed).alias("reported"),
     )
 
 
