@@ -52,7 +52,7 @@ def event_run(
     own = F.when(status["status"] == "matched_existing", F.col("venue_id"))
     resolved = kept.select(
         "url", status["status"].alias("venue_status"), status["code"].alias("venue_code"), own.alias("venue_id"), "city_id", "lat", "lon", "address", located.alias("confidence"),
-        F.when(status["status"] == "needs_review", F.when(F.size(codes) > 0, codes).otherwise(F.array(status["code"]))).otherwise(F.array().cast("array<string>")).alias("reason_codes"),
+        F.when(status["status"] == "needs_review", F.when(status["code"].eqNullSafe(F.try_element_at(codes, F.lit(1))), codes).otherwise(F.array(status["code"]))).otherwise(F.array().cast("array<string>")).alias("reason_codes"),
         F.concat_ws(":", F.lit(source), "external_id").alias("source_key"), events.identity_key(events.venue_key(own, F.col("venue"), F.col("city")), F.col("start_local")).alias("identity"),
         F.coalesce("status", F.lit("scheduled")).alias("event_status"),
         candidates.candidate_key(F.lit(source), F.col("venue_slug"), F.col("city"), F.col("name_key"), F.col("address"), venues.generic_name(F.col("name_key"))).alias("candidate_key"),
