@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placemark.functions.text import name_key
+
 FIELDS = ("name", "address", "website", "description", "opening_hours")
 
 
@@ -92,6 +94,15 @@ def fill_empty(stored: DataFrame, incoming: DataFrame, fields: tuple[str, ...] =
     )
 
 
+def backfilled(stored: DataFrame) -> DataFrame:
+    """stored (name, name_key, ...) with the missing and empty name keys made from the names, and which ones (filled).
+
+    Comes before matching, so that a run that writes nothing matches by them too.
+    """
+    missing = F.coalesce("name_key", F.lit("")) == ""
+    return stored.withColumns({"filled": missing, "name_key": F.when(missing, name_key(F.col("name"))).otherwise(F.col("name_key"))})
+
+
 def get_or_create(dimension: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """dimension plus a row for each key of wanted that it lacks."""
     missing = wanted.select(key).where(F.col(key).isNotNull()).distinct().join(dimension, key, "left_anti")

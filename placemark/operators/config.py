@@ -55,7 +55,7 @@ def in_scope(cities: DataFrame, countries: tuple[str, ...] = (), names: tuple[st
     if countries:
         out = out.where(F.upper("country").isin(*[c.upper() for c in countries]))
     if names:
-        out = out.where(city_key(F.col("city")).isin(*[n.lower() for n in names]))
+        out = out.where(city_key(F.col("city")).isin(*[city_key(F.lit(n)) for n in names]))
     return out
 
 

@@ -11,6 +11,8 @@ from placemark.operators.lineage import cut
 from placemark.operators.relevance import relevance
 from placemark.sources import pages
 
+#: The order in which a report lists the categories.
+CATEGORIES = ("nightclub", "bar", "pub_brewery", "kafana", "concert_hall", "nightlife_venue", "other_nightlife")
 EVENT_STAGES = ("fetch-failed", "parse-failed", "rejected", "accepted")
 
 
@@ -128,7 +130,7 @@ def upsert_counts(planned: DataFrame) -> DataFrame:
     return planned.where("operation <> 'review'").groupBy(F.concat_ws(":", "kind", "operation").alias("key")).agg(F.count("*").alias("n"))
 
 
-def category_breakdown(found: DataFrame, categories: tuple[str, ...]) -> DataFrame:
+def category_breakdown(found: DataFrame, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
     """(position, category, n): every category in its fixed order, those nothing fell into with 0."""
     spark = found.sparkSession
     fixed = spark.createDataFrame(list(enumerate(categories)), "position int, category string")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from placemark.functions import geo, html, text, urls
 from placemark.operators import classify, config, discovery, relevance, validate
 from placemark.plans import overlay
-from placemark.plans.sql import _LAT, _LON, ORACLES, QUERIES, TAGS, _metres, _whole, query  # noqa: F401
+from placemark.plans.sql import _LAT, _LON, ORACLES, QUERIES, TAG_RESULT, TAGS, _metres, _whole, query  # noqa: F401
 from placemark.sources import pages, sitemap
 from placemark.sources.tables import table
 
@@ -159,13 +159,7 @@ def relevance_classify(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", F.concat_ws("|", F.coalesce("r.tier", F.lit("reject")), "r.reason", F.coalesce("r.keyword", F.lit(""))).alias("verdict"))
 
 
-_TAG_RESULT = [
-    "bar", "pub_brewery", "-no signal", "nightlife_venue", "nightlife_venue?", "-weak signal", "nightclub", "-disused", "-lifecycle", "-institution", "kafana", "-river boat restaurant", "other_nightlife?",
-    "concert_hall", "-no signal", "-teaching", "other_nightlife", "nightlife_venue?", "-private", "-excluded amenity", "bar", "-shop", "-lodging", "pub_brewery",
-]
-
-
-@query(f"""SELECT event_id, CASE WHEN event_type = 'error' THEN '-not in scope' ELSE ['{"', '".join(_TAG_RESULT)}'][CAST(event_id % 24 AS INTEGER) + 1] END AS verdict FROM events""")
+@query(f"""SELECT event_id, CASE WHEN event_type = 'error' THEN '-not in scope' ELSE ['{"', '".join(TAG_RESULT)}'][CAST(event_id % 24 AS INTEGER) + 1] END AS verdict FROM events""")
 def tag_classify(spark: SparkSession, d: str) -> DataFrame:
     choices = F.array(*[F.create_map(*[F.lit(x) for kv in t.items() for x in kv]) for t in TAGS])
     tags = F.when(F.col("event_type") == "error", F.create_map(F.lit("error"), F.lit("yes"))).otherwise(F.element_at(choices, (F.col("event_id") % 24 + 1).cast("int")))

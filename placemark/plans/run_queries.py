@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placemark.functions.text import name_key
-from placemark.operators import predicates, runs, snapshots
+from placemark.operators import apply, classify, config, plan, predicates, runs, snapshots
 from placemark.plans import overlay
-from placemark.plans.sql import TAGS, query
+from placemark.plans.sql import TAG_RESULT, TAGS, query
 from placemark.sources import landed
 from placemark.sources.tables import table
 from placemark.streaming import lifecycle
@@ -235,3 +236,59 @@ def run_scope(spark: SparkSession, d: str) -> DataFrame:
     seen = orders.where(k % 5 < 2).select(F.concat(F.lit("s:"), k.cast("string")).alias("key"))
     scope = orders.where(F.col("o_custkey") % 4 == 0).select(k.alias("canonical_id"))
     return snapshots.in_scope(stored, seen, scope).select("key", "kind", "frozen", "cancelled", "seen")
+
+
+# ---- reports, scope, rescues ------------------------------------------------------------
+
+_KIND_OF = "[" + ", ".join("NULL" if r.startswith("-") else f"'{r.rstrip('?')}'" for r in TAG_RESULT) + "]"
+
+
+@query(f"""WITH o(position, category) AS (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(runs.CATEGORIES))}), f AS (SELECT {_KIND_OF}[CAST(event_id % {len(TAGS)} AS INTEGER) + 1] AS category FROM events WHERE event_type = 'click')
+SELECT position, o.category, count(f.category) AS n FROM o LEFT JOIN f USING (category) GROUP BY ALL""")
+def category_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted elements by category, in the report's order, categories without any at 0."""
+    kinds = F.array(*[F.create_map(*[F.lit(x) for kv in t.items() for x in kv]) for t in TAGS])
+    rows = table(spark, d, "events").where("event_type = 'click'")
+    verdict = rows.select(classify.classified(F.element_at(kinds, (F.col("event_id") % len(TAGS) + 1).cast("int"))).alias("v"))
+    return runs.category_breakdown(verdict.where("v.accepted").select(F.col("v.category").alias("category")))
+
+
+@query("""SELECT c_custkey AS row_id, CASE WHEN c_custkey % 50 = 0 THEN 'concert_hall!' WHEN c_custkey % 3 = 1 THEN '-excluded amenity' WHEN c_custkey % 5 = 1 AND c_nationkey < 10 THEN 'nightclub!' WHEN c_custkey % 3 = 2 THEN 'bar' ELSE '-not in scope' END AS verdict FROM customer""")
+def curated_rescues(spark: SparkSession, d: str) -> DataFrame:
+    """Elements that no rule accepts, taken in by a curated table: by the object itself, past an exclusion it names, or by name within a city."""
+    k = F.col("c_custkey")
+    amenity = F.when(k % 3 == 1, "conference_centre").when(k % 3 == 2, "bar").otherwise("fountain")
+    name = F.when(k % 5 == 1, "Old Mill").otherwise(F.col("c_name"))
+    rows = table(spark, d, "customer").select(
+        k.alias("row_id"), F.concat(F.lit("node/"), k.cast("string")).alias("ref"), F.create_map(F.lit("amenity"), amenity, F.lit("name"), name).alias("tags"), F.lit("RS").alias("country"), (F.col("c_nationkey") < 10).cast("string").alias("city"),
+    )
+    # The curated table: every fiftieth object is pinned, with the exclusion it may pass; one name is rescued in one city.
+    none = F.lit(None).cast("string")
+    pinned = rows.where("row_id % 50 = 0").select(F.col("row_id").cast("int").alias("ordinal"), "country", "city", F.col("ref").alias("osm_ref"), none.alias("alias_key"), F.lit("concert_hall").alias("category"), F.lit("conference_centre").alias("allowed_amenity"))
+    named = spark.createDataFrame([(1_000_000, "RS", "true", None, "old mill", "nightclub", None)], "ordinal int, country string, city string, osm_ref string, alias_key string, category string, allowed_amenity string")
+    met = classify.with_rescues(rows, pinned.union(named))
+    v = met.select("row_id", classify.classified(F.col("tags"), F.col("rescue_category"), F.col("bypass")).alias("v"))
+    return v.select("row_id", F.when(F.col("v.accepted"), F.concat("v.category", F.when(F.col("v.rescued"), "!").otherwise(""))).otherwise(F.concat(F.lit("-"), "v.via")).alias("verdict"))
+
+
+@query("""SELECT n_nationkey AS city_id, r_name AS country FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 4 <> 0 AND r_name IN ('EUROPE', 'ASIA') AND n_nationkey < 20""")
+def city_scope(spark: SparkSession, d: str) -> DataFrame:
+    """The enabled cities a source is configured for, by country and by folded name."""
+    cities = overlay.cities(spark, d).withColumn("enabled", F.col("city_id") % 4 != 0)
+    return config.in_scope(cities, ("europe", "Asia"), tuple(f"Nation-{i} " for i in range(20))).select("city_id", "country")
+
+
+@query("""SELECT c_custkey AS venue_id, c_custkey % 3 <> 0 AS filled, CASE WHEN c_custkey % 3 = 0 THEN 'kept' ELSE trim(regexp_replace(lower(c_name), '[^a-z0-9]+', ' ', 'g')) END AS name_key FROM customer""")
+def name_backfill(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    stored = table(spark, d, "customer").select(k.alias("venue_id"), F.col("c_name").alias("name"), F.when(k % 3 == 0, "kept").when(k % 3 == 1, "").alias("name_key"))
+    return apply.backfilled(stored).select("venue_id", "filled", "name_key")
+
+
+@query(f"""WITH {_SYNC} SELECT CAST(row_number() OVER (ORDER BY CASE operation WHEN 'insert' THEN 1 WHEN 'update' THEN 2 ELSE 3 END, CAST(k AS VARCHAR)) AS INTEGER) AS position, operation, CAST(k AS VARCHAR) AS external_id FROM p WHERE operation <> 'review'
+QUALIFY position <= 100""")
+def first_upserts(spark: SparkSession, d: str) -> DataFrame:
+    """The first hundred writes of a plan, in the order they are applied."""
+    first = plan.upserts(_sync_plan(spark, d)).limit(100).select("operation", "external_id")
+    return first.withColumn("position", F.row_number().over(W.orderBy(F.array_position(F.array(*map(F.lit, plan.OPERATION_ORDER)), F.col("operation")), "external_id")))
+
