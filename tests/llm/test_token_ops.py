@@ -242,3 +242,20 @@ def test_quality_rows_one_by_one(spark):
     kept = quality.kept_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, __id int"))
     assert kept.columns == ["doc_id", "text", "lang", "__id"]
     assert Counter(r.doc_id for r in kept.collect()) == Counter([*range(40), None])
+
+
+def test_quality_of_many_languages(spark):
+    """Hundreds of languages: the groups hold what they may, and give what all languages at once give."""
+    r = random.Random(6)
+    text = lambda k: " ".join("".join(r.choices([a + b for a in "bdfgklmnprst" for b in "aeiou"][k % 20 : k % 20 + 15], k=r.randint(1, 3))) for _ in range(90))
+    rows = [(i, text(i % 200), f"l{i % 200}") for i in range(800)] + [(5000 + i, text(1), None) for i in range(5)] + [(6000, None, "none"), (6001, "", "l3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    groups = quality.language_groups(docs, 100_000)
+    assert sorted(x for g in groups for x in g) == sorted({x or "" for _, _, x in rows}) and len(groups) > 2
+    size = Counter()
+    for _, t, x in rows:
+        size[x or ""] += len(t or "")
+    assert all(sum(size[x] for x in g) <= 100_000 for g in groups)
+    assert quality.language_groups(docs.where("false")) == []
+    seen = lambda df: Counter((x.doc_id, x.n_words, x.kept, x.log10_ppl and round(x.log10_ppl, 9)) for x in df.collect())
+    assert seen(quality.judged(docs, refits=1, most=100_000)) == seen(quality.judged(docs, refits=1))
