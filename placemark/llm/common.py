@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +23,18 @@ def shared_dir(spark: SparkSession) -> str:
     if not where:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        where = tempfile.mkdtemp(prefix="placemark-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        where = _own_dir()
     return where.rstrip("/")
 
 
+@cache
+def _own_dir() -> str:
+    """One for this process, gone when it ends."""
+    where = tempfile.mkdtemp(prefix="placemark-")
+    atexit.register(shutil.rmtree, where, ignore_errors=True)
+    return where
+
+
 #: Shuffle files go with the query that wrote them, and whole texts go to Python a few at a time.
 LEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
