@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -19,5 +21,6 @@ def cut(df: DataFrame) -> DataFrame:
             if not context.master.startswith("local"):
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             where = tempfile.mkdtemp(prefix="placemark-")
+            atexit.register(shutil.rmtree, where, ignore_errors=True)
         context.setCheckpointDir(where)
     return df.checkpoint()
