@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from placemark.functions.text import name_key, tokens
 from placemark.operators import candidates, change, events, match, plan, reconcile, venues
+from placemark.operators.commit_log import CommitLog
 from placemark.operators.lineage import cut
 from placemark.operators.relevance import relevance
 from placemark.sources import pages
@@ -143,3 +144,13 @@ def observed(df: DataFrame, name: str, **counters: Column):
 
     seen = Observation(name)
     return df.observe(seen, *(c.alias(k) for k, c in counters.items())), seen
+
+
+def commit_run(log: CommitLog, after: DataFrame, parent: int, counters: DataFrame, run_id: str) -> int:
+    """Publish the table a run leaves behind, with its counters (event_counters()) as the version's note.
+
+    A failed or unhealthy run is refused before anything is written, a run that started
+    from a version that is no longer current once it is known.
+    """
+    c = counters.first().asDict()
+    return log.commit(after, parent, c.pop("status"), c.pop("healthy"), {"run_id": run_id} | c)

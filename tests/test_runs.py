@@ -6,6 +6,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from placemark.operators import config, runs
 from placemark.operators.commit_log import CommitLog, Conflict, Refused
 from placemark.streaming import lifecycle
 
@@ -125,3 +126,24 @@ def test_gate_of_the_commit(spark, tmp_path):
         with pytest.raises(Refused):
             log.commit(spark.range(1), -1, status, healthy)
     assert log.current() == -1
+
+
+def test_a_run_is_committed_with_its_counters(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path))
+    stage = lambda *n: spark.createDataFrame([(s, "primary" if s == "accepted" else None, f"s:{i}" if s == "accepted" else None) for s, k in zip(runs.EVENT_STAGES, n, strict=True) for i in range(k)], "stage string, tier string, source_key string")
+    after = spark.createDataFrame([("s:0", "title")], "source_key string, title string")
+    good = runs.event_counters(stage(1, 1, 2, 6))
+    assert runs.commit_run(log, after, -1, good, "first") == 0 and log.read().count() == 1
+    assert log.manifest(0)["note"] == {"run_id": "first", "discovered": 10, "fetch_failed": 1, "parse_failed": 1, "rejected": 2, "accepted": 6, "primary": 6, "secondary": 0, "planned_inserts": 6}
+    for bad in (stage(5, 0, 0, 5), stage(0, 3, 0, 7), stage(0, 0, 0, 0)):
+        with pytest.raises(Refused):
+            runs.commit_run(log, after, 0, runs.event_counters(bad), "bad")
+    with pytest.raises(Conflict):
+        runs.commit_run(log, after, -1, good, "late")
+    assert log.versions() == [0]
+
+
+def test_city_scope_folds_names(spark):
+    cities = spark.createDataFrame([(1, "RS", "Niš", True), (2, "RS", "Novi Sad", True), (3, "HR", "Split", True), (4, "RS", "Beograd", False)], "city_id int, country string, city string, enabled boolean")
+    chosen = lambda *a: {r.city_id for r in config.in_scope(cities, *a).collect()}
+    assert chosen() == {1, 2, 3} and chosen(("rs",)) == {1, 2} and chosen((), ("NIŠ", "novi-sad", "Beograd")) == {1, 2} and chosen(("HR",), ("Niš",)) == set()
