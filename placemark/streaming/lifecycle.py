@@ -131,7 +131,7 @@ class LifecycleStream:
     """
 
     def __init__(self, spark: SparkSession, folder: str, stored: DataFrame | None = None):
-        """stored: the rows (STORED) to begin with; needed until the first run was taken."""
+        """stored: the rows (STORED) that the first run met; the same at every start."""
         self.spark, self.folder, self.stored = spark, folder.rstrip("/"), stored
         self.log = CommitLog(spark, f"{self.folder}/runs")
 
