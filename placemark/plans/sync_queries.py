@@ -158,11 +158,13 @@ def identity_keys(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select(k.alias("event_id"), key.alias("venue_key"), events.identity_key(key, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm")).alias("identity"), cand.alias("candidate_key"))
 
 
-@query("""WITH x AS (SELECT o_orderkey AS k, date_trunc('day', o_orderdate) + INTERVAL 12 HOUR AS w, ['Europe/Belgrade', 'Europe/London', 'America/New_York', 'Asia/Tokyo'][CAST(o_orderkey % 4 AS INTEGER) + 1] AS z FROM orders)
+@query("""WITH x AS (SELECT o_orderkey AS k, date_trunc('day', o_orderdate) + to_hours(4 + o_orderkey % 20) + INTERVAL 30 MINUTE AS w, ['Europe/Belgrade', 'Europe/London', 'America/New_York', 'Asia/Tokyo'][CAST(o_orderkey % 4 AS INTEGER) + 1] AS z FROM orders)
 SELECT k AS event_id, strftime((w AT TIME ZONE z) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') AS instant, strftime(w, '%Y-%m-%dT%H:%M') AS back, FALSE AS gap FROM x""")
 def local_to_instant(spark: SparkSession, d: str) -> DataFrame:
     zone = F.element_at(F.array(*map(F.lit, ("Europe/Belgrade", "Europe/London", "America/New_York", "Asia/Tokyo"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
-    x = table(spark, d, "orders").select(F.col("o_orderkey").alias("event_id"), F.date_format("o_orderdate", "yyyy-MM-dd'T'12:00").alias("local"), zone.alias("zone"))
+    # Every hour but those that clocks skip or repeat somewhere.
+    local = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'"), F.lpad((4 + F.col("o_orderkey") % 20).cast("string"), 2, "0"), F.lit(":30"))
+    x = table(spark, d, "orders").select(F.col("o_orderkey").alias("event_id"), local.alias("local"), zone.alias("zone"))
     at = timeutil.local_to_instant(F.col("local"), F.col("zone"))
     return x.select("event_id", F.date_format(at, "yyyy-MM-dd HH:mm").alias("instant"), timeutil.instant_to_local(at, F.col("zone")).alias("back"), timeutil.in_gap(F.col("local"), F.col("zone")).alias("gap"))
 
