@@ -93,6 +93,23 @@ def test_join_prefixes_meet(percent):
                 assert all(n - common < ngram_join.prefix_length(n, percent) for n in (a, b))
 
 
+def test_join_frequent_outside_the_zone(spark, monkeypatch):
+    """A line of three words that many short texts share, and that none has in its zone, is known as frequent."""
+    monkeypatch.setattr(ngram_join, "SAMPLED", 2)
+    zone = int(ngram_join._zone(90))
+    shared = next(t for t in (f"all rights {i}" for i in range(1000)) if zone < int(next(ngram_join.each_shingles([t], 3))[0]) < 1.1 * zone)
+    rows = [(k, f"{shared} a{k} b{k}") for k in range(400)]
+    longer = [f"c{i}" for i in range(60)]
+    rows += [(1000 + k, " ".join([shared, *longer[: 60 - k]])) for k in range(8)]
+    docs = table(spark, rows)
+    often = ngram_join.frequent_shingles(ngram_join.document_sets(docs, 3, 90))
+    assert next(ngram_join.each_shingles([shared], 3))[0] in often
+    sent = ngram_join.ordered_shingles(docs, 3, 90, often)
+    assert sent.where("kind < 2").groupBy("h").count().agg({"count": "max"}).first()[0] <= 8
+    want, _ = brute_components(rows, 3, 90)
+    assert {r.doc_id: r.component_id for r in ngram_join.linked_components(docs, 3, 90).collect()} == want and want[1007] == 1000
+
+
 def test_join_short_texts(spark):
     rows = []
     for k, n in enumerate(range(8, 15)):
