@@ -52,6 +52,8 @@ HINT = re.compile(
     r"|outbrain|taboola|complementary|contentinfo)"
     r"(?:-?(?:list|box|bar|section|area|block|wrap|wrapper|container|inner|outer|left|right|top|bottom|links?|menu|main|nav|body|content|form|thread|item|panel|message|text|slot|unit|posts?|articles?|stories|\d+))*"
 )
+#: Names of an article's own header, which holds its title.
+OWN_HEADER = re.compile(r"(?:post|entry|article|story)-(?:header|head)(?:-(?:inner|wrap|wrapper|container|content))?")
 GOOD = {"article", "main"}
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Tags an open p ends at, and the tags that a repeated one of them closes.
@@ -63,7 +65,8 @@ FEATURES = ("words", "density", "words_before", "density_before", "words_after",
 
 
 def hinted(attributes: str) -> bool:
-    return any(HINT.fullmatch(word) for _, *values in _ATTR.findall(attributes) for word in "".join(values).lower().replace("_", "-").split())
+    names = [word for _, *values in _ATTR.findall(attributes) for word in "".join(values).lower().replace("_", "-").split()]
+    return any(HINT.fullmatch(word) and not OWN_HEADER.fullmatch(word) for word in names)
 
 
 class Element:

@@ -393,6 +393,8 @@ LAYOUTS = {
     f"<div class='layout has-sidebar'><article><h1>Title here</h1><p>{_WORDS}</p></article></div>": f"Title here\n\n{_WORDS}",
     f"<div class='content-sidebar-wrap'><article><p>{_WORDS}</p></article><aside class='sidebar'>other words</aside></div>": _WORDS,
     f"<article class='post no-comments'><p>{_WORDS}</p><div id='comments'><p>{_WORDS}</p><p>{_WORDS}</p></div></article>": _WORDS,
+    f"<article><header class='entry-header'><h1>Title here</h1></header><p>{_WORDS}</p></article>": f"Title here\n\n{_WORDS}",
+    f"<div class='post'><div class='post-header-inner'><h1>Title here</h1></div><p>{_WORDS}</p><div class='post-footer'>other words</div></div>": f"Title here\n\n{_WORDS}",
     f"<form id='aspnetForm'><nav><a href=/>home</a></nav><article><h1>Title here</h1><p>{_WORDS}</p></article><form><p>your name</p></form></form>": f"Title here\n\n{_WORDS}",
     f"<article><p title=don't>{_WORDS}</p><p>It's the end</p></article>": f"{_WORDS}\n\nIt's the end",
     f"<article><p>{_WORDS}<br>more <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here</p><figure><img src=a><figcaption>What it shows</figcaption></figure></article>": f"{_WORDS} more x=2 here\n\nWhat it shows",
