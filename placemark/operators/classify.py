@@ -142,14 +142,17 @@ def with_rescues(elements: DataFrame, rescues: DataFrame) -> DataFrame:
 
     rescues: ordinal, country, city, osm_ref or null, alias_key or null, category,
     allowed_amenity or null; an entry with osm_ref is met by that alone. The
-    first entry wins. The table is curated by hand, hence small enough for any plan.
+    first entry wins. Entries with osm_ref are met by it, the others by name: two
+    equi-joins, so that the table may be as large as the elements. Rows of one ref share their rescue.
     """
-    e = elements.withColumn("key", name_key(F.try_element_at("tags", F.lit("name"))))
-    same_city = (F.col("e.country") == F.col("r.country")) & (F.col("e.city") == F.col("r.city"))
-    hit = same_city & F.when(F.col("r.osm_ref").isNotNull(), F.col("r.osm_ref") == F.col("e.ref")).otherwise(F.col("r.alias_key") == F.col("e.key"))
-    joined = e.alias("e").join(rescues.alias("r"), hit, "left")
-    first = joined.groupBy("e.ref").agg(
-        F.min_by("r.category", "r.ordinal").alias("rescue_category"),
-        F.min_by("r.allowed_amenity", F.when(F.col("r.osm_ref").isNotNull(), F.col("r.ordinal"))).alias("bypass"),
+    e = elements.select("ref", "country", "city", name_key(F.try_element_at("tags", F.lit("name"))).alias("alias_key"))
+    rescues = rescues.where("ordinal is not null")
+    entry = F.struct("ordinal", "category", "allowed_amenity")
+    # Of entries that are met alike the first alone can win: one a key, before any row meets it.
+    pins = rescues.where("osm_ref is not null").groupBy("country", "city", F.col("osm_ref").alias("ref")).agg(F.min(entry).alias("pin"))
+    names = rescues.where("osm_ref is null").groupBy("country", "city", "alias_key").agg(F.min(entry).alias("name"))
+    met = e.join(pins, ["country", "city", "ref"], "left").join(names, ["country", "city", "alias_key"], "left")
+    first = met.where("pin is not null or name is not null").groupBy("ref").agg(
+        F.min(F.least("pin", "name"))["category"].alias("rescue_category"), F.min("pin")["allowed_amenity"].alias("bypass")
     )
     return elements.join(first, "ref", "left")
