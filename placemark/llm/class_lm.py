@@ -6,25 +6,29 @@ the ENDINGS most frequent among the other words, else one rest unit; the end
 token is a unit and a class of its own. Unit bigrams over all training tokens
 are summed by Spark - a table whose size the two numbers bound - and the
 exchange algorithm moves units between CLASSES classes while the class bigram
-likelihood rises. Then the other words of the table (TABLE words, the broadcast's
-bound) are exchanged one by one: Spark sums, over all training tokens, how often
-each stands before and after every class, and each word goes to the class that
-raises the likelihood most. Words beyond the table keep the class of their
-ending. Class bigrams are counted again over all training tokens.
+likelihood rises. Then every other word that occurs in training is exchanged by
+itself: Spark sums, over all training tokens, how often each stands before and
+after every class, and each word goes to the class that raises the likelihood
+most. Class bigrams are counted again over all training tokens.
+
+Texts are read twice: once to count words, once to write each as a row of codes
+(the words of the table, TABLE of them, the broadcast's bound; for other words
+that of their ending) with the words beyond the table beside it. All else works
+on the codes. Classes and counts of the table are broadcast; those of the words
+beyond it stay a table of Spark's, which the texts meet in a join, so classes
+and counts cover the whole corpus, whatever its vocabulary.
 
 P(text) = prod P(class | class before) * P(word | class), a text beginning after
 an end token. Transitions are smoothed with the class distribution. A class
 keeps as much for unseen words as it has words seen once (n1):
 P(w | c) = n(w) / (N(c) + n1(c)), and n1(c) / (N(c) + n1(c)) for an unseen word.
 
-Frequent words' counts are broadcast (TABLE entries); the rest of each text's
-words meet their counts in a join, so all counts cover the whole corpus.
-
 Defined results: a null or empty text is one end token; the held-out part is
 crc32(doc_id as text) mod 5 = 1, a null id is in training; repeated rows are
-scored row by row and counted as often as they occur; without training rows
-every word is unseen and N and V are 0; an empty table gives an empty result;
-extra columns are ignored.
+scored row by row and counted as often as they occur; a word that never occurs
+in training has no neighbours to go by and the class of its ending; without
+training rows every word is unseen and N and V are 0; an empty table gives an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemark.llm.common import stored, words_of
+from placemark.llm.common import discard, stored, words_of
 
 WORDS, ENDINGS, CLASSES, TABLE, ROUNDS = 1024, 512, 64, 60_000, 6
 
@@ -80,33 +84,86 @@ class Units:
         return [whole(w) or ending(w[-3:], rest) for w in words]
 
 
-def unit_bigrams(docs: DataFrame, shared) -> np.ndarray:
+class Codes:
+    """Numbers of words: 0 the end token, then the words of the table, then for words beyond it their endings and the rest."""
+
+    def __init__(self, units: Units, top: list[bytes]):
+        self.units, self.table = units, len(top)
+        self.number = {w: i + 1 for i, w in enumerate(top)}
+        self.endings = {e: u - 1 - len(units.words) + len(top) + 1 for e, u in units.endings.items()}
+        self.rest = 1 + len(top) + len(units.endings)
+        #: The unit of each code, and the smallest type that holds every code.
+        self.unit = np.array([0, *units.of(top), *range(1 + len(units.words), units.size)], np.int64)
+        self.kind = np.uint16 if self.rest < 1 << 16 else np.uint32
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        own, ending, rest = self.number.get, self.endings.get, self.rest
+        return np.array([own(w) or ending(w[-3:], rest) for w in words], self.kind)
+
+
+def encoded(docs: DataFrame, shared) -> DataFrame:
+    """(row, doc_id, held_out, codes, rare) of each text: codes end with the end token, rare has the words beyond the table and their places."""
+    schema = "row long, doc_id long, held_out boolean, codes binary, rare array<struct<word: binary, place: int>>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = shared.value
+        end = np.zeros(1, codes.kind).tobytes()
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            out, rare, places, cuts = [], [], [], [0]
+            for text in batch.column(2).to_pylist():
+                words = words_of(text)
+                c = codes.of(words)
+                beyond = np.flatnonzero(c > codes.table)
+                out.append(c.tobytes() + end)
+                rare += [words[i] for i in beyond.tolist()]
+                places.append(beyond)
+                cuts.append(len(rare))
+            place = pa.array(np.concatenate([np.empty(0, np.int64), *places]).astype(np.int32))
+            rows = pa.array(range(row, row + len(batch)), pa.int64())
+            row += len(batch)
+            beside = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays([pa.array(rare, pa.binary()), place], ["word", "place"]))
+            yield pa.RecordBatch.from_arrays([rows, batch.column(0), batch.column(1), pa.array(out, pa.binary()), beside], names=["row", "doc_id", "held_out", "codes", "rare"])
+
+    return docs.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(run, schema)
+
+
+def _joined(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """What a batch's rows of numbers hold, one after the other, and where each row begins (and the last ends)."""
+    cuts = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    if not len(column) or cuts[0] == cuts[-1]:
+        return np.empty(0, kind), np.zeros(len(column) + 1, np.int64)
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(column.buffers()[2][int(cuts[0]) : int(cuts[-1])], kind), (cuts - cuts[0]) // size
+
+
+def _struct_lists(column: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
+    """The row of each struct of a batch's lists, and the structs' fields."""
+    cuts = column.offsets.to_numpy()
+    held = column.values.slice(int(cuts[0]), int(cuts[-1] - cuts[0]))
+    return np.repeat(np.arange(len(column)), np.diff(cuts)), held.flatten()
+
+
+def unit_bigrams(coded: DataFrame, shared) -> np.ndarray:
     """Counts of unit pairs over all texts, each between two end tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = shared.value
-        held = np.zeros(units.size**2, np.int64)
+        codes = shared.value
+        size = codes.units.size
+        held = np.zeros(size**2, np.int64)
         for batch in batches:
-            run: list[int] = [0]
-            for t in batch.column(0).to_pylist():
-                run += units.of(words_of(t))
-                run.append(0)
-                if len(run) > 500_000:
-                    _add(held, run, units.size)
-                    run = [0]
-            _add(held, run, units.size)
+            _add(held, codes.unit[np.append(codes.kind(0), _joined(batch.column(0), codes.kind)[0])], size)
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_pydict({"pair": pa.array(at), "n": pa.array(held[at])})
 
-    summed = docs.select(F.col("text").cast("string")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    size = shared.value.size
+    summed = coded.select("codes").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    size = shared.value.units.size
     out = np.zeros(size**2)
     out[summed.column("pair").to_numpy()] = summed.column("n").to_numpy()
     return out.reshape(size, size)
 
 
-def _add(held: np.ndarray, run: list[int], size: int) -> None:
-    a = np.array(run)
+def _add(held: np.ndarray, a: np.ndarray, size: int) -> None:
     pair, n = np.unique(a[:-1] * size + a[1:], return_counts=True)
     held[pair] += n
 
@@ -166,104 +223,121 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
 
 
 class Classes:
-    """Classes of words: those of the table have their own, others that of their unit."""
-
-    def __init__(self, units: Units, cls: np.ndarray, top: list[bytes]):
-        self.units, self.cls = units, cls
-        self.number = {w: i for i, w in enumerate(top)}
-        self.own = cls[np.array(units.of(top), np.int64)] if top else np.empty(0, np.int64)
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """The words' places in the table, -1 beyond it."""
-        get = self.number.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-
-    def of(self, words: list[bytes], at: np.ndarray | None = None) -> np.ndarray:
-        at = self.numbers(words) if at is None else at
-        out = self.own[at] if len(self.own) else np.zeros(len(words), np.int64)
-        beyond = np.flatnonzero(at < 0)
-        if len(beyond):
-            out[beyond] = self.cls[np.array(self.units.of([words[i] for i in beyond]), np.int64)]
+    """Classes of words: those of the table are held, the other training words' asked from Spark, which keeps them; words of neither have that of their unit."""
+
+    def __init__(self, codes: Codes, cls: np.ndarray):
+        self.codes, self.units, self.number, self.cls = codes, codes.units, codes.number, cls
+        self.own = cls[codes.unit]  # by code
+        self.rare: DataFrame | None = None
+        self.seen: dict[bytes, int] = {}
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """For a few words at a time: a query on the driver. Texts get theirs by join."""
+        code = self.codes.of(words)
+        out = self.own[code]
+        asked = {words[i] for i in np.flatnonzero(code > self.codes.table)}
+        new = [F.lit(bytearray(w)) for w in asked - self.seen.keys()]
+        if new and self.rare is not None:
+            found = {bytes(r.word): r.c for r in self.rare.where(F.col("word").isin(new)).collect()}
+            self.seen.update({w: found.get(w, -1) for w in asked - self.seen.keys()})
+        for i, w in enumerate(words):
+            if self.seen.get(w, -1) >= 0:
+                out[i] = self.seen[w]
         return out
 
 
-def contexts(docs: DataFrame, shared) -> DataFrame:
-    """(word, near): for each word of the table beyond the units' how often each class stands before it (0 to CLASSES) and after it (from CLASSES on)."""
+def contexts(coded: DataFrame, shared) -> DataFrame:
+    """(word, near): for each code of a table word beyond the units' how often each class stands before it (0 to CLASSES) and after it (from CLASSES on)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = shared.value
-        held = np.zeros(len(classes.number) * 2 * CLASSES, np.int32)
-
-        def add(words: list[bytes], ends: list[int]) -> None:
-            at = classes.numbers(words)
-            c = classes.of(words, at)
-            at[ends], c[ends] = -1, 0  # the end tokens
-            i = np.flatnonzero(at[1:-1] >= len(classes.units.words)) + 1
-            code = np.concatenate([at[i] * 2 * CLASSES + c[i - 1], at[i] * 2 * CLASSES + CLASSES + c[i + 1]])
-            code, n = np.unique(code, return_counts=True)
-            held[code] += n.astype(np.int32)
-
-        words: list[bytes] = [b""]
-        ends = [0]
+        codes, own = shared.value
+        width = 2 * CLASSES
+        held = np.zeros((codes.table + 1) * width, np.int32)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                words += words_of(t)
-                ends.append(len(words))
-                words.append(b"")
-                if len(words) > 400_000:
-                    add(words, ends)
-                    words, ends = [b""], [0]
-        add(words, ends)
+            at = np.append(codes.kind(0), _joined(batch.column(0), codes.kind)[0]).astype(np.int64)
+            c = own[at]
+            i = np.flatnonzero((at > len(codes.units.words)) & (at <= codes.table))
+            code, n = np.unique(np.concatenate([at[i] * width + c[i - 1], at[i] * width + CLASSES + c[i + 1]]), return_counts=True)
+            held[code] += n.astype(np.int32)
         at = np.flatnonzero(held)
         for k in range(0, len(at), 1_000_000):
             part = at[k : k + 1_000_000]
             yield pa.RecordBatch.from_pydict({"code": pa.array(part), "n": pa.array(held[part].astype(np.int64))})
 
-    summed = docs.select(F.col("text").cast("string")).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    summed = coded.select("codes").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     width = 2 * CLASSES
     return summed.groupBy(F.expr(f"code div {width}").alias("word")).agg(F.collect_list(F.struct((F.col("code") % width).alias("near"), "n")).alias("near"))
 
 
-def placed(near: DataFrame, moves: np.ndarray) -> list[tuple[int, int]]:
-    """(word, class) of each word: the class in which its neighbours raise the class bigram likelihood most."""
+def rare_contexts(coded: DataFrame, shared) -> DataFrame:
+    """(word, near): for each word beyond the table how often each pair of classes (before * CLASSES + after) stands around it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, own = shared.value
+        for batch in batches:
+            at, cuts = _joined(batch.column(0), codes.kind)
+            c = own[np.append(codes.kind(0), at)]
+            row, (word, place) = _struct_lists(batch.column(1))
+            i = cuts[row] + place.to_numpy()  # the word's own place in c is i + 1
+            yield pa.RecordBatch.from_arrays([word, pa.array((c[i] * CLASSES + c[i + 2]).astype(np.int32))], names=["word", "near"])
+
+    # Counted first: a word's list is no longer than there are pairs of classes.
+    counted = coded.select("codes", "rare").mapInArrow(run, "word binary, near int").groupBy("word", "near").agg(F.count("*").alias("n"))
+    return counted.groupBy("word").agg(F.collect_list(F.struct("near", "n")).alias("near"))
+
+
+def _odds(moves: np.ndarray) -> np.ndarray:
+    """What a class before (0 to CLASSES) or after (from CLASSES on) speaks for each class of a word."""
     table = moves + 0.1
     odds = np.log(table) - np.log(table.sum(1, keepdims=True)) - np.log(table.sum(0, keepdims=True))
-    gain = np.concatenate([odds, odds.T])  # by the class before, then by the class after
+    return np.concatenate([odds, odds.T])
+
+
+def placed(near: DataFrame, moves: np.ndarray) -> DataFrame:
+    """(word, n, c) of each word: how often it occurs, and the class in which its neighbours raise the class bigram likelihood most.
+
+    near: codes from 0 to 2 * CLASSES of one neighbour each for words that are numbers, of both for words that are bytes.
+    """
+    both = dict(near.dtypes)["word"] == "binary"
+    # The end token's class 0 is a neighbour, never a place.
+    gain = _odds(moves)[:, 1:]
+    if both:
+        gain = (gain[:CLASSES, None] + gain[None, CLASSES:]).reshape(CLASSES * CLASSES, -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(1)
-            cuts, values = lists.offsets.to_numpy(), lists.values
-            code, n = values.field(0).to_numpy(), values.field(1).to_numpy()
-            row = np.repeat(np.arange(len(batch)), np.diff(cuts))
-            code, n = code[cuts[0] : cuts[-1]], n[cuts[0] : cuts[-1]]
-            counts = np.zeros((len(batch), 2 * CLASSES))
-            np.add.at(counts, (row, code), n)
-            # The end token's class 0 is a neighbour, never a place.
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((counts @ gain[:, 1:]).argmax(1) + 1)], names=["word", "c"])
+            row, (code, n) = _struct_lists(batch.column(1))
+            code, n = code.to_numpy(), n.to_numpy()
+            starts = np.searchsorted(row, np.arange(len(batch) + 1))
+            at = 0
+            while at < len(batch):  # so many neighbours at a time
+                end = max(at + 1, int(np.searchsorted(starts, starts[at] + 50_000, side="right")) - 1)
+                cut, first = slice(starts[at], starts[end]), starts[at:end] - starts[at]
+                best = np.add.reduceat(gain[code[cut]] * n[cut, None], first, axis=0).argmax(1) + 1
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), pa.array(np.add.reduceat(n[cut], first)), pa.array(best)], names=["word", "n", "c"])
+                at = end
 
-    return [(r.word, r.c) for r in near.mapInArrow(run, "word long, c long").toLocalIterator()]
+    return near.mapInArrow(run, f"word {'binary' if both else 'long'}, n long, c long")
 
 
-def class_moves(docs: DataFrame, shared) -> np.ndarray:
+def class_moves(classed: DataFrame) -> np.ndarray:
     """Counts of class pairs over all texts, each between two end tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, held = shared.value, np.zeros(CLASSES * CLASSES, np.int64)
+        held = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                c = np.concatenate([[0], classes.of(words_of(t)), [0]])
-                held += np.bincount(c[:-1] * CLASSES + c[1:], minlength=CLASSES * CLASSES)
+            c = np.append(np.uint8(0), _joined(batch.column(0), np.uint8)[0]).astype(np.int64)
+            held += np.bincount(c[:-1] * CLASSES + c[1:], minlength=CLASSES * CLASSES)
         yield pa.RecordBatch.from_pydict({"pair": pa.array(range(len(held)), pa.int64()), "n": pa.array(held)})
 
     out = np.zeros(CLASSES * CLASSES)
-    for r in docs.select(F.col("text").cast("string")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    for r in classed.select("classes").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         out[r.pair] = r.n
     return out.reshape(CLASSES, CLASSES)
 
 
-def class_model(vocabulary: DataFrame, docs: DataFrame, n_docs: int, tokens: int, types: int, table: int) -> dict:
-    """Everything that scoring needs, all bounded by parameters."""
+def class_model(vocabulary: DataFrame, docs: DataFrame, table: int) -> dict:
+    """The texts in codes, the classes of all training words, and the table's counts; what is broadcast is bounded by parameters."""
     columns = vocabulary.orderBy(F.desc("n"), "word").limit(table).toArrow()
     top = list(zip(columns.column("word").to_pylist(), columns.column("n").to_pylist(), strict=True))
     words = [w for w, _ in top[:WORDS]]
@@ -271,36 +345,65 @@ def class_model(vocabulary: DataFrame, docs: DataFrame, n_docs: int, tokens: int
     least = top[len(words) - 1] if words else None
     others = vocabulary.where(F.lit(False)) if least is None else vocabulary.where((F.col("n") < least[1]) | ((F.col("n") == least[1]) & (F.col("word") > F.lit(bytearray(least[0])))))
     endings = [bytes(r.e) for r in others.groupBy(ending.alias("e")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "e").limit(ENDINGS).collect()]
-    units = Units(words, endings)
+    codes = Codes(Units(words, endings), [w for w, _ in top])
     context = docs.sparkSession.sparkContext
-    pairs = unit_bigrams(docs, context.broadcast(units))
-    cls = exchange(pairs)
-    member = np.zeros((units.size, CLASSES))
-    member[np.arange(units.size), cls] = 1
-    classes = Classes(units, cls, [w for w, _ in top])
+    shared = context.broadcast(codes)
+    coded = stored(encoded(docs, shared), "lm-codes")
+    training = coded.where("not held_out")
+    pairs = unit_bigrams(training, shared)
+    classes = Classes(codes, exchange(pairs))
+    member = np.zeros((codes.units.size, CLASSES))
+    member[np.arange(codes.units.size), classes.cls] = 1
+    moves = member.T @ pairs @ member
+    # Words are exchanged one by one against the classes they start in, those of their units.
+    start = context.broadcast((codes, classes.own.copy()))
+    classes.rare = stored(placed(rare_contexts(training, start), moves), "lm-rare")
     if len(top) > len(words):
-        for word, c in placed(contexts(docs, context.broadcast(classes)), member.T @ pairs @ member):
-            classes.own[word] = c
-    shared = context.broadcast(classes)
-    moves = class_moves(docs, shared)
-
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(CLASSES, np.int64)
-        for batch in batches:
-            held += np.bincount(shared.value.of(batch.column(0).to_pylist()), minlength=CLASSES) if len(batch) else 0
-        yield pa.RecordBatch.from_pydict({"c": pa.array(range(CLASSES), pa.int64()), "n": pa.array(held)})
-
-    singles = np.zeros(CLASSES)
-    for r in vocabulary.where("n = 1").select("word").mapInArrow(once, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).collect():
-        singles[r.c] = r.n
-    share = (moves.sum(0) + 0.5) / (moves.sum() + 0.5 * CLASSES)
-    step = (moves + CLASSES * share) / (moves.sum(1, keepdims=True) + CLASSES)
+        for r in placed(contexts(training, start), moves).select("word", "c").toLocalIterator():
+            classes.own[r.word] = r.c
+    return {"classes": classes, "coded": coded, "n": np.array([n for _, n in top], np.int64)}
+
+
+def classed(model: dict, n_docs: int, base: float) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, held_out, n_tokens, known, base, part, classes) of each text, the part still without transitions and class sizes; and what the classes keep for unseen words."""
+    classes, n = model["classes"], model["n"]
+    codes, coded = classes.codes, model["coded"]
+    singles = np.bincount(classes.own[1 : len(n) + 1][n == 1], minlength=CLASSES).astype(np.float64)
+    for r in classes.rare.where("n = 1").groupBy("c").agg(F.count("*").alias("n")).collect():
+        singles[r.c] += r.n
     spare = np.maximum(singles, 1.0)
     spare[0] = 1.0 if not n_docs else 1e-9  # the end token is never unseen once trained
-    return {
-        "classes": classes, "step": np.log10(step), "mass": np.log10(moves.sum(0) + spare), "spare": np.log10(spare),
-        "n": np.array([n for _, n in top], np.float64), "base": np.log10(tokens + 0.5 * (types + 1)), "n_docs": n_docs,
-    }
+    # What each code adds; words beyond the table count as unseen until they meet their row of rare.
+    beyond = len(codes.unit) - 1 - len(n)
+    known = np.concatenate([[int(n_docs > 0)], np.ones(len(n), np.int64), np.zeros(beyond, np.int64)])
+    log_base = np.log10(np.concatenate([[n_docs], n, np.zeros(beyond)]) + 0.5) - base
+    log_n = np.log10(np.concatenate([[n_docs or spare[0]], n, spare[classes.own[len(n) + 1 :]]]))
+    shared = coded.sparkSession.sparkContext.broadcast((codes.kind, classes.own.astype(np.uint8), known, log_base, log_n, np.log10(spare)))
+    found = coded.select("row", F.inline("rare")).join(classes.rare, "word").groupBy("row").agg(F.collect_list(F.struct("place", "n", "c")).alias("found"))
+    none = F.array().cast("array<struct<place: int, n: bigint, c: bigint>>")
+    met = coded.drop("rare").join(found, "row", "left").select("doc_id", "held_out", "codes", F.coalesce("found", none).alias("found"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, own, known, log_base, log_n, log_spare = shared.value
+        for batch in batches:
+            if not len(batch):
+                continue
+            at, cuts = _joined(batch.column(2), kind)
+            c = own[at]
+            row, (place, n, rare_c) = _struct_lists(batch.column(3))
+            i, n = cuts[row] + place.to_numpy(), n.to_numpy()
+            more = lambda x: np.bincount(row, x, len(batch))  # noqa: B023, E731
+            summed = lambda x: np.add.reduceat(x[at], cuts[:-1])  # noqa: B023, E731
+            tokens = np.diff(cuts)
+            b = summed(log_base) + more(np.log10(n + 0.5) - np.log10(0.5))
+            part = summed(log_n) + more(np.log10(n) - log_spare[c[i]])
+            seen = summed(known) + np.bincount(row, minlength=len(batch))
+            c[i] = rare_c.to_numpy()
+            raw = [c[x:y].tobytes() for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, (tokens, seen, b, part)), pa.array(raw, pa.binary())], names=names)
+
+    names = ["doc_id", "held_out", "n_tokens", "known", "base", "part", "classes"]
+    return stored(met.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, known long, base double, part double, classes binary"), "lm-classes"), spare
 
 
 def scored(docs: DataFrame, table: int = TABLE) -> DataFrame:
@@ -311,58 +414,24 @@ def scored(docs: DataFrame, table: int = TABLE) -> DataFrame:
     n_docs = training.count()
     n, v = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     tokens, types = n + n_docs, v + (n_docs > 0)
-    shared = docs.sparkSession.sparkContext.broadcast(class_model(vocabulary, training, n_docs, tokens, types, table))
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, part double, rare array<struct<word: binary, k: long, spare: double>>"
+    model = class_model(vocabulary, docs, table)
+    parts, spare = classed(model, n_docs, np.log10(tokens + 0.5 * (types + 1)))
+    discard(vocabulary, model["coded"])
+    moves = class_moves(parts.where("not held_out"))
+    share = (moves.sum(0) + 0.5) / (moves.sum() + 0.5 * CLASSES)
+    step = np.log10((moves + CLASSES * share) / (moves.sum(1, keepdims=True) + CLASSES))
+    # A class's size counts at every word of it, with the step that leads there.
+    shared = docs.sparkSession.sparkContext.broadcast((step - np.log10(moves.sum(0) + spare)).ravel())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        classes, step, mass, spare, base = (m[k] for k in ("classes", "step", "mass", "spare", "base"))
-        row = TaskContext.get().partitionId() << 40
-        end_n = m["n_docs"]
-        end_known, end_base = int(end_n > 0), np.log10(end_n + 0.5) - base
-        end_part = (np.log10(end_n) if end_n else spare[0]) - mass[0]
-        # What a word of the table adds to the part and to the base; the last entry is for words beyond it.
-        log_n, log_base = (np.append(x, 0.0) for x in (np.log10(m["n"]), np.log10(m["n"] + 0.5) - base))
-        unseen = np.log10(0.5) - base
+        steps = shared.value
         for batch in batches:
-            out = []
-            for doc_id, text, held in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                words = words_of(text)
-                at = classes.numbers(words)
-                own = classes.of(words, at)
-                c = np.concatenate([[0], own, [0]])
-                part = float(step[c[:-1], c[1:]].sum() - mass[own].sum() + end_part + log_n[at].sum())
-                beyond = np.flatnonzero(at < 0).tolist()
-                known, b = end_known + len(words) - len(beyond), end_base + float(log_base[at].sum()) + unseen * len(beyond)
-                rare = [{"word": w, "k": k, "spare": s} for (w, s), k in Counter((words[i], float(spare[own[i]])) for i in beyond).items()]
-                out.append((row, doc_id, held, len(words) + 1, known, float(b), float(part), rare))
-                row += 1
-                if len(out) == 500:
-                    yield batch_of(out)
-                    out = []
-            yield batch_of(out)
-
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64()), ("spare", pa.float64())]))]
-
-    def batch_of(out: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) if out else [[]] * 8
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "part", "rare"])
-
-    parts = stored(docs.select(F.col("doc_id").cast("long"), "text", "held_out").mapInArrow(run, schema), "lm-parts")
-    # Words beyond the table meet their counts; most of them are in few texts.
-    rare = parts.select("row", F.inline("rare")).join(vocabulary.withColumnRenamed("n", "c"), "word", "left")
-    seen = F.col("c").isNotNull()
-    unseen = F.log10(F.lit(0.5))
-    rest = rare.groupBy("row").agg(
-        F.sum(F.when(seen, F.col("k")).otherwise(0)).alias("more"),
-        F.sum(F.when(seen, F.col("k") * (F.log10(F.col("c") + 0.5) - unseen)).otherwise(0.0)).alias("more_base"),
-        F.sum(F.col("k") * F.coalesce(F.log10("c"), "spare")).alias("more_part"),
-    )
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-    return parts.join(rest, "row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("more_base")).alias("base_score"),
-        (F.col("part") + zero("more_part")).alias("score"),
-    )
+            if not len(batch):
+                continue
+            c, cuts = _joined(batch.column(6), np.uint8)
+            c = np.append(np.uint8(0), c).astype(np.int64)
+            score = batch.column(5).to_numpy() + np.add.reduceat(steps[c[:-1] * CLASSES + c[1:]], cuts[:-1])
+            train = pa.array(np.full(len(batch), tokens), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], train, batch.column(4), pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return parts.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -310,6 +310,34 @@ def test_class_lm_score(spark, corpus, monkeypatch):
     assert Counter((r.doc_id, round(r.score, 6)) for r in got) == want
 
 
+def test_class_lm_rare(spark, corpus, monkeypatch):
+    """Words beyond the table are exchanged too: each goes where its neighbours speak for it most, not where its ending is."""
+    monkeypatch.setattr(class_lm, "WORDS", 12)
+    monkeypatch.setattr(class_lm, "ENDINGS", 6)
+    held: dict = {}
+    whole = class_lm.class_model
+    monkeypatch.setattr(class_lm, "class_model", lambda *a: held.setdefault("model", whole(*a)))
+    class_lm.scored(table(spark, corpus), table=30).count()
+    classes, words = held["model"]["classes"], lambda t: (t or "").encode().lower().split()
+    training = [words(t) for i, t in corpus if i is None or zlib.crc32(str(i).encode()) % 5 != 1]
+    beyond = sorted({w for t in training for w in t} - classes.number.keys())
+    first = lambda ws: classes.cls[classes.units.of(ws)] if ws else np.empty(0, int)
+    k = class_lm.CLASSES
+    moves, near = np.zeros((k, k)), {w: np.zeros((2, k)) for w in beyond}
+    for t in training:
+        c = [0, *first(t).tolist(), 0]
+        np.add.at(moves, (c[:-1], c[1:]), 1)
+        for i, w in enumerate(t):
+            if w in near:
+                near[w][0, c[i]] += 1
+                near[w][1, c[i + 2]] += 1
+    odds = np.log(moves + 0.1) - np.log((moves + 0.1).sum(1, keepdims=True)) - np.log((moves + 0.1).sum(0, keepdims=True))
+    gain = lambda w: (near[w][0] @ odds + near[w][1] @ odds.T)[1:]
+    got = classes.of(beyond)
+    assert len(beyond) > 100 and all(math.isclose(gain(w)[c - 1], gain(w).max(), rel_tol=1e-9) for w, c in zip(beyond, got, strict=True))
+    assert (got != first(beyond)).any() and classes.of([b"never seen"]).tolist() == first([b"never seen"]).tolist()
+
+
 def test_class_lm_units():
     assert class_lm.WORDS >= 1024 and class_lm.ENDINGS >= 512
 
