@@ -69,7 +69,9 @@ def _fetched(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     kind = F.when(k % 4 == 0, " eventcat-koncert").when(k % 4 == 1, " eventcat-stand-up").when(k % 4 == 2, " eventcat-sport").otherwise("")
     page = part(F.when(k % 7 == 0, "").otherwise(part("<title>", title, " | Site</title>")), "<body class='postid-", key, kind, "'>", box, "</body>")
     towns = table(spark, d, "nation").select("n_nationkey", "n_name")
-    people = table(spark, d, "customer").join(towns, F.col("c_nationkey") == F.col("n_nationkey"))
+    # One small file is one task: rows are dealt out before pages are made and parsed.
+    dealt = table(spark, d, "customer").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
+    people = dealt.join(towns, F.col("c_nationkey") == F.col("n_nationkey"))
     fetched = people.select(key.alias("url"), (k % 23 != 0).alias("fetched"), F.when(k % 23 != 0, page).alias("html"))
     return people, fetched
 

@@ -147,3 +147,13 @@ def test_city_scope_folds_names(spark):
     cities = spark.createDataFrame([(1, "RS", "Niš", True), (2, "RS", "Novi Sad", True), (3, "HR", "Split", True), (4, "RS", "Beograd", False)], "city_id int, country string, city string, enabled boolean")
     chosen = lambda *a: {r.city_id for r in config.in_scope(cities, *a).collect()}
     assert chosen() == {1, 2, 3} and chosen(("rs",)) == {1, 2} and chosen((), ("NIŠ", "novi-sad", "Beograd")) == {1, 2} and chosen(("HR",), ("Niš",)) == set()
+
+
+def test_pages_of_one_file_are_dealt_out(spark, tmp_path):
+    """Pages are made and parsed in as many tasks as the session has, though their table is one small file."""
+    from placemark.plans import run_queries
+
+    spark.range(50).selectExpr("id as c_custkey", "'Customer' as c_name", "cast(id % 2 as int) as c_nationkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(2).selectExpr("cast(id as int) as n_nationkey", "'town' as n_name").coalesce(1).write.parquet(f"{tmp_path}/nation.parquet")
+    _, fetched = run_queries._fetched(spark, str(tmp_path))
+    assert fetched.count() == 50 and fetched.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
