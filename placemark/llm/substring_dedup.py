@@ -23,6 +23,11 @@ What the windows of a coarse cell share, its core of length + 1 - widths[0] byte
 is a shorter repeat by itself where two places hold it. These are told as well,
 though nothing is removed for them: a lower bound of what repeats below length.
 
+Passages of words that other rows hold too are told apart from this, and nothing is
+removed for them either: each window of PASSAGE words has the least of its runs of
+RUN words as its anchor, in the same way, and an anchor counts if another row has
+it. So every shared passage of PASSAGE words is told, and none of less than RUN.
+
 Defined results: null and empty texts keep nothing and lose nothing (n_bytes 0);
 repeated rows are repetitions of each other; a null doc_id is an id of its own;
 overlapping matches merge; texts shorter than length are kept; an empty table
@@ -32,6 +37,7 @@ gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import sha256
 
 import numpy as np
@@ -41,9 +47,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placemark.llm.common import discard, meet, multiplied, one_of_equal, row_key, stored
-from placemark.llm.hashing import in_runs, mix
+from placemark.llm.hashing import in_runs, mix, word_hashes
 
 LENGTH, GRAM = 400, 16
+#: Words of a passage that is told if other rows have it, and of the run in it that they are met by.
+PASSAGE, RUN = 50, 35
 #: Cells of the anchor's offset, from coarse to single windows; the kinds of contexts a group may have.
 WIDTHS, GROUP = (200, 25, 1), 4096
 #: Multikey quicksort compares so many bytes as one character, to this depth.
@@ -65,26 +73,27 @@ def _powers(step: int, n: int) -> np.ndarray:
 
 
 class Hashes:
-    """Hashes of any stretch of a byte string from its prefix sums."""
+    """Hashes of any stretch of a byte string, or of a row of word hashes, from its prefix sums."""
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes | np.ndarray):
+        values = _BYTE[np.frombuffer(raw, np.uint8)] if isinstance(raw, bytes) else raw
         self.inverse = _powers(pow(_STEP, -1, 1 << 64), len(raw) + 1)
         self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[np.frombuffer(raw, np.uint8)] * _powers(_STEP, len(raw) + 1)[: len(raw)], out=self.sums[1:])
+        np.cumsum(values * _powers(_STEP, len(raw) + 1)[: len(raw)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.inverse[start]
 
 
-def anchors(h: Hashes, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(h: Hashes, starts: np.ndarray, ends: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, first, last): the windows that begin from first to last have that anchor; texts lie at starts:ends."""
-    size, width = int(ends[-1]), length - GRAM + 1
+    size, width = int(ends[-1]), length - gram + 1
     counts = np.maximum(ends - starts - length + 1, 0)
     none = np.empty(0, np.int64)
     if not counts.sum():
         return none, none, none
-    at = np.arange(size - GRAM + 1)
-    key = (mix(h.of(at, at + GRAM)) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    at = np.arange(size - gram + 1)
+    key = (mix(h.of(at, at + gram)) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
     n = -(-len(key) // width) * width
     key = np.concatenate([key, np.full(n - len(key), np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, width)
     before = np.minimum.accumulate(key, axis=1).ravel()
@@ -339,6 +348,21 @@ def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _merged_rows(spans: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists of (first, last, of) of n rows -> of * n + row in order, first and last of each run of a row and kind;
+    the last of a window (of 0) is where its last window of length begins."""
+    n, flat = len(spans), spans.flatten()
+    first, last, of = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
+    last = last + (of == 0) * (length - 1)
+    own = of * n + np.repeat(np.arange(n), spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    order = np.lexsort((first, own))
+    own, far = own[order], int(last.max(initial=0)) + 2
+    first, last = first[order] + own * far, np.maximum.accumulate(last[order] + own * far)
+    new = np.concatenate([[True], first[1:] > last[:-1] + 1])[: len(own)]
+    own, first, last = own[new], first[new], last[np.append(new[1:], True)[: len(new)]]
+    return own, first - own * far, last - own * far
+
+
 def _resolved(length: int):
     """Contexts in the order of their keys -> the runs of windows of each that others share."""
 
@@ -409,33 +433,74 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, widths: tuple[int, .
     return spans, cores
 
 
+def _word_runs(passage: int, run_words: int):
+    """rid, text, copies -> rid, key, first word and whether other rows have the text: the anchors of its passages of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rids, texts, done = batch.column(0).to_numpy(zero_copy_only=False), [_raw(t) for t in batch.column(1).to_pylist()], 0
+            copies = batch.column(2).to_numpy(zero_copy_only=False) > 1
+            for group in in_runs(texts):
+                words = word_hashes(group)
+                ids, more = rids[done : done + len(group)], copies[done : done + len(group)]
+                done += len(group)
+                sizes = np.array([len(w) for w in words], np.int64)
+                if sizes.max() < passage:
+                    continue
+                ends, h = np.cumsum(sizes), Hashes(np.concatenate(words))
+                starts = ends - sizes
+                at = np.unique(anchors(h, starts, ends, passage, run_words)[0])
+                own = np.searchsorted(ends, at, side="right")
+                key = mix(h.of(at, at + run_words)).view(np.int64)
+                columns = pa.array(ids[own], pa.int64()), pa.array(key), pa.array((at - starts[own]).astype(np.int32)), pa.array(more[own])
+                yield pa.RecordBatch.from_arrays(list(columns), names=["rid", "key", "first", "again"])
+
+    return run
+
+
+def shared_words(docs: DataFrame, passage: int = PASSAGE, run_words: int = RUN) -> DataFrame:
+    """(rid, first, last): the first and last word of the runs of run_words words that other rows have too; of
+    every passage of so many words that two rows share at least one is told. docs: rid, text, copies, one row a rid."""
+    rows = stored(docs.select("rid", "text", "copies").mapInArrow(_word_runs(passage, run_words), "rid long, key long, first int, again boolean"), "passages")
+    keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("rid").alias("least"), F.max("rid").alias("most"), F.max("again").alias("again"))
+    keys = stored(keys.where("again or least < most").select("key", "n"), "passages-keys")
+    met = meet(rows, keys, ["key"]).select("rid", "first", (F.col("first") + run_words - 1).alias("last"))
+    met = stored(met, "passages-met")
+    discard(rows, keys)
+    return met
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **parameters) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256 and n_core_bytes (bytes in cores found elsewhere too) of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256, n_core_bytes (bytes in cores found elsewhere too)
+    and n_shared_words (words in runs that other rows have too) of every row."""
     own = docs.select(row_key().alias("rid"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
     once = one_of_equal(own, "windows-copies")
+    words = shared_words(once)
     spans, cores = repeated_windows(once, length, **parameters)
-    spans = spans.withColumn("core", F.lit(False)).unionByName(cores.withColumn("core", F.lit(True)))
-    spans = spans.groupBy("rid").agg(F.collect_list(F.struct("first", "last", "core")).alias("spans"))
+    spans = reduce(DataFrame.unionByName, [x.select("rid", "first", "last", F.lit(k).alias("of")) for k, x in enumerate((spans, cores, words))])
+    spans = spans.groupBy("rid").agg(F.collect_list(F.struct("first", "last", "of")).alias("spans"))
     schema = docs.select("doc_id").schema
-    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept", "binary"), ("kept_sha256", "string"), ("n_core_bytes", "long")):
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept", "binary"), ("kept_sha256", "string"), ("n_core_bytes", "long"), ("n_shared_words", "long")):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                raw = _raw(text)
-                runs = _merged([(s["first"], s["last"] + length - 1) for s in found or () if not s["core"]])
-                cores = _merged([(s["first"], s["last"]) for s in found or () if s["core"]])
-                kept, at = [], 0
-                for a, b in runs:
+            n, out = batch.num_rows, []
+            own, first, last = _merged_rows(batch.column(2), length)
+            counts = np.bincount(own, last - first + 1, 3 * n).astype(np.int64).reshape(3, n)
+            cuts = np.searchsorted(own, np.arange(n + 1))
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                raw, at, kept = _raw(text), 0, []
+                for a, b in zip(first[cuts[k] : cuts[k + 1]].tolist(), last[cuts[k] : cuts[k + 1]].tolist(), strict=True):
                     kept.append(raw[at:a])
                     at = b + 1
                 left = b"".join([*kept, raw[at:]])
-                out.append((len(raw), len(raw) - len(left), len(runs), left, sha256(left).hexdigest(), sum(b - a + 1 for a, b in cores)))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 6
-            kinds = [pa.int64()] * 3 + [pa.binary(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), batch.column(3)], names=schema.names)
-
-    told = once.join(spans, "rid", "left").select("doc_id", "text", "spans", "copies").mapInArrow(run, schema.add("copies", "long"))
-    return multiplied(told, F.col("copies")).drop("copies")
+                out.append((len(raw), len(raw) - len(left), len(kept), left, sha256(left).hexdigest()))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            kinds = [pa.int64()] * 3 + [pa.binary(), pa.string()]
+            more = pa.array(counts[1]), pa.array(counts[2]), batch.column(3)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *more], names=schema.names)
+
+    schema = schema.add("copies", "long")
+    told = once.join(spans, "rid", "left").select("doc_id", "text", "spans", "copies")
+    return multiplied(told, F.col("copies"), lambda rows: rows.mapInArrow(run, schema)).drop("copies")

@@ -199,6 +199,33 @@ def test_substring_cores(spark, corpus):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows, 400)
 
 
+def test_substring_shared_words(spark, corpus):
+    """Every passage of 50 words that another row holds is told, also below 400 bytes; none within one row alone, or below 35 words."""
+    r = random.Random(23)
+    some = lambda n: " ".join("".join(r.choices("abcdefghij", k=r.randint(2, 5))) for _ in range(n))
+    shared, own, brief = (" ".join(some(1) for _ in range(n)) for n in (51, 60, 34))
+    rows = [(700 + k, f"{some(r.randint(5, 300))} {shared}\n{some(r.randint(5, 300))}") for k in range(40)]
+    rows += [(800, f"{own} {some(80)} {own}"), (801, f"{some(70)} {brief} {some(70)}"), (802, f"{some(70)} {brief} {some(70)}"), (803, some(400))]
+    rows += [(804, own := some(90)), (804, own)] + corpus
+    words = [(t or "").encode().split() for _, t in rows]
+    holders: list = [{}, {}]
+    for size, held in zip((substring_dedup.PASSAGE, substring_dedup.RUN), holders, strict=True):
+        for k, w in enumerate(words):
+            for x in range(len(w) - size + 1):
+                held.setdefault(tuple(w[x : x + size]), set()).add(k)
+    want = {}
+    for (i, t), w in zip(rows, words, strict=True):
+        long_, most = ({p for x in range(len(w) - size + 1) if len(held[tuple(w[x : x + size])]) > 1 for p in range(x, x + size)} for size, held in zip((substring_dedup.PASSAGE, substring_dedup.RUN), holders, strict=True))
+        want.setdefault((i, len((t or "").encode())), []).append((len(long_) > 0, len(most)))
+    got = substring_dedup.remove_repeats(table(spark, rows)).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        assert any((x.n_shared_words > 0 or not told) and x.n_shared_words <= most for told, most in want[x.doc_id, x.n_bytes])
+    by = {x.doc_id: x for x in got}
+    assert all(by[700 + k].n_shared_words >= 35 and by[700 + k].n_removed == 0 for k in range(40))
+    assert [by[i].n_shared_words for i in (800, 801, 802, 803)] == [0] * 4 and by[804].n_shared_words >= 50
+
+
 def test_row_keys_differ(spark):
     rows = [(i, f"text {k}") for i in (None, -1, 7) for k in range(4000)]
     keys = {r[0] for r in table(spark, rows).select(common.row_key()).collect()}
