@@ -44,6 +44,8 @@ from placemark.llm.common import stored
 RANK, OVERSAMPLE, BLOCK, SPAN, SHINGLE = 256, 16, 32, 3, 3
 COMMON, LEAST_FEATURES, ITEM_SHARE = 0.1, 8, 0.5
 COSINE, COVERED, LOOSE, ANSWER = 0.4, 0.7, 0.62, 0.8
+#: Segments that are summed by one matrix product; more cost more zeros, fewer more calls.
+SEGMENTS = 32
 #: Sums of tasks that one task merges.
 MERGED = 16
 _ENDS = b".,;:!?\"'()[]{}"
@@ -63,11 +65,20 @@ class Sequence:
         self.places: dict = {}
         for i, w in enumerate(words):
             self.places[w] = self.places.get(w, 0) | 1 << i
+        self.own = frozenset(self.places)
+
+    def within(self, others: set) -> int:
+        """No common subsequence with words of others is longer: each word that is missing there leaves a place empty."""
+        return self.words - len(self.own - others)
 
     def hits(self, other: list) -> list[int]:
         """The places of the other's words that occur here; no common subsequence is longer than this list."""
         return list(filter(None, map(self.places.get, other)))
 
+    def met(self, hits: list[int]) -> int:
+        """How many words here occur in the other; no common subsequence is longer. Words have places of their own, so their bits add up."""
+        return sum(set(hits)).bit_count()
+
     def lcs(self, hits: list[int]) -> int:
         """The length of the longest common subsequence."""
         row = full = (1 << self.words) - 1
@@ -176,6 +187,20 @@ def document_frequencies(tokens: DataFrame, size: int) -> tuple[np.ndarray, int]
     return df[:size], int(df[size])
 
 
+def segment_sums(matrix: np.ndarray, index: np.ndarray, starts: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The sums of matrix[index] * value over the segments that begin at starts, SEGMENTS of them by one product of small matrices."""
+    out, ends = np.empty((len(starts), matrix.shape[1]), np.float32), np.append(starts[1:], len(index))
+    own = np.repeat(np.arange(len(starts)) % SEGMENTS, ends - starts)
+    for at in range(0, len(starts), SEGMENTS):
+        end = min(at + SEGMENTS, len(starts))
+        cut = slice(starts[at], ends[end - 1])
+        n = cut.stop - cut.start
+        weights = np.zeros((end - at, n), np.float32)
+        weights[own[cut], np.arange(n)] = value[cut]
+        np.matmul(weights, matrix[index[cut]], out=out[at:end])
+    return out
+
+
 class Space:
     """Features (the items' rarer words) with their weights, then the latent vectors of words and items."""
 
@@ -244,9 +269,7 @@ class Space:
 
     def times(self, rows: tuple, matrix: np.ndarray) -> np.ndarray:
         starts, feature, value = rows
-        y = matrix[feature]
-        y *= value[:, None]
-        return np.add.reduceat(y, starts, axis=0)
+        return segment_sums(matrix, feature, starts, value)
 
     def back(self, rows: tuple, projected: np.ndarray, out: np.ndarray) -> None:
         """out += rows' @ projected"""
@@ -254,10 +277,8 @@ class Space:
         order = np.argsort(feature, kind="stable")
         f = feature[order]
         passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(feature))))
-        y = projected[passage[order]]
-        y *= value[order, None]
         first = np.concatenate([[0], np.flatnonzero(np.diff(f)) + 1])
-        out[f[first]] += np.add.reduceat(y, first, axis=0)
+        out[f[first]] += segment_sums(projected, passage[order], first, value[order])
 
 
 def _summed(tokens: DataFrame, space: Space, shape: tuple[int, int], add) -> np.ndarray:
@@ -342,7 +363,7 @@ def candidates(space: Space, row: np.ndarray, place: np.ndarray, word: np.ndarra
     at = base[row] + block
     first = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
     sums = np.zeros((int(width.sum()) + SPAN, space.latent.shape[1]), np.float32)
-    sums[at[first]] = np.add.reduceat(space.latent[f], first, axis=0)
+    sums[at[first]] = segment_sums(space.latent, f, first, np.ones(len(f), np.float32))
     # A passage that starts before the first word with a feature is covered by the one that starts there.
     begin = np.unique(np.concatenate([np.maximum(at[first] - k, base[row[first]]) for k in range(SPAN)]))
     passages = sum(sums[begin + k] for k in range(SPAN))
@@ -368,7 +389,7 @@ def candidates(space: Space, row: np.ndarray, place: np.ndarray, word: np.ndarra
 def verdict(item: Sequence, answer: Sequence, region: list) -> tuple[bool, int, int]:
     """Contaminated?, and the common subsequences of the region with the item and with its answer."""
     hits = item.hits(region)
-    if len(hits) < LOOSE * item.words:
+    if len(hits) < LOOSE * item.words or item.met(hits) < LOOSE * item.words:
         return False, 0, 0
     n = item.lcs(hits)
     if n < LOOSE * item.words:
@@ -401,8 +422,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = shared.value
             sequences = [(Sequence(item.tolist()), Sequence(answer.tolist())) for _, item, answer in s.items]
+            reach = max(item.words for item, _ in sequences) // 2
             for batch in batches:
-                lists, best, now = Lists(batch), {}, -1
+                lists, best, now, here = Lists(batch), {}, -1, None
                 for at, end in lists.runs():
                     rows = lists.rows(at, end)
                     for row, first, q, score in zip(*(c.tolist() for c in candidates(s, *rows, cosine)), strict=True):
@@ -410,7 +432,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
                             now = at + row
                             cut = slice(lists.cuts[now], lists.cuts[now + 1])
                             place, word = lists.place[cut].tolist(), lists.word[cut].tolist()
+                        if (now, first) != here:  # the words around the passage, as far as the longest item reaches
+                            here = now, first
+                            around = set(word[bisect_left(place, first - reach) : bisect_left(place, first + BLOCK * SPAN + reach)])
                         item, answer = sequences[q]
+                        if item.within(around) < LOOSE * item.words:
+                            continue
                         low, high = bisect_left(place, first - item.words // 2), bisect_left(place, first + BLOCK * SPAN + item.words // 2)
                         yes, n, a = verdict(item, answer, word[low:high])
                         key = (now, q)

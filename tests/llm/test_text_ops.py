@@ -414,6 +414,36 @@ def test_decontamination_without_cosine(spark):
         assert all(decontaminate.lcs(decontaminate.plain_words(items[i]), decontaminate.plain_words(docs[d][1])) >= decontaminate.LOOSE * len(items[i].split()) for d, i in got)
 
 
+def test_bounds_of_the_verdict(monkeypatch):
+    """What the bounds turn down, the longest common subsequence turns down too, and few others reach it."""
+    r = random.Random(31)
+    calls = []
+    whole = decontaminate.Sequence.lcs
+    monkeypatch.setattr(decontaminate.Sequence, "lcs", lambda self, hits: calls.append(1) or whole(self, hits))
+    for _ in range(400):
+        words = [r.randint(0, 30) for _ in range(r.randint(3, 40))]
+        region = [r.choice(words) if r.random() < 0.5 else r.randint(0, 60) for _ in range(r.randint(0, 120))]
+        item, answer = decontaminate.Sequence(words), decontaminate.Sequence(words[-3:])
+        n = decontaminate.lcs(words, region)
+        assert n <= item.met(item.hits(region)) <= item.within(set(region)) <= item.words
+        a = decontaminate.lcs(words[-3:], region)
+        yes = n >= decontaminate.LOOSE * len(words) and (n >= decontaminate.COVERED * len(words) or a >= decontaminate.ANSWER * 3)
+        assert decontaminate.verdict(item, answer, region)[0] == yes
+    # One common word many times over is no reason to compare.
+    calls.clear()
+    item = decontaminate.Sequence([0] + list(range(40)))
+    assert decontaminate.verdict(item, decontaminate.Sequence([38, 39]), [0] * 120) == (False, 0, 0) and not calls
+
+
+def test_segment_sums():
+    r = np.random.Generator(np.random.PCG64(7))
+    for n, segments in ((1, 1), (40, 40), (500, 33), (700, decontaminate.SEGMENTS), (900, 2 * decontaminate.SEGMENTS + 1)):
+        matrix, index, value = r.standard_normal((50, 24)).astype(np.float32), r.integers(0, 50, n), r.random(n, np.float32)
+        starts = np.concatenate([[0], np.sort(r.choice(np.arange(1, n), segments - 1, replace=False))]) if n > 1 else np.zeros(1, np.int64)
+        got = decontaminate.segment_sums(matrix, index, starts, value)
+        assert np.allclose(got, np.add.reduceat(matrix[index] * value[:, None], starts, axis=0), atol=1e-4)
+
+
 def test_lcs():
     r = random.Random(9)
     for _ in range(300):
