@@ -44,6 +44,8 @@ PASSAGE = 100
 REACH, LEAST_SPREAD, REFITS = 6.0, 0.003, 2
 #: N-grams of the models that are held at once: those of four languages that have them all.
 MOST = 4 * ALPHABET**ORDER
+#: Tables of a language's n-grams that a task holds at once, and the characters from which on a table is begun.
+TABLES, WORTH_A_TABLE = 4, 50_000
 #: Characters from which on a text's scatter is taken as steady.
 STEADY = 4000
 _SPACE, _UPPER, _DIGIT, _STOP, _COMMA, _SIGN, _MARK, _OTHER = 0, 40, 41, 42, 43, 44, 45, 46
@@ -51,7 +53,7 @@ _SPACE, _UPPER, _DIGIT, _STOP, _COMMA, _SIGN, _MARK, _OTHER = 0, 40, 41, 42, 43,
 
 def _fold_table() -> np.ndarray:
     """Code point below 0x250 -> symbol: a-z, upper case as one, other letters dealt to 13."""
-    out = np.full(0x250, _OTHER, np.int64)
+    out = np.full(0x250, _OTHER, np.int32)
     for cp in range(0x250):
         ch = chr(cp)
         kind = unicodedata.category(ch)
@@ -83,18 +85,18 @@ def folded(text: str) -> np.ndarray:
     cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     wide = cps >= 0x250
     if wide.any():
-        return np.where(wide, 27 + cps % 13, _FOLD[np.minimum(cps, 0x24F)])
+        return np.where(wide, 27 + cps % 13, _FOLD[np.minimum(cps, 0x24F)]).astype(np.int32)
     return _FOLD[cps]
 
 
 def gram_ids(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the ORDER-grams that end at each character, texts end to end, and each text's length."""
     parts, sizes = [], np.array([len(t) for t in texts], np.int64)
-    pad = np.zeros(ORDER - 1, np.int64)
+    pad = np.zeros(ORDER - 1, np.int32)
     for t in texts:
         parts += [pad, folded(t)]
     if not parts:
-        return np.empty(0, np.int64), sizes
+        return np.empty(0, np.int32), sizes
     s = np.concatenate(parts)
     ids = s[ORDER - 1 :].copy()
     for back in range(1, ORDER):
@@ -132,14 +134,12 @@ def count_grams(docs: DataFrame, inside: "Judge | None" = None) -> DataFrame:
                 ids, sizes = gram_ids([rows[i][1] for i in own])
                 if judge:
                     ids = ids[np.repeat(judge.inside(lang, ids, sizes), sizes)]
-                if lang not in sums and len(sums) >= 4:  # so many tables are held at once; others go on as they come
+                if lang not in sums and len(sums) >= TABLES:  # so many tables are held at once; others go on as they come
                     u, n = np.unique(ids, return_counts=True)
                     yield rows_of(lang, u, n)
                     continue
                 held = sums.setdefault(lang, np.zeros(ALPHABET**ORDER, np.uint32))
-                for at in range(0, len(ids), 1_000_000):
-                    u, n = np.unique(ids[at : at + 1_000_000], return_counts=True)
-                    held[u] += n.astype(np.uint32)
+                np.add.at(held, ids, np.uint32(1))
         yield from emit(sums)
 
     def emit(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -211,21 +211,38 @@ class Judge:
     """The models and, by language, the bands (middle, spread)."""
 
     def __init__(self, models: dict[str, KneserNey], bands: dict[str, tuple[float, float]], reach: float):
-        self.models, self.bands, self.reach, self.cost = models, bands, reach, None
+        self.models, self.bands, self.reach = models, bands, reach
+        self.costs: dict[str, np.ndarray] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"cost": None}
+        return self.__dict__ | {"costs": {}}
+
+    def cost(self, lang: str, ids: np.ndarray) -> np.ndarray:
+        """-log10 of the probability of each n-gram. What was worked out is kept in a table, for TABLES languages at once."""
+        held = self.costs.pop(lang, None)
+        if held is None and len(ids) < WORTH_A_TABLE:
+            u, at = np.unique(ids, return_inverse=True)
+            return -np.log10(self.models[lang].probability(u)).astype(np.float32)[at]
+        if held is None:
+            if len(self.costs) >= TABLES:
+                del self.costs[next(iter(self.costs))]  # the one not used for longest
+            held = np.full(ALPHABET**ORDER, np.nan, np.float32)
+        self.costs[lang] = held
+        out = held[ids]
+        new = np.isnan(out)
+        if new.any():
+            u = np.unique(ids[new])
+            held[u] = -np.log10(self.models[lang].probability(u))
+            out = held[ids]
+        return out
 
     def perplexity(self, lang: str, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log10 per character of the median passage of each of the texts, none of them empty."""
-        if self.cost is None:
-            self.cost = np.zeros(ALPHABET**ORDER, np.float32)
-        u = np.unique(ids) if len(ids) < 200_000 else np.flatnonzero(np.bincount(ids, minlength=1))
-        self.cost[u] = -np.log10(self.models[lang].probability(u))
         starts, counts, lengths = _passages(sizes)
-        means = np.add.reduceat(self.cost[ids], starts, dtype=np.float64) / lengths
-        ends = np.cumsum(counts)
-        return np.array([np.median(means[e - c : e]) for e, c in zip(ends, counts, strict=True)])
+        means = np.add.reduceat(self.cost(lang, ids), starts, dtype=np.float64) / lengths
+        means = means[np.lexsort((means, np.repeat(np.arange(len(counts)), counts)))]
+        begin = np.cumsum(counts) - counts
+        return (means[begin + (counts - 1) // 2] + means[begin + counts // 2]) / 2
 
     def inside(self, lang: str, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         middle, spread = self.bands[lang]

@@ -189,6 +189,33 @@ def brute_base(t):
     )
 
 
+def test_quality_costs_are_kept(monkeypatch):
+    """An n-gram's probability is worked out once a table; scores are those of plain medians, with more languages than tables too."""
+    monkeypatch.setattr(quality, "WORTH_A_TABLE", 500)
+    r = random.Random(41)
+    langs = [f"l{k}" for k in range(quality.TABLES + 2)]
+    texts = {x: ["".join(r.choices("abcdefg .é日", k=r.randint(1, 900))) for _ in range(12)] for x in langs}
+    grams = {x: quality.gram_ids(t) for x, t in texts.items()}
+    models = {x: quality.KneserNey(*np.unique(ids[::2].astype(np.int64), return_counts=True)) for x, (ids, _) in grams.items()}
+    judge = quality.Judge(models, {}, 0.0)
+
+    def plain(lang, text):
+        cost = -np.log10(models[lang].probability(quality.gram_ids([text])[0])).astype(np.float32)
+        cuts = [k * quality.PASSAGE for k in range(max(len(text) // quality.PASSAGE, 1))]
+        return np.median([cost[a:b].mean(dtype=np.float64) for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)])
+
+    for x in langs * 2:
+        assert np.allclose(judge.perplexity(x, *grams[x]), [plain(x, t) for t in texts[x]], rtol=0, atol=1e-9)
+        assert len(judge.costs) <= quality.TABLES
+    asked = []
+    whole = quality.KneserNey.probability
+    monkeypatch.setattr(quality.KneserNey, "probability", lambda self, ids, n=quality.ORDER: asked.append(len(ids)) or whole(self, ids, n))
+    again = judge.perplexity(langs[-1], *grams[langs[-1]])
+    assert not asked and (again == judge.perplexity(langs[-1], *grams[langs[-1]])).all()
+    judge.perplexity(langs[-1], *quality.gram_ids(["abc" * 5]))  # short texts of a language without a table need none
+    assert quality.Judge(models, {}, 0.0).perplexity("l0", *quality.gram_ids(["abc" * 5])).shape == (1,)
+
+
 def test_quality_base(spark, odd):
     got = quality.judged(odd).collect()
     want = Counter((r.doc_id, *brute_base(r.text)) for r in odd.collect())
