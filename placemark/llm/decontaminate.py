@@ -44,11 +44,17 @@ from placemark.llm.common import stored
 RANK, OVERSAMPLE, BLOCK, SPAN, SHINGLE = 256, 16, 32, 3, 3
 COMMON, LEAST_FEATURES, ITEM_SHARE = 0.1, 8, 0.5
 COSINE, COVERED, LOOSE, ANSWER = 0.4, 0.7, 0.62, 0.8
-#: Segments that are summed by one matrix product; more cost more zeros, fewer more calls.
+#: Longer segments are summed in pieces of so many rows.
 SEGMENTS = 32
 #: Sums of tasks that one task merges.
 MERGED = 16
 _ENDS = b".,;:!?\"'()[]{}"
+#: What a byte is: 2 white space as bytes.split() has it, 1 punctuation, 0 the rest.
+_KINDS = bytes(2 if c in b" \t\n\v\f\r" else 1 if c in _ENDS else 0 for c in range(256))
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+#: Characters of texts that are looked up at once.
+AT_ONCE = 500_000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -101,28 +107,69 @@ def answer_of(text: str) -> list[bytes]:
     return own if len(own) >= max(3, len(words) // 4) and len(own) < len(words) else words[-max(3, len(words) // 4) :]
 
 
-class Vocabulary(dict):
-    """Numbers of the benchmark's words for raw tokens, -1 for words of no item; what a worker has looked up it remembers up to a bound."""
+class Vocabulary:
+    """The benchmark's words and their numbers, looked up for all tokens of some texts at once.
 
-    def __init__(self, words: list[bytes], cache: int = 200_000):
-        super().__init__()
-        self.words, self.cache = words, cache
-        self.number = {w: i for i, w in enumerate(words)}
-
-    def __reduce__(self) -> tuple:
-        return Vocabulary, (self.words, self.cache)
-
-    def __missing__(self, token: bytes) -> int:
-        k = self.number.get(token.strip(_ENDS), -1)
-        if len(token) <= 40:
-            if len(self) >= self.cache:
-                self.clear()
-            self[token] = k
-        return k
+    Words of up to 16 bytes are in an open-addressed table, by their bytes as two whole numbers
+    and their length, so a hit is exact; longer ones are met one by one.
+    """
 
-    def ids(self, text: str) -> np.ndarray:
-        tokens = text.lower().encode("utf-8", "surrogatepass").split()
-        return np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
+    def __init__(self, words: list[bytes]):
+        self.number = {w: i for i, w in enumerate(words)}
+        self.longest = max(map(len, words), default=0)
+        bits = max(4, (4 * len(words)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.low, self.high = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64)
+        self.size, self.word = np.zeros(1 << bits, np.int64), np.full(1 << bits, -1, np.int32)
+        short = [w for w in self.number if len(w) <= 16]
+        low, high = np.frombuffer(b"".join(w.ljust(16, b"\0") for w in short), "<u8").reshape(-1, 2).T
+        for w, k, a, b in zip(short, self.slots(low, high).tolist(), low, high, strict=True):
+            while self.size[k]:
+                k = (k + 1) % len(self.size)
+            self.low[k], self.high[k], self.size[k], self.word[k] = a, b, len(w), self.number[w]
+
+    def slots(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return ((low * _MIX[0] ^ high * _MIX[1]) * _MIX[0] >> self.shift).astype(np.int64)
+
+    def looked_up(self, low: np.ndarray, high: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The numbers of words of up to 16 bytes, -1 for others."""
+        found = np.full(len(size), -1, np.int32)
+        k, left = self.slots(low, high), np.arange(len(size))
+        while len(left):
+            held = self.size[k]
+            same = (self.low[k] == low) & (held == size) & (self.high[k] == high)
+            found[left[same]] = self.word[k[same]]
+            on = np.flatnonzero(~same & (held > 0))
+            left, low, high, size, k = left[on], low[on], high[on], size[on], (k[on] + 1) % len(self.size)
+        return found
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each token without punctuation at its ends, -1 for words of no item, and where each text's tokens begin, with their end."""
+        lowered = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+        raw = b"".join([b"\n", b"\n".join(lowered), b"\n", bytes(16)])
+        kind = np.frombuffer(raw.translate(_KINDS), np.uint8)[:-16]
+        turns = np.flatnonzero(np.diff(kind == 2)) + 1
+        start, end = turns[::2].copy(), turns[1::2].copy()
+        cuts = np.searchsorted(start, np.cumsum([1] + [len(t) + 1 for t in lowered]))
+        marks = np.flatnonzero(kind == 1)
+        if len(marks):  # runs of punctuation next to white space go; a token of nothing else ends before it starts
+            new = np.flatnonzero(np.diff(marks) != 1)
+            first, after = marks[np.append(0, new + 1)], marks[np.append(new, len(marks) - 1)] + 1
+            token, lead, trail = np.searchsorted(start, first, side="right") - 1, kind[first - 1] == 2, kind[after] == 2
+            start[token[lead]] = after[lead]
+            end[token[trail]] = first[trail]
+        size = end - start
+        ids = np.full(len(size), -1, np.int32)
+        at = np.flatnonzero((size > 0) & (size <= min(16, self.longest)))
+        n, s = size[at], start[at]
+        eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))  # the eight bytes from each place on
+        low, high = eight[s] & _LOW_BYTES[np.minimum(n, 8)], np.zeros(len(at), np.uint64)
+        more = np.flatnonzero(n > 8)
+        high[more] = eight[s[more] + 8] & _LOW_BYTES[n[more] - 8]
+        ids[at] = self.looked_up(low, high, n)
+        for k in np.flatnonzero((size > 16) & (size <= self.longest)).tolist():
+            ids[k] = self.number.get(raw[start[k] : end[k]], -1)
+        return ids, cuts
 
 
 class Lists:
@@ -155,14 +202,20 @@ def benchmark_tokens(docs: DataFrame, words: list[bytes]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            place, word = [], []
-            for t in batch.column(1).to_pylist():
-                ids = vocabulary.ids(t)
-                at = np.flatnonzero(ids >= 0).astype(np.int32)
-                place.append(at)
-                word.append(ids[at])
-            kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place, kind), pa.array(word, kind)], names=["doc_id", "place", "word"])
+            texts = batch.column(1).to_pylist()
+            upto = np.cumsum([len(t) for t in texts])
+            at, place, word, held = 0, [], [], []
+            while at < len(texts):
+                end = int(np.searchsorted(upto, upto[at] + AT_ONCE))
+                ids, cuts = vocabulary.ids(texts[at:end])
+                own = np.flatnonzero(ids >= 0)
+                held.append(np.diff(np.searchsorted(own, cuts)))
+                place.append((own - np.repeat(cuts[:-1], held[-1])).astype(np.int32))
+                word.append(ids[own])
+                at = end
+            offsets = pa.array(np.cumsum(np.concatenate([[0], *held])), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int32), *c]))) for c in (place, word)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["doc_id", "place", "word"])
 
     rows = docs.select("doc_id", F.col("text").cast("string")).where("text <> ''")
     return rows.mapInArrow(run, rows.select("doc_id").schema.add("place", ArrayType(IntegerType())).add("word", ArrayType(IntegerType())))
@@ -187,17 +240,24 @@ def document_frequencies(tokens: DataFrame, size: int) -> tuple[np.ndarray, int]
     return df[:size], int(df[size])
 
 
-def segment_sums(matrix: np.ndarray, index: np.ndarray, starts: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """The sums of matrix[index] * value over the segments that begin at starts, SEGMENTS of them by one product of small matrices."""
-    out, ends = np.empty((len(starts), matrix.shape[1]), np.float32), np.append(starts[1:], len(index))
-    own = np.repeat(np.arange(len(starts)) % SEGMENTS, ends - starts)
-    for at in range(0, len(starts), SEGMENTS):
-        end = min(at + SEGMENTS, len(starts))
-        cut = slice(starts[at], ends[end - 1])
-        n = cut.stop - cut.start
-        weights = np.zeros((end - at, n), np.float32)
-        weights[own[cut], np.arange(n)] = value[cut]
-        np.matmul(weights, matrix[index[cut]], out=out[at:end])
+def segment_sums(matrix: np.ndarray, index: np.ndarray, starts: np.ndarray, value: np.ndarray | None = None) -> np.ndarray:
+    """The sums of matrix[index], times value if given, over the segments that begin at starts: the nth rows of all segments are added at once, longest first."""
+    sizes = np.diff(np.append(starts, len(index)))
+    if sizes.max() > SEGMENTS:
+        pieces = -(-sizes // SEGMENTS)
+        begin = np.cumsum(pieces) - pieces
+        part = np.repeat(starts - SEGMENTS * begin, pieces) + SEGMENTS * np.arange(pieces.sum())
+        return segment_sums(segment_sums(matrix, index, part, value), np.arange(len(part)), begin)
+    order = np.argsort(-sizes, kind="stable")
+    first, sizes = starts[order], sizes[order]
+    sums = np.zeros((len(starts), matrix.shape[1]), np.float32)
+    for k, n in enumerate(np.searchsorted(-sizes, -np.arange(sizes[0])).tolist()):
+        rows = matrix[index[first[:n] + k]]
+        if value is not None:
+            rows *= value[first[:n] + k, None]
+        sums[:n] += rows
+    out = np.empty_like(sums)
+    out[order] = sums
     return out
 
 
@@ -227,7 +287,10 @@ class Space:
                 own = np.repeat(chosen, lengths[chosen] - size + 1)
                 middle = np.concatenate([lengths[k] // 2 - np.arange(lengths[k] - size + 1) for k in chosen])
                 order = np.argsort(keys, kind="stable")
-                self.shingles[size] = keys[order], own[order], middle[order]
+                bits = min((64 * len(keys)).bit_length(), 24)
+                seen = np.zeros(1 << bits, bool)
+                seen[self.spread(keys, bits)] = True
+                self.shingles[size] = keys[order], own[order], middle[order], bits, seen
 
     def keys(self, word: np.ndarray, size: int) -> np.ndarray:
         """A number for each size words in a row; should two share it, the verdict tells them apart."""
@@ -237,15 +300,19 @@ class Space:
             key = key * len(self.feature) + word[k : k + len(key)]
         return key
 
+    @staticmethod
+    def spread(keys: np.ndarray, bits: int) -> np.ndarray:
+        return (keys.view(np.uint64) * _MIX[0] >> np.uint64(64 - bits)).astype(np.int64)
+
     def verbatim(self, row: np.ndarray, place: np.ndarray, word: np.ndarray) -> np.ndarray:
         """(row, block, item number) of the passages around what shares a shingle with an item, each once."""
         found = [np.empty((0, 3), np.int64)]
-        for size, (keys, items, middle) in self.shingles.items():
+        for size, (keys, items, middle, bits, seen) in self.shingles.items():
             own = self.keys(word, size)
-            low = np.searchsorted(keys, own)
-            at = np.flatnonzero((low < len(keys)) & (keys[np.minimum(low, len(keys) - 1)] == own))
+            at = np.flatnonzero(seen[self.spread(own, bits)])  # all of the items' shingles, and few others
             at = at[row[at] == row[at + size - 1]]
-            low, n = low[at], np.searchsorted(keys, own[at], side="right") - low[at]
+            low = np.searchsorted(keys, own[at])
+            n = np.searchsorted(keys, own[at], side="right") - low
             hit = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
             at = np.repeat(at, n)
             block = np.maximum((place[at] + middle[hit]) // BLOCK - SPAN // 2, 0)
@@ -253,7 +320,7 @@ class Space:
         return np.unique(np.concatenate(found), axis=0)
 
     def rows(self, row: np.ndarray, place: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-        """The unit TF-IDF rows of separate passages: starts of the rows, features, values."""
+        """The unit TF-IDF rows of separate passages: starts of the rows, features, and by how much each row's weights are scaled."""
         f = self.feature[word]
         has = f >= 0
         if not has.any():
@@ -264,21 +331,21 @@ class Space:
         number, f = np.divmod(np.unique(number * len(self.idf) + f[has]), len(self.idf))
         starts = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1])
         value = self.idf[f]
-        norm = np.sqrt(np.add.reduceat(value * value, starts))
-        return starts, f, value / np.repeat(norm, np.diff(np.append(starts, len(f))))
+        return starts, f, 1 / np.sqrt(np.add.reduceat(value * value, starts))[:, None]
 
-    def times(self, rows: tuple, matrix: np.ndarray) -> np.ndarray:
-        starts, feature, value = rows
-        return segment_sums(matrix, feature, starts, value)
+    def times(self, rows: tuple, weighted: np.ndarray) -> np.ndarray:
+        """rows @ matrix; weighted: the matrix with the features' weights in it"""
+        starts, feature, scale = rows
+        return segment_sums(weighted, feature, starts) * scale
 
     def back(self, rows: tuple, projected: np.ndarray, out: np.ndarray) -> None:
-        """out += rows' @ projected"""
-        starts, feature, value = rows
+        """out += rows' @ projected, but for the features' weights, which are left to the sum"""
+        starts, feature, scale = rows
         order = np.argsort(feature, kind="stable")
         f = feature[order]
         passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(feature))))
         first = np.concatenate([[0], np.flatnonzero(np.diff(f)) + 1])
-        out[f[first]] += segment_sums(projected, passage[order], first, value[order])
+        out[f[first]] += segment_sums(projected * scale, passage[order], first)
 
 
 def _summed(tokens: DataFrame, space: Space, shape: tuple[int, int], add) -> np.ndarray:
@@ -293,7 +360,7 @@ def _summed(tokens: DataFrame, space: Space, shape: tuple[int, int], add) -> np.
         s, out = shared.value, np.zeros(shape, np.float32)
         for batch in batches:
             lists = Lists(batch)
-            for at, end in lists.runs():
+            for at, end in lists.runs(40_000):
                 rows = s.rows(*lists.rows(at, end))
                 if rows:
                     add(s, rows, out)
@@ -324,21 +391,25 @@ def fit(tokens: DataFrame, items: list[tuple[int | None, np.ndarray, np.ndarray]
     draw = np.random.Generator(np.random.PCG64(5)).standard_normal((features, width)).astype(np.float32)
     lengths = [len(words) for _, words, _ in items]
     own = space.rows(np.repeat(np.arange(len(items)), lengths), np.concatenate([np.arange(n) for n in lengths]), np.concatenate([words for _, words, _ in items]))
-    probe = _summed(tokens, space, (features, width), lambda s, rows, out: s.back(rows, s.times(rows, draw), out))
+    weights = space.idf[:, None]
+    draw *= weights
+    probe = _summed(tokens, space, (features, width), lambda s, rows, out: s.back(rows, s.times(rows, draw), out)) * weights
     mine = np.zeros((features, width), np.float32)
     space.back(own, space.times(own, draw), mine)
+    mine *= weights
     # The items weigh ITEM_SHARE of the whole.
     weight = ITEM_SHARE / (1 - ITEM_SHARE) * max(np.linalg.norm(probe), 1e-9) / max(np.linalg.norm(mine), 1e-9)
     basis = np.linalg.qr(probe + weight * mine)[0].astype(np.float32)
+    weighted = basis * weights
 
     def gram(s: Space, rows: tuple, out: np.ndarray) -> None:
-        y = s.times(rows, basis)
+        y = s.times(rows, weighted)
         out += y.T @ y
 
     small = _summed(tokens, space, (basis.shape[1], basis.shape[1]), gram)
-    y = space.times(own, basis)
+    y = space.times(own, weighted)
     values, vectors = np.linalg.eigh(small + weight * (y.T @ y))
-    space.latent = (basis @ vectors[:, np.argsort(-values)[:rank]]).astype(np.float32) * space.idf[:, None]
+    space.latent = (basis @ vectors[:, np.argsort(-values)[:rank]]).astype(np.float32) * weights
     q = np.zeros((len(items), space.latent.shape[1]), np.float32)
     for k, (_, words, _) in enumerate(items):
         f = space.feature[words]
@@ -356,20 +427,25 @@ def candidates(space: Space, row: np.ndarray, place: np.ndarray, word: np.ndarra
         return same[:, 0], same[:, 1] * BLOCK, same[:, 2], np.zeros(len(same))
     row, block, f = row[has], place[has] // BLOCK, f[has]
     # Blocks of a row lie side by side with SPAN - 1 empty ones after the last.
-    last = np.zeros(int(row[-1]) + 1, np.int64)
-    np.maximum.at(last, row, block)
+    last, ends = np.zeros(int(row[-1]) + 1, np.int64), np.append(np.flatnonzero(np.diff(row)), len(row) - 1)
+    last[row[ends]] = block[ends]
     width = last + SPAN
     base = np.cumsum(width) - width
     at = base[row] + block
     first = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
     sums = np.zeros((int(width.sum()) + SPAN, space.latent.shape[1]), np.float32)
-    sums[at[first]] = segment_sums(space.latent, f, first, np.ones(len(f), np.float32))
+    sums[at[first]] = segment_sums(space.latent, f, first)
     # A passage that starts before the first word with a feature is covered by the one that starts there.
-    begin = np.unique(np.concatenate([np.maximum(at[first] - k, base[row[first]]) for k in range(SPAN)]))
-    passages = sum(sums[begin + k] for k in range(SPAN))
+    begins = np.zeros(len(sums), bool)
+    for k in range(SPAN):
+        begins[np.maximum(at[first] - k, base[row[first]])] = True
+    begin = np.flatnonzero(begins)
+    passages = sums[begin]
+    for k in range(1, SPAN):
+        passages += sums[begin + k]
     passages /= np.maximum(np.linalg.norm(passages, axis=1, keepdims=True), 1e-9)
     score = passages @ space.queries
-    p, q = np.nonzero(score >= cosine)
+    p, q = np.divmod(np.flatnonzero(score.ravel() >= cosine), score.shape[1])
     own = np.searchsorted(base, begin[p], side="right") - 1
     near = np.stack([own, begin[p] - base[own], q], axis=1)
     # The others by their shingles; a passage that no passage with features starts at has no cosine.

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import sys
 import time
 import zlib
 from collections import Counter
@@ -444,6 +445,40 @@ def test_segment_sums():
         assert np.allclose(got, np.add.reduceat(matrix[index] * value[:, None], starts, axis=0), atol=1e-4)
 
 
+def test_words_are_looked_up_together():
+    """All tokens of some texts by arrays, and each has the number that it has by itself."""
+    r = random.Random(3)
+    letters = list("abAB.,;()'\"!?[]{}  \n\t\x0b\x0c\r\x1c\x85\xa0\0éΣßİ\ud800")
+    long = ["x" * n for n in (15, 16, 17, 40, 41)]
+    for _ in range(60):
+        texts = ["".join(r.choices(letters, k=r.choice([0, 1, 5, 30, 200]))) for _ in range(r.randint(0, 20))] + [" .".join(long) + ")", "." * 100, "", " \n"]
+        held = {w for t in texts for w in decontaminate.plain_words(t)}
+        words = sorted(w for w in held if r.random() < 0.6)
+        number = {w: k for k, w in enumerate(words)}
+        ids, cuts = decontaminate.Vocabulary(words).ids(texts)
+        for k, t in enumerate(texts):
+            alone = [number.get(x.strip(decontaminate._ENDS), -1) for x in t.lower().encode("utf-8", "surrogatepass").split()]
+            assert ids[cuts[k] : cuts[k + 1]].tolist() == alone
+    # Tokens that were never met before cost no calls of their own.
+    vocabulary, calls = decontaminate.Vocabulary([b"%d" % k for k in range(500)]), []
+    texts = [" ".join(f"{k}," for k in range(20_000))] * 3
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        ids, cuts = vocabulary.ids(texts)
+    finally:
+        sys.setprofile(None)
+    assert cuts.tolist() == [0, 20_000, 40_000, 60_000] and (ids >= 0).sum() == 1_500 and len(calls) < 1_000
+
+
+def test_sums_of_long_segments():
+    """Segments of very unlike lengths, without a product for each row and segment beside it."""
+    r = np.random.Generator(np.random.PCG64(9))
+    matrix, index = r.standard_normal((50, 24)).astype(np.float32), r.integers(0, 50, 6000)
+    starts = np.array([0, 1, 2, 5, 37, 70, 2200, 2201, 5999])
+    assert np.allclose(decontaminate.segment_sums(matrix, index, starts), np.add.reduceat(matrix[index].astype(float), starts, axis=0), atol=1e-3)
+    assert np.array_equal(decontaminate.segment_sums(matrix, index[:1], np.zeros(1, np.int64)), matrix[index[:1]])
+
+
 def test_lcs():
     r = random.Random(9)
     for _ in range(300):
