@@ -111,6 +111,20 @@ def test_join_frequent_outside_the_zone(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in ngram_join.linked_components(docs, 3, 90).collect()} == want and want[1007] == 1000
 
 
+def test_join_copies_in_several_tasks(spark):
+    """A copy in another task is no other set: its shingles are not told as shared. A task packs a run of its shingles, a row for each part."""
+    r = random.Random(15)
+    texts = [[f"w{r.randrange(10**6)}" for _ in range(60)] for _ in range(30)]
+    rows = [(100 * c + k, " ".join(t)) for c in range(3) for k, t in enumerate(texts)] + [(1000, " ".join([*texts[7][:-1], "other"]))]
+    docs = table(spark, rows).repartition(6)
+    packed = ngram_join.packed_shingles(docs, 3, 90, np.zeros(0, np.uint64), 4)
+    assert packed.count() <= 6 * (4 + 1)
+    kept = ngram_join.prefixes(common.stored(ngram_join.shared_shingles(packed), "shared"))
+    assert kept.select("d", "d2").distinct().count() == 2 and kept.count() == kept.distinct().count()
+    got = {x.doc_id: x.component_id for x in ngram_join.linked_components(docs, 3, 90).collect()}
+    assert got == {k: 7 if k == 1000 else k % 100 for k, _ in rows}
+
+
 def test_join_short_texts(spark):
     rows = []
     for k, n in enumerate(range(8, 15)):
